@@ -6,7 +6,7 @@ from math import ceil, log, log2
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
@@ -91,13 +91,13 @@ def fit_forest(
     return nodes.sort_values(["tree", "node"], ignore_index=True), size
 
 
-def with_anomaly_degree(df: DataFrame, names: list[str], nodes: pd.DataFrame, size: int) -> DataFrame:
-    """Add ``anomaly_degree`` in (0, 1]: 2 to the minus mean path length over the expected length."""
+def anomaly_degree(spark: SparkSession, nodes: pd.DataFrame, size: int):
+    """A column function of the features: 2 to the minus mean path length over the expected length."""
     forest = [
         tuple(part[c].to_numpy() for c in ("feature", "split", "left", "right", "length"))
         for _, part in nodes.groupby("tree", sort=True)
     ]
-    shared = df.sparkSession.sparkContext.broadcast(forest)
+    shared = spark.sparkContext.broadcast(forest)
     expected = mean_path(size) or 1.0
 
     @F.pandas_udf(T.DoubleType())
@@ -117,7 +117,7 @@ def with_anomaly_degree(df: DataFrame, names: list[str], nodes: pd.DataFrame, si
             total += length[at]
         return pd.Series(2.0 ** (-(total / len(shared.value)) / expected))
 
-    return df.withColumn("anomaly_degree", degree(*[F.col(n).cast("double") for n in names]))
+    return degree
 
 
 def detect_anomalies(
@@ -133,15 +133,14 @@ def detect_anomalies(
 
     Rows above the exact ``1 - contamination`` quantile of the degree are anomalous. Gaps read as 0.
     Scaling a feature does not change which rows a random cut separates, so none is applied. Scored
-    rows are checkpointed once, since the quantile and the flags must see the same degrees.
+    rows are stored once, since the quantile and the flags must see the same degrees.
     """
     names = existing(base, features or SEGMENT_FEATURES)
     rows = stable(base)
-    filled = rows.select(key, *[F.coalesce(F.col(n).cast("double"), F.lit(0.0)).alias(n) for n in names])
-    nodes, drawn = fit_forest(filled, key, names, trees, size, seed)
-    scored = stable(with_anomaly_degree(filled, names, nodes, drawn).select(key, "anomaly_degree"))
+    filled = {n: F.coalesce(F.col(n).cast("double"), F.lit(0.0)) for n in names}
+    nodes, drawn = fit_forest(rows.select(key, *[f.alias(n) for n, f in filled.items()]), key, names, trees, size, seed)
+    scored = stable(rows.withColumn("anomaly_degree", anomaly_degree(rows.sparkSession, nodes, drawn)(*filled.values())))
     limit = quantile_row(scored, {"limit": ("anomaly_degree", 1.0 - contamination)}).scalar()
-    flagged = scored.withColumn("is_anomaly", F.when(F.col("anomaly_degree") > limit, 1).otherwise(0)).withColumn(
+    return scored.withColumn("is_anomaly", F.when(F.col("anomaly_degree") > limit, 1).otherwise(0)).withColumn(
         "anomaly_score", F.when(F.col("is_anomaly") == 1, -1).otherwise(1)
     )
-    return rows.join(flagged, key)

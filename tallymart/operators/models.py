@@ -1,6 +1,6 @@
 """Churn and risk classifiers on Spark ML.
 
-Each fit is many short jobs over the same rows. The rows are checkpointed first, so a job reads
+Each fit is many short jobs over the same rows. The rows are stored first, so a job reads
 stored vectors instead of carrying the lineage of the marts with every task.
 """
 

@@ -111,15 +111,22 @@ def weekday_pattern(df: DataFrame, time: str, amount: str) -> DataFrame:
 
 
 def breakdowns(df: DataFrame, dimensions: list[str], amount: str = "amount") -> DataFrame:
-    """Orders, revenue and mean amount per value of each dimension; one scan for all dimensions."""
+    """Orders, revenue and mean amount per value of each dimension, from one scan.
+
+    Rows are totalled per combination of values first; each combination, not each row, then counts
+    for every dimension.
+    """
+    totals = df.groupBy(*dimensions).agg(
+        F.count(F.lit(1)).alias("_orders"), F.count(amount).alias("_amounts"), F.sum(money(amount)).alias("_revenue")
+    )
     cells = F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).cast("string").alias("item")) for d in dimensions])
     return (
-        df.select(amount, F.inline(cells))
+        totals.select("_orders", "_amounts", "_revenue", F.inline(cells))
         .groupBy("dimension", "item")
         .agg(
-            F.count(F.lit(1)).alias("orders"),
-            money_sum(amount).alias("revenue"),
-            ratio(F.sum(money(amount)), F.count(amount)).alias("avg_amount"),
+            F.sum("_orders").alias("orders"),
+            F.sum("_revenue").cast("double").alias("revenue"),
+            ratio(F.sum("_revenue"), F.sum("_amounts")).alias("avg_amount"),
         )
     )
 

@@ -1,14 +1,19 @@
 """Ranks, running totals and quantiles over whole tables without a single-task sort.
 
-The value range is cut into as many buckets as a shuffle has partitions. Bucket totals are a
-small table; their running total gives every bucket its starting rank, and only rows of one bucket
-meet in one task. The cut points are literals in the plan, so a recomputed task repeats them.
-Rows with equal values are counted before anything is sorted.
+Running totals: the value range is cut into as many buckets as a shuffle has partitions. Bucket
+totals are a small table; their running total gives every bucket its start, and only rows of one
+bucket meet in one task.
+
+Quantiles: approximate quantiles bracket the wanted rank, plain counts give the exact rank of the
+bracket, and only values inside it are sorted.
+
+Cut points and brackets are literals in the plan, so a recomputed task repeats them.
 """
 
 from __future__ import annotations
 
-from math import inf, isnan
+from functools import reduce
+from math import ceil, floor, inf, isnan
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
@@ -31,12 +36,12 @@ def cut_points(df: DataFrame, columns: list[str], buckets: int) -> dict[str, lis
 
 
 def with_bucket(df: DataFrame, column: str, points: list[float], name: str) -> DataFrame:
-    """Add the number of the bucket of ``column``; larger values never get a smaller number."""
+    """Add the number of the bucket of ``column``; larger values never get a smaller number, NULL gets -1."""
     inner = [p for p in points if -inf < p < inf]
     if not inner:
-        return df.withColumn(name, F.lit(0.0))
+        return df.withColumn(name, F.when(F.col(column).isNull(), -1.0).otherwise(0.0))
     cutter = Bucketizer(splits=[-inf, *inner, inf], inputCol=column, outputCol=name, handleInvalid="keep")
-    return cutter.transform(df)
+    return cutter.transform(df).withColumn(name, F.coalesce(name, F.lit(-1.0)))
 
 
 def running_totals(
@@ -60,77 +65,143 @@ def running_totals(
     )
 
 
-def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]], buckets: int | None = None) -> DataFrame:
+class _Bracket:
+    """A value range that holds the wanted rank of a column, with the exact rows below and inside it."""
+
+    def __init__(self, column: str, probability: float):
+        self.column = column
+        self.probability = probability
+        self.low, self.high = -inf, inf
+        self.below = self.inside = self.size = 0
+
+    @property
+    def position(self) -> float:
+        return self.probability * (self.size - 1)
+
+    @property
+    def range(self) -> tuple[str, float, float]:
+        return self.column, self.low, self.high
+
+    def holds(self) -> Column:
+        return F.col(self.column).between(F.lit(self.low), F.lit(self.high))
+
+    def narrow(self, low: float, high: float, below: int, upto: int) -> bool:
+        """Take over each end that provably keeps the rank inside; tell whether the bracket shrank."""
+        end, before = self.below + self.inside, self.inside
+        if below <= floor(self.position):
+            self.low, self.below = low, below
+        if upto > ceil(self.position):
+            self.high, end = high, upto
+        self.inside = end - self.below
+        return self.inside < before
+
+
+def _narrow_all(df: DataFrame, brackets: list[_Bracket], accuracy: int, limit: int) -> None:
+    """Narrow the brackets until each has at most ``limit`` rows or holds a single hot value.
+
+    One round is two aggregations over the columns: approximate quantiles on both sides of the rank,
+    then exact counts at those values. Nothing is shuffled but the partial results.
+    """
+    margin = 2.0 / accuracy
+    columns = sorted({b.column for b in brackets})
+    todo = brackets
+    first = True
+    while todo:
+        groups: dict[tuple[str, float, float], list[_Bracket]] = {}
+        for b in todo:
+            groups.setdefault(b.range, []).append(b)
+        aggregates = []
+        for g, members in enumerate(groups.values()):
+            ends = []
+            for b in members:
+                share = b.probability if first else (b.position - b.below) / max(b.inside - 1, 1)
+                ends += [min(max(share - margin, 0.0), 1.0), min(max(share + margin, 0.0), 1.0)]
+            values = F.when(members[0].holds(), F.col(members[0].column))
+            aggregates.append(F.percentile_approx(values, ends, accuracy).alias(f"_{g}"))
+        sizes = [F.count(c).alias(c) for c in columns] if first else []
+        row = df.agg(*aggregates, *sizes).first()
+        if first:
+            for b in brackets:
+                b.size = b.inside = row[b.column]
+        found = [
+            (b, row[f"_{g}"][2 * i], row[f"_{g}"][2 * i + 1])
+            for g, members in enumerate(groups.values())
+            if row[f"_{g}"]
+            for i, b in enumerate(members)
+        ]
+        if not found:
+            return
+        counts = df.agg(
+            *[F.count_if(F.col(b.column) < low).alias(f"below{i}") for i, (b, low, _) in enumerate(found)],
+            *[F.count_if(F.col(b.column) <= high).alias(f"upto{i}") for i, (b, _, high) in enumerate(found)],
+        ).first()
+        shrunk = [
+            b
+            for i, (b, low, high) in enumerate(found)
+            if b.narrow(low, high, counts[f"below{i}"], counts[f"upto{i}"])
+        ]
+        todo = [b for b in shrunk if b.inside > limit and b.low < b.high]
+        first = False
+
+
+def exact_quantiles(
+    df: DataFrame, wanted: dict[str, list[float]], accuracy: int = 10_000, limit: int = 5_000_000
+) -> DataFrame:
     """Exact quantiles with linear interpolation: rows (column, probability, value).
 
-    NULL and NaN are skipped. Only the buckets that hold a wanted rank are sorted.
+    NULL and NaN are skipped. Two or more narrow scans bracket the wanted ranks; the last one reads,
+    counts and sorts only the values inside the brackets, which are plain range predicates that the
+    scan can use. Hand in stored rows when the input is costly to compute.
     """
-    columns = list(wanted)
-    tagged = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    points = cut_points(tagged, columns, buckets or bucket_count(df))
-    for c in columns:
-        tagged = with_bucket(tagged, c, points[c], f"_bucket_{c}")
+    brackets = [_Bracket(c, float(p)) for c, shares in wanted.items() for p in shares]
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in wanted])
+    _narrow_all(numbers.select(*[F.nanvl(c, F.lit(None)).alias(c) for c in wanted]), brackets, accuracy, limit)
+
+    def literal(values: list) -> Column:
+        return F.array(*[F.lit(v) for v in values])[F.col("target")]
+
     cells = F.array(
         *[
-            F.struct(F.lit(c).alias("column"), F.col(f"_bucket_{c}").alias("bucket"), F.col(c).alias("value"))
-            for c in columns
+            F.struct(F.lit(i).alias("target"), F.when(b.holds(), F.col(b.column)).alias("value"))
+            for i, b in enumerate(brackets)
         ]
     )
     counts = (
-        tagged.select(F.inline(cells))
-        .where(F.col("value").isNotNull() & ~F.isnan("value"))
-        .groupBy("column", "bucket", "value")
+        numbers.where(reduce(lambda x, y: x | y, [b.holds() for b in brackets]))
+        .select(F.inline(cells))
+        .where(F.col("value").isNotNull())
+        .groupBy("target", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    running = F.sum("n").over(W.partitionBy("target").orderBy("value"))
+    ranked = counts.withColumn("last", literal([b.below for b in brackets]) + running)
 
-    by_column = W.partitionBy("column")
-    spans = (
-        counts.groupBy("column", "bucket")
-        .agg(F.sum("n").alias("rows"))
-        .withColumn("end", F.sum("rows").over(by_column.orderBy("bucket")))
-        .withColumn("total", F.sum("rows").over(by_column))
-    )
-    shares = F.lit(None).cast("array<double>")
-    for c in columns:
-        shares = F.when(F.col("column") == c, F.array(*[F.lit(float(p)) for p in wanted[c]])).otherwise(shares)
-    targets = (
-        spans.select("column", "bucket", "rows", "end", "total", F.explode(shares).alias("probability"))
-        .withColumn("position", F.col("probability") * (F.col("total") - 1))
-        .withColumn("low", F.floor("position"))
-        .withColumn("high", F.ceil("position"))
-        .where((F.col("end") > F.col("low")) & (F.col("end") - F.col("rows") <= F.col("high")))
-        .select("column", "bucket", "probability", "position", "low", "high", (F.col("end") - F.col("rows")).alias("start"))
-    )
-    inside = W.partitionBy("column", "probability", "bucket").orderBy("value")
-    ranked = counts.join(F.broadcast(targets), ["column", "bucket"]).withColumn(
-        "last", F.col("start") + F.sum("n").over(inside)
-    )
-
-    def holds(rank: str) -> Column:
-        return (F.col(rank) < F.col("last")) & (F.col(rank) >= F.col("last") - F.col("n"))
+    def at_rank(ranks: list[int]) -> Column:
+        rank = literal(ranks)
+        return F.max(F.when((rank < F.col("last")) & (rank >= F.col("last") - F.col("n")), F.col("value")))
 
+    positions = [b.position for b in brackets]
+    lower, upper = F.col("lower"), F.col("upper")
     return (
-        ranked.groupBy("column", "probability")
+        ranked.groupBy("target")
         .agg(
-            F.max(F.when(holds("low"), F.col("value"))).alias("lower"),
-            F.max(F.when(holds("high"), F.col("value"))).alias("upper"),
-            F.max(F.col("position") - F.col("low")).alias("part"),
+            at_rank([floor(p) for p in positions]).alias("lower"), at_rank([ceil(p) for p in positions]).alias("upper")
         )
         .select(
-            "column",
-            "probability",
-            (F.col("lower") + (F.col("upper") - F.col("lower")) * F.col("part")).alias("value"),
+            literal([b.column for b in brackets]).alias("column"),
+            literal([b.probability for b in brackets]).alias("probability"),
+            (lower + (upper - lower) * literal([p - floor(p) for p in positions])).alias("value"),
         )
     )
 
 
-def quantile_row(df: DataFrame, wanted: dict[str, tuple[str, float]], buckets: int | None = None) -> DataFrame:
+def quantile_row(df: DataFrame, wanted: dict[str, tuple[str, float]]) -> DataFrame:
     """Exact quantiles as one row: ``{name: (column, probability)}``."""
     shares: dict[str, list[float]] = {}
     for column, probability in wanted.values():
         if probability not in shares.setdefault(column, []):
             shares[column].append(probability)
-    found = exact_quantiles(df, shares, buckets)
+    found = exact_quantiles(df, shares)
     return found.agg(
         *[
             F.max(F.when((F.col("column") == c) & (F.col("probability") == p), F.col("value"))).alias(name)

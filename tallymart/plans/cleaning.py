@@ -5,6 +5,7 @@ from __future__ import annotations
 from tallymart.operators import cleaning, joins
 from tallymart.plans import sql_parts as q
 from tallymart.plans.registry import query, rounded
+from tallymart.session import stable
 from tallymart.sources import feeds
 
 
@@ -110,7 +111,8 @@ UNION ALL SELECT 'last_tx_date', '', max(tx_date)::VARCHAR FROM days
 UNION ALL SELECT 'busiest_day', tx_date::VARCHAR, n::VARCHAR FROM top_days"""
 )
 def quality_report(t):
-    return cleaning.quality_report(clean_tx(t), clean_profiles(t))
+    """The cleaned tables are written first; the checks then read the columns they need."""
+    return cleaning.quality_report(stable(clean_tx(t)), stable(clean_profiles(t)))
 
 
 @query(

@@ -7,6 +7,7 @@ from tallymart.plans import sql_parts as q
 from tallymart.plans.cleaning import clean_tx
 from tallymart.plans.registry import query, rounded
 from tallymart.plans.sales import features
+from tallymart.session import stable
 from tallymart.sources import feeds
 
 _DESCRIBED = ["avg_tx_amount", "days_since_last_tx", "total_tx_count", "tx_frequency"]
@@ -193,7 +194,8 @@ _PROFILED = ["amount", "quantity", "customer_age"]
     )
 )
 def column_profile(t):
-    profiled = profile.column_profile(feeds.demo_transactions(t), _PROFILED)
+    rows = stable(feeds.demo_transactions(t).select(*_PROFILED))
+    profiled = profile.column_profile(rows, _PROFILED)
     return rounded(profiled, 6, "mean", "stddev", "q1", "median", "q3")
 
 

@@ -8,6 +8,7 @@ from tallymart.operators import anomalies, churn, oversampling, risk, scaling, s
 from tallymart.plans import sql_parts as q
 from tallymart.plans.registry import query, rounded
 from tallymart.plans.sales import features
+from tallymart.session import stable
 from tallymart.sources import feeds
 
 
@@ -26,7 +27,7 @@ def customer_base(t):
 
 @query(f"WITH {q.RISK} SELECT round(md, 6) AS days_median, round(ms, 6) AS spent_median, ma AS activity_median FROM medians")
 def median_thresholds(t):
-    return rounded(risk.median_thresholds(base(t)), 6, "days_median", "spent_median")
+    return rounded(risk.median_thresholds(stable(base(t))), 6, "days_median", "spent_median")
 
 
 @query(f"WITH {q.RISK} SELECT * FROM risk")

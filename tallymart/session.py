@@ -53,11 +53,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def stable(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint, so later passes read the same stored rows."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+    """Write the rows to a table in the shared folder and read them from there.
+
+    Cuts the lineage: later passes see the same rows, do not repeat the work behind them, survive
+    lost executors, and read only the columns they need. The tables stay until the folder is cleared.
+    """
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def in_parallel(spark: SparkSession, work: Callable[[int], Result], times: int, threads: int = 4) -> list[Result]:

@@ -163,10 +163,13 @@ def demo_transactions(t: Tables) -> DataFrame:
 
     Attributes without a source in the test tables are derived from keys.
     """
-    ordered = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
     people = _customer_places(t).select(
         "c_custkey", "c_mktsegment", F.col("r_name").alias("region"), _registered().alias("registration_date")
     )
+    # Orders take on their customer first, so the larger line table is shuffled once, by order.
+    ordered = t.orders.select("o_orderkey", "o_custkey", "o_orderdate").join(
+        people, F.col("o_custkey") == F.col("c_custkey")
+    )
     parts = t.part.select("p_partkey", "p_type")
     lines = t.lineitem.select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag"
@@ -175,7 +178,6 @@ def demo_transactions(t: Tables) -> DataFrame:
     o = F.col("l_orderkey")
     return (
         lines.join(ordered, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(people, F.col("o_custkey") == F.col("c_custkey"))
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .select(
             c.cast("string").alias("customer_id"),
