@@ -53,7 +53,7 @@ def _cut_space(sample: np.ndarray, boxes: int) -> tuple[list, np.ndarray, np.nda
     return nodes, np.array(lows), np.array(highs)
 
 
-def nearest_neighbours(points: DataFrame, axes: int, k: int, seed: int = 42) -> DataFrame:
+def nearest_neighbours(points: DataFrame, axes: int, k: int, seed: int = 42, box_rows: int = BOX_ROWS) -> DataFrame:
     """Add ``neighbours``, the k nearest neighbours of each point.
 
     ``points`` has distinct ``point array<double>`` of ``axes`` numbers and ``weight``, the count of
@@ -62,7 +62,7 @@ def nearest_neighbours(points: DataFrame, axes: int, k: int, seed: int = 42) ->
     """
     spark = points.sparkSession
     total = points.count()
-    boxes = int(min(max(total // BOX_ROWS, 1), MAX_BOXES))
+    boxes = int(min(max(total // box_rows, 1), MAX_BOXES))
     share = min(1.0, boxes * SAMPLE_PER_BOX / max(total, 1))
     drawn = points.where(unit_interval("point", F.lit(seed)) < share).select("point").toPandas()["point"]
     sample = np.array([list(p) for p in drawn], dtype="float64").reshape(-1, axes)

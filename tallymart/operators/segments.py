@@ -42,7 +42,8 @@ def customer_segments(
     points = stable(laid_out.sortWithinPartitions("customer_id").select("_scaled"))
 
     def fit(run: int):
-        return KMeans(featuresCol="_scaled", predictionCol="_found", k=clusters, seed=seed + run).fit(points)
+        means = KMeans(featuresCol="_scaled", predictionCol="_found", k=clusters, maxIter=300, seed=seed + run)
+        return means.fit(points)
 
     runs = in_parallel(base.sparkSession, fit, restarts)
     best = min(runs, key=lambda run: run.summary.trainingCost)
@@ -54,9 +55,12 @@ def customer_segments(
 
 
 def segment_profile(df: DataFrame, cluster: str = "cluster") -> DataFrame:
-    """Mean and sample deviation of four measures and the customers per segment, rounded half-even to 2."""
+    """Mean and sample deviation of four measures and the customers per segment, to two digits.
+
+    Hundredths are rounded as floating-point numbers, half to even.
+    """
     measures = [
-        F.bround(fn(m), 2).alias(f"{m}_{name}")
+        (F.rint(fn(m) * 100) / 100).alias(f"{m}_{name}")
         for m in SEGMENT_FEATURES
         for name, fn in (("mean", F.avg), ("std", F.stddev_samp))
     ]

@@ -16,16 +16,27 @@ def read_csv_strings(spark: SparkSession, path: str, sep: str = ",") -> DataFram
     return spark.read.csv(path, header=True, sep=sep)
 
 
+def typed(df: DataFrame, schema: str) -> DataFrame:
+    """Cast text columns to a schema; a value that does not parse becomes NULL instead of an error."""
+    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in _struct(schema).fields])
+
+
 def read_csv(spark: SparkSession, path: str, schema: str, sep: str = ",") -> DataFrame:
-    """CSV with a header and a declared schema.
+    """CSV with a header and a declared schema; ``_corrupt_record`` holds the texts of a line that does not fit.
 
-    A line that does not fit keeps its raw text in ``_corrupt_record``; ``accepted`` and
-    ``rejected`` tell the two kinds apart.
+    The check is an expression over the texts, so a line does not pass as good because its bad column
+    was not asked for, and the rows can be counted. ``accepted`` and ``rejected`` tell them apart.
     """
-    typed = T.StructType(_struct(schema).fields + [T.StructField("_corrupt_record", T.StringType())])
-    return spark.read.csv(
-        path, schema=typed, header=True, sep=sep, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record"
-    )
+    fields = _struct(schema).fields
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in fields])
+    lines = spark.read.schema(texts).csv(path, header=True, sep=sep)
+    bad = F.lit(False)
+    for f in fields:
+        if not isinstance(f.dataType, T.StringType):
+            bad = bad | (F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull())
+    raw = F.concat_ws(sep, *[F.coalesce(F.col(f.name), F.lit("")) for f in fields])
+    values = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in fields]
+    return lines.select(*values, F.when(bad, raw).alias("_corrupt_record"))
 
 
 def accepted(df: DataFrame) -> DataFrame:
@@ -33,12 +44,8 @@ def accepted(df: DataFrame) -> DataFrame:
 
 
 def rejected(df: DataFrame) -> DataFrame:
-    return df.where(F.col("_corrupt_record").isNotNull()).select("_corrupt_record")
-
-
-def typed(df: DataFrame, schema: str) -> DataFrame:
-    """Cast text columns to a schema; a value that does not parse becomes NULL instead of an error."""
-    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in _struct(schema).fields])
+    """The lines that do not fit: the values that could be read, and all texts."""
+    return df.where(F.col("_corrupt_record").isNotNull())
 
 
 def cast_failures(df: DataFrame, schema: str) -> DataFrame:
