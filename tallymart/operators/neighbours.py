@@ -17,8 +17,8 @@ from pyspark.sql import types as T
 from tallymart.functions.hashing import unit_interval
 
 BOX_ROWS = 1024
-MAX_BOXES = 4096
-SAMPLE_PER_BOX = 64
+MAX_BOXES = 16_384
+SAMPLE_PER_BOX = 32
 
 
 def _cut_space(sample: np.ndarray, boxes: int) -> tuple[list, np.ndarray, np.ndarray]:
@@ -119,34 +119,48 @@ def nearest_neighbours(points: DataFrame, axes: int, k: int, seed: int = 42, box
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def boxes_touched(point: pd.Series, reach: pd.Series) -> pd.Series:
         _, lows, highs = shared.value
-        out = []
-        for p, r in zip(point.to_numpy(), reach.to_numpy(), strict=True):
-            p = np.asarray(p)
-            gap = np.maximum(np.maximum(lows - p, p - highs), 0.0)
-            out.append(np.flatnonzero((gap * gap).sum(axis=1) <= r * (1 + 1e-9)).astype("int32"))
-        return pd.Series(out)
+        data, limits = np.stack(point.to_numpy()), reach.to_numpy()
+        touched: list[np.ndarray] = []
+        block = max(1, 2_000_000 // len(lows))
+        for start in range(0, len(data), block):
+            part = data[start : start + block]
+            away = np.zeros((len(part), len(lows)))
+            for axis in range(axes):
+                here = part[:, axis : axis + 1]
+                gap = np.maximum(np.maximum(lows[:, axis] - here, here - highs[:, axis]), 0.0)
+                away += gap * gap
+            near = away <= limits[start : start + block, None] * (1 + 1e-9)
+            numbers = np.nonzero(near)[1].astype("int32")
+            touched += np.split(numbers, np.cumsum(near.sum(axis=1))[:-1])
+        return pd.Series(touched)
 
     def match(queries: pd.DataFrame, box: pd.DataFrame) -> pd.DataFrame:
-        rows: dict[str, list] = {"point": [], "near": [], "distance": [], "copies": []}
+        found: list[pd.DataFrame] = []
         if len(queries) and len(box):
-            asked = np.stack(queries["point"].to_numpy())
+            asked, limits = np.stack(queries["point"].to_numpy()), queries["reach"].to_numpy()
             data = np.stack(box["point"].to_numpy())
             by_value = np.lexsort(data.T[::-1])
             data, weights = data[by_value], box["weight"].to_numpy()[by_value]
             for start, squared, left in nearest_in_box(asked, data, weights):
-                limits = queries["reach"].to_numpy()[start : start + len(squared), None]
-                squared = np.where((left > 0) & (squared <= limits), squared, np.inf)
+                squared = np.where((left > 0) & (squared <= limits[start : start + len(squared), None]), squared, np.inf)
                 keep = min(k, squared.shape[1])
                 border = np.partition(squared, keep - 1, axis=1)[:, keep - 1 : keep]
                 closer, tied = squared < border, squared == border
                 room = keep - closer.sum(axis=1, keepdims=True)
                 chosen = (closer | (tied & (np.cumsum(tied, axis=1) <= room))) & np.isfinite(squared)
-                for i, j in zip(*np.nonzero(chosen), strict=True):
-                    rows["point"].append(asked[start + i])
-                    rows["near"].append(data[j])
-                    rows["distance"].append(squared[i, j])
-                    rows["copies"].append(int(left[i, j]))
-        return pd.DataFrame(rows)
+                i, j = np.nonzero(chosen)
+                found.append(
+                    pd.DataFrame(
+                        {
+                            "point": list(asked[start + i]),
+                            "near": list(data[j]),
+                            "distance": squared[i, j],
+                            "copies": left[i, j],
+                        }
+                    )
+                )
+        columns = ["point", "near", "distance", "copies"]
+        return pd.concat(found, ignore_index=True) if found else pd.DataFrame({c: [] for c in columns})
 
     boxed = points.select("point", "weight", box_of("point").alias("box"))
     reached = boxed.groupBy("box").applyInPandas(radius, "point array<double>, weight bigint, box int, reach double")

@@ -215,7 +215,8 @@ def hash_cutoffs(df: DataFrame, group: str, hashed: str, quotas: DataFrame) -> D
 
     ``quotas`` has (group, part, quota), a few rows per group. The first hash digits cut each group
     into equal buckets; only the bucket that holds the wanted rank is sorted, so a group with most of
-    the rows costs one aggregation. A quota of zero gives no row.
+    the rows costs one aggregation. Rows with the same hash are counted, not sorted one by one. A
+    quota of zero gives no row.
     """
     prefix = F.substring(F.col(hashed), 1, HASH_DIGITS)
     rows = df.select(F.col(group), F.col(hashed), prefix.alias("_prefix"))
@@ -226,10 +227,12 @@ def hash_cutoffs(df: DataFrame, group: str, hashed: str, quotas: DataFrame) -> D
         .where((F.col("quota") <= F.col("_end")) & (F.col("quota") > F.col("_end") - F.col("_rows")))
         .select(group, "_prefix", "part", (F.col("quota") - F.col("_end") + F.col("_rows")).alias("_nth"))
     )
-    nth = F.row_number().over(W.partitionBy(group, "part").orderBy(hashed))
+    upto = F.sum("_copies").over(W.partitionBy(group, "part").orderBy(hashed))
     return (
         rows.join(F.broadcast(targets), [group, "_prefix"])
-        .withColumn("_rank", nth)
-        .where(F.col("_rank") == F.col("_nth"))
+        .groupBy(group, "part", "_nth", hashed)
+        .agg(F.count(F.lit(1)).alias("_copies"))
+        .withColumn("_upto", upto)
+        .where(F.col("_nth").between(F.col("_upto") - F.col("_copies") + 1, F.col("_upto")))
         .select(group, "part", F.col(hashed).alias("cutoff"))
     )

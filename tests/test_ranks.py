@@ -62,3 +62,13 @@ def test_hash_cutoffs_find_the_nth_hash(spark):
     found = {(r["g"], r["part"]): r["cutoff"] for r in ranks.hash_cutoffs(df, "g", "h", quotas).collect()}
     ordered = {g: sorted(r["h"] for r in df.where(F.col("g") == g).collect()) for g in (0, 1)}
     assert found == {(0, "a"): ordered[0][16], (0, "b"): ordered[0][999], (1, "a"): ordered[1][0]}
+
+
+def test_hash_cutoffs_with_a_hot_key(spark):
+    df = spark.range(900).select(
+        F.lit(0).alias("g"), F.md5(F.when(F.col("id") < 300, F.lit("hot")).otherwise(F.col("id").cast("string"))).alias("h")
+    )
+    hashes = sorted(r["h"] for r in df.collect())
+    for quota in (1, 300, 450, 900):
+        quotas = spark.createDataFrame([(0, "a", quota)], "g int, part string, quota long")
+        assert ranks.hash_cutoffs(df, "g", "h", quotas).first()["cutoff"] == hashes[quota - 1]
