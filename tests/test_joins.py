@@ -28,6 +28,16 @@ def test_salted_join_equals_plain_join(sides, how, partitions):
     assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
 
 
+def test_hot_keys_are_found_exactly(sides, spark):
+    facts, dimension = sides
+    assert joins.hot_keys(facts, "k", 0.05) == ["hot"]
+    even = spark.range(5000).select(F.col("id").cast("string").alias("k"))
+    assert joins.hot_keys(even, "k", 0.05) == []
+    assert joins.hot_keys(facts.where("k IS NULL"), "k", 0.05) == []
+    plain = joins.join_detail(even, dimension, "k")
+    assert "_salt" not in plain._jdf.queryExecution().analyzed().toString()
+
+
 def test_keys_only_in_counts_null_as_a_key(spark):
     left = spark.createDataFrame([("a",), ("a",), (None,), ("b",)], "k string")
     right = spark.createDataFrame([("a",), ("c",)], "k string")
