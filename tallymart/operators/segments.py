@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -12,6 +14,8 @@ from tallymart.functions.rules import existing
 from tallymart.operators.risk import SEGMENT_FEATURES
 from tallymart.session import in_parallel, stable
 
+ROWS_PER_TASK = 250_000
+
 
 def customer_segments(
     base: DataFrame,
@@ -28,7 +32,8 @@ def customer_segments(
     they are, so the sample deviation serves as well as the population deviation.
     """
     names = existing(base, features or SEGMENT_FEATURES)
-    filled = base.withColumns({f"_{n}": F.coalesce(F.col(n).cast("double"), F.lit(0.0)) for n in names})
+    rows = stable(base)
+    filled = rows.withColumns({f"_{n}": F.coalesce(F.col(n).cast("double"), F.lit(0.0)) for n in names})
     scaling = Pipeline(
         stages=[
             VectorAssembler(inputCols=[f"_{n}" for n in names], outputCol="_raw"),
@@ -36,8 +41,8 @@ def customer_segments(
         ]
     ).fit(filled)
     scaled = scaling.transform(filled)
-    # A fixed layout: k-means draws its first centres per partition, in row order.
-    parts = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # K-means draws its first centres per partition, in row order: the layout must follow from the rows alone.
+    parts = max(1, ceil(rows.count() / ROWS_PER_TASK))
     laid_out = scaled.select("customer_id", "_scaled").repartition(parts, "customer_id")
     points = stable(laid_out.sortWithinPartitions("customer_id").select("_scaled"))
 

@@ -63,7 +63,7 @@ def stable(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def in_parallel(spark: SparkSession, work: Callable[[int], Result], times: int, threads: int = 4) -> list[Result]:
+def in_parallel(spark: SparkSession, work: Callable[[int], Result], times: int, threads: int = 8) -> list[Result]:
     """Results of ``work(0..times-1)``, a few fits at a time, so that short jobs of one fit do not idle the cluster."""
     run = inheritable_thread_target(spark)(work)
     with ThreadPool(min(threads, times)) as pool:
