@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
+from tallymart.functions.defaults import CONTAMINATION, SEED, TREES, TREE_ROWS
 from tallymart.functions.hashing import unit_interval
 from tallymart.functions.rules import existing
 from tallymart.operators.ranks import quantile_row
@@ -80,7 +81,7 @@ def _tree_grower(names: list[str], height: int, seed: int, leaf_path: list[float
 
 
 def fit_forest(
-    df: DataFrame, key: str, names: list[str], trees: int = 100, size: int = 256, seed: int = 42
+    df: DataFrame, key: str, names: list[str], trees: int = TREES, size: int = TREE_ROWS, seed: int = SEED
 ) -> tuple[pd.DataFrame, int]:
     """The nodes of all trees (at most ``trees * (2 * size - 1)`` rows) and the rows per tree."""
     rows = df.count()
@@ -122,12 +123,12 @@ def anomaly_degree(spark: SparkSession, nodes: pd.DataFrame, size: int):
 
 def detect_anomalies(
     base: DataFrame,
-    contamination: float = 0.1,
+    contamination: float = CONTAMINATION,
     features: list[str] | None = None,
     key: str = "customer_id",
-    trees: int = 100,
-    size: int = 256,
-    seed: int = 42,
+    trees: int = TREES,
+    size: int = TREE_ROWS,
+    seed: int = SEED,
 ) -> DataFrame:
     """Add ``anomaly_degree``, ``anomaly_score`` (-1 anomalous, 1 normal) and ``is_anomaly`` (0/1).
 

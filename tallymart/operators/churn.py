@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tallymart.functions.defaults import CHURN_AFTER_DAYS, SAMPLE_LIMIT
 from tallymart.functions.money import money_avg, money_sum, ratio
 from tallymart.functions.rules import all_present, as_of_day, flag
 
@@ -20,7 +21,7 @@ def churn_features(
     transactions: DataFrame,
     customers: DataFrame,
     as_of: Day = None,
-    churn_after_days: int = 30,
+    churn_after_days: int = CHURN_AFTER_DAYS,
     processed_at: dt.datetime | None = None,
 ) -> DataFrame:
     """One row per customer with transactions; profile columns are NULL when the profile is missing.
@@ -55,7 +56,7 @@ def churn_features(
     return features.withColumn("analysis_reference_date", end)
 
 
-def activity_churn(activity: DataFrame, end: Day = None, churn_after_days: int = 30) -> DataFrame:
+def activity_churn(activity: DataFrame, end: Day = None, churn_after_days: int = CHURN_AFTER_DAYS) -> DataFrame:
     """Flag customers whose last transaction lies before ``end - churn_after_days``."""
     border = F.date_sub(as_of_day(end, activity, "last_tx_date"), churn_after_days)
     return activity.withColumn("is_churned", flag(F.col("last_tx_date") < border))
@@ -106,7 +107,7 @@ def model_rows(features: DataFrame) -> DataFrame:
     return features.where(all_present(ML_REQUIRED))
 
 
-def feature_sample(features: DataFrame, limit: int = 1000) -> DataFrame:
+def feature_sample(features: DataFrame, limit: int = SAMPLE_LIMIT) -> DataFrame:
     """Six columns of the first customers in key order."""
     columns = ["customer_id", "is_churned", "avg_tx_amount", "total_tx_count", "days_since_last_tx", "region"]
     return features.select(*columns).orderBy("customer_id").limit(limit)

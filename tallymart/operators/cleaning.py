@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallymart.functions.defaults import MAX_AMOUNT, PROFILE_MAX_AGE_DAYS, TOP_DAYS, TRANSACTION_MAX_AGE_DAYS
 from tallymart.functions.money import money_avg, percent
 from tallymart.functions.rules import all_present, as_of_day, non_blank, within_days_before
 
@@ -17,7 +18,9 @@ TRANSACTION_KEYS = ["customer_id", "tx_date", "tx_amount"]
 CUSTOMER_KEYS = ["customer_id"]
 
 
-def transaction_rules(as_of: Column, max_amount: float = 1_000_000, max_age_days: int = 1825) -> dict[str, Column]:
+def transaction_rules(
+    as_of: Column, max_amount: float = MAX_AMOUNT, max_age_days: int = TRANSACTION_MAX_AGE_DAYS
+) -> dict[str, Column]:
     """What a transaction must satisfy, in the order in which the rules are applied."""
     return {
         "missing_value": all_present(TRANSACTION_KEYS),
@@ -28,7 +31,7 @@ def transaction_rules(as_of: Column, max_amount: float = 1_000_000, max_age_days
     }
 
 
-def customer_rules(as_of: Column, max_age_days: int = 3650) -> dict[str, Column]:
+def customer_rules(as_of: Column, max_age_days: int = PROFILE_MAX_AGE_DAYS) -> dict[str, Column]:
     """What a customer profile must satisfy."""
     return {
         "missing_value": all_present(["customer_id", "registration_date", "region"]),
@@ -54,14 +57,14 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
 
 
 def clean_transactions(
-    transactions: DataFrame, as_of: Day = None, max_amount: float = 1_000_000, max_age_days: int = 1825
+    transactions: DataFrame, as_of: Day = None, max_amount: float = MAX_AMOUNT, max_age_days: int = TRANSACTION_MAX_AGE_DAYS
 ) -> DataFrame:
     """Valid transactions, one per (customer, day, amount): the one with the smallest id."""
     rules = transaction_rules(as_of_day(as_of, transactions, "tx_date"), max_amount, max_age_days)
     return first_per_key(keep_valid(transactions, rules), TRANSACTION_KEYS, ["transaction_id"])
 
 
-def clean_customers(customers: DataFrame, as_of: Day = None, max_age_days: int = 3650) -> DataFrame:
+def clean_customers(customers: DataFrame, as_of: Day = None, max_age_days: int = PROFILE_MAX_AGE_DAYS) -> DataFrame:
     """Valid profiles, one per customer: the earliest registration."""
     rules = customer_rules(as_of_day(as_of, customers, "registration_date"), max_age_days)
     return first_per_key(keep_valid(customers, rules), CUSTOMER_KEYS, ["registration_date", "region"])
@@ -126,7 +129,7 @@ def _has_rows(df: DataFrame) -> Column:
     return df.select(F.lit(1).alias("_one")).limit(1).agg(F.count("_one") > 0).scalar()
 
 
-def quality_report(transactions: DataFrame, customers: DataFrame, top_days: int = 10) -> DataFrame:
+def quality_report(transactions: DataFrame, customers: DataFrame, top_days: int = TOP_DAYS) -> DataFrame:
     """Rows (check, item, value): key mismatches, date span and busiest days; empty if a side is empty."""
 
     def lines(df: DataFrame, names: list[str]) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallymart.functions.defaults import STATISTICS_LIMIT
 from tallymart.functions.money import money, money_avg, money_sum, ratio
 from tallymart.operators.joins import client_columns
 
@@ -59,7 +60,7 @@ def regional_activity(customers: DataFrame, activity: DataFrame) -> DataFrame:
     )
 
 
-def transaction_statistics(transactions: DataFrame, limit: int = 100) -> DataFrame:
+def transaction_statistics(transactions: DataFrame, limit: int = STATISTICS_LIMIT) -> DataFrame:
     """Statistics of the first ``limit`` customers in key order."""
     return (
         transactions.groupBy("customer_id")

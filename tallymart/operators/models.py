@@ -16,6 +16,15 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallymart.functions.defaults import (
+    CHURN_MAX_ITER,
+    CHURN_REG_PARAM,
+    FOLDS,
+    PREDICTIONS_LIMIT,
+    SEED,
+    TEST_SHARE,
+    TRAIN_SHARE,
+)
 from tallymart.operators.churn import model_rows
 from tallymart.operators.oversampling import oversample_minority
 from tallymart.operators.risk import feature_names, select_features
@@ -62,10 +71,10 @@ def evaluate(predictions: DataFrame, label: str) -> dict[str, float]:
 
 def train_churn_model(
     features: DataFrame,
-    train_share: float = 0.8,
-    seed: int = 42,
-    max_iter: int = 50,
-    reg_param: float = 0.01,
+    train_share: float = TRAIN_SHARE,
+    seed: int = SEED,
+    max_iter: int = CHURN_MAX_ITER,
+    reg_param: float = CHURN_REG_PARAM,
     exclude_leaky: bool = False,
 ) -> Trained:
     """Logistic regression of ``is_churned``: stages and model are fitted on the train rows only.
@@ -120,8 +129,8 @@ def train_risk_model(
     params: dict | None = None,
     label: str = "composite_risk",
     features: list[str] | None = None,
-    test_share: float = 0.3,
-    seed: int = 42,
+    test_share: float = TEST_SHARE,
+    seed: int = SEED,
     balance: bool = True,
     exclude_leaky: bool = False,
 ) -> Trained:
@@ -145,8 +154,8 @@ def cross_validated_f1(
     features: list[str],
     label: str,
     key: str = "customer_id",
-    folds: int = 5,
-    seed: int = 42,
+    folds: int = FOLDS,
+    seed: int = SEED,
     kind: str = "LogisticRegression",
     params: dict | None = None,
 ) -> DataFrame:
@@ -172,7 +181,9 @@ def cross_validation_summary(scores: DataFrame) -> DataFrame:
     return scores.agg(F.avg("f1").alias("mean_f1"), (F.stddev_pop("f1") * 2).alias("two_std"))
 
 
-def predictions_sample(predictions: DataFrame, label: str, key: str = "customer_id", limit: int = 100) -> DataFrame:
+def predictions_sample(
+    predictions: DataFrame, label: str, key: str = "customer_id", limit: int = PREDICTIONS_LIMIT
+) -> DataFrame:
     """Actual and predicted class of the first ``limit`` rows in key order."""
     return (
         predictions.select(

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallymart.functions.defaults import SEED
 from tallymart.functions.hashing import unit_interval
 
 BOX_ROWS = 1024
@@ -53,7 +54,7 @@ def _cut_space(sample: np.ndarray, boxes: int) -> tuple[list, np.ndarray, np.nda
     return nodes, np.array(lows), np.array(highs)
 
 
-def nearest_neighbours(points: DataFrame, axes: int, k: int, seed: int = 42, box_rows: int = BOX_ROWS) -> DataFrame:
+def nearest_neighbours(points: DataFrame, axes: int, k: int, seed: int = SEED, box_rows: int = BOX_ROWS) -> DataFrame:
     """Add ``neighbours``, the k nearest neighbours of each point.
 
     ``points`` has distinct ``point array<double>`` of ``axes`` numbers and ``weight``, the count of

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallymart.functions.defaults import NEIGHBOURS, SEED
 from tallymart.functions.hashing import key_hash, unit_interval
 from tallymart.operators.neighbours import nearest_neighbours
 from tallymart.operators.ranks import hash_cutoffs
@@ -14,7 +15,7 @@ CHUNK = 10_000
 
 
 def synthetic_rows(
-    minority: DataFrame, features: list[str], key: str, size: int, needed: int, k: int = 5, seed: int = 42
+    minority: DataFrame, features: list[str], key: str, size: int, needed: int, k: int = NEIGHBOURS, seed: int = SEED
 ) -> DataFrame:
     """``needed`` rows ``x + u * (neighbour - x)`` over the ``size`` minority rows x.
 
@@ -61,7 +62,7 @@ def synthetic_rows(
 
 
 def oversample_minority(
-    df: DataFrame, features: list[str], label: str, key: str, k: int = 5, seed: int = 42
+    df: DataFrame, features: list[str], label: str, key: str, k: int = NEIGHBOURS, seed: int = SEED
 ) -> DataFrame:
     """Raise every class to the size of the largest with synthetic rows: rows (features, label, is_synthetic).
 

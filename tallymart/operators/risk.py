@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallymart.functions.defaults import RECENT_DAYS
 from tallymart.functions.money import money_avg, money_sum
 from tallymart.functions.rules import as_of_day, existing, flag
 from tallymart.operators.ranks import quantile_row
@@ -27,7 +28,7 @@ SEGMENT_FEATURES = ["total_transactions", "total_spent", "days_since_last_transa
 LABEL_INPUTS = ["days_since_last_transaction", "total_spent", "transactions_last_90d"]
 
 
-def customer_base(transactions: DataFrame, as_of: Day = None, recent_days: int = 90) -> DataFrame:
+def customer_base(transactions: DataFrame, as_of: Day = None, recent_days: int = RECENT_DAYS) -> DataFrame:
     """One row per customer: totals, recency and the count within ``(as_of - recent_days, as_of]``."""
     end = as_of_day(as_of, transactions, "tx_date")
     recent = (F.col("tx_date") > F.date_sub(end, recent_days)) & (F.col("tx_date") <= end)

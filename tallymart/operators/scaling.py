@@ -10,6 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallymart.functions.defaults import MAX_AGE_YEARS, MAX_INCOME
 from tallymart.functions.rules import cap, existing
 
 # The numeric features of the churn model, in model order.
@@ -28,11 +29,11 @@ CHURN_LABEL_INPUTS = ["days_since_last_tx"]
 def valid_scoring_rows(df: DataFrame) -> DataFrame:
     """Age within 0 and 100 and a non-negative income, neither missing."""
     return df.where(F.col("age").isNotNull() & F.col("income").isNotNull()).where(
-        F.col("age").between(0, 100) & (F.col("income") >= 0)
+        F.col("age").between(0, MAX_AGE_YEARS) & (F.col("income") >= 0)
     )
 
 
-def capped_income(df: DataFrame, limit: float = 1_000_000) -> DataFrame:
+def capped_income(df: DataFrame, limit: float = MAX_INCOME) -> DataFrame:
     return df.withColumn("income", cap("income", limit))
 
 

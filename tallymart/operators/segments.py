@@ -10,6 +10,7 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallymart.functions.defaults import CLUSTERS, RESTARTS, SEED
 from tallymart.functions.rules import existing
 from tallymart.operators.risk import SEGMENT_FEATURES
 from tallymart.session import in_parallel, stable
@@ -19,10 +20,10 @@ ROWS_PER_TASK = 250_000
 
 def customer_segments(
     base: DataFrame,
-    clusters: int = 3,
+    clusters: int = CLUSTERS,
     features: list[str] | None = None,
-    restarts: int = 10,
-    seed: int = 42,
+    restarts: int = RESTARTS,
+    seed: int = SEED,
     order_by: str = "total_spent",
 ) -> DataFrame:
     """Add ``cluster`` ("0", "1", ...) by k-means on the standardised features, gaps read as 0.

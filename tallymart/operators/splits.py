@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallymart.functions.defaults import FOLDS, SEED, TEST_SHARE, TRAIN_SHARE
 from tallymart.functions.hashing import in_share, key_hash
 from tallymart.operators.ranks import hash_cutoffs
 
 
-def hash_split(df: DataFrame, key: str, train_share: float = 0.8, seed: int = 42) -> DataFrame:
+def hash_split(df: DataFrame, key: str, train_share: float = TRAIN_SHARE, seed: int = SEED) -> DataFrame:
     """Add ``split``: "train" for about ``train_share`` of the keys, else "test". No shuffle."""
     train = in_share(key_hash(key, seed), train_share)
     return df.withColumn("split", F.when(train, "train").otherwise("test"))
@@ -27,7 +28,7 @@ def _with_cutoffs(df: DataFrame, key: str, label: str, seed: int, quotas: dict[s
     return hashed.join(F.broadcast(limits), label, "left")
 
 
-def stratified_split(df: DataFrame, key: str, label: str, test_share: float = 0.3, seed: int = 42) -> DataFrame:
+def stratified_split(df: DataFrame, key: str, label: str, test_share: float = TEST_SHARE, seed: int = SEED) -> DataFrame:
     """Add ``split`` with exactly ``round(test_share * n)`` test rows in each class of n rows.
 
     The cutoff hash of each class (a few rows) is broadcast; rows are not sorted or moved.
@@ -37,7 +38,7 @@ def stratified_split(df: DataFrame, key: str, label: str, test_share: float = 0.
     return rows.withColumn("split", F.when(test, "test").otherwise("train")).select(*df.columns, "split")
 
 
-def stratified_folds(df: DataFrame, key: str, label: str, folds: int = 5, seed: int = 42) -> DataFrame:
+def stratified_folds(df: DataFrame, key: str, label: str, folds: int = FOLDS, seed: int = SEED) -> DataFrame:
     """Add ``fold`` in 0..folds-1; the folds of a class differ by at most one row."""
     quotas = {f"{i}": F.floor(F.col("_n") * i / folds) for i in range(1, folds)}
     rows = _with_cutoffs(df, key, label, seed, quotas)

@@ -144,3 +144,24 @@ def model_round_trip(t):
     again = models.scored_rows(PipelineModel.load(path).transform(raw), "is_churned")
     before = models.scored_rows(trained.predictions, "is_churned").select("customer_id", F.col("score").alias("before"))
     return again.join(before, "customer_id").withColumn("difference", F.abs(F.col("score") - F.col("before")))
+
+
+@query(
+    f"""WITH {q.FEATURES} SELECT count(*) AS "rows", 0::BIGINT AS changed_scores, 0::BIGINT AS changed_classes
+FROM features WHERE md5(customer_id || '|42') >= 'cccccccd' AND std_tx_amount IS NOT NULL"""
+)
+def model_reload_differences(t):
+    """Test rows scored by the reloaded pipeline, and how many of them changed."""
+    path = scratch_path(t.spark, "model")
+    trained = models.train_churn_model(features(t))
+    writers.save_model(trained.model, path)
+    raw = trained.predictions.drop("features", "region_index", "rawPrediction", "probability", "prediction")
+    again = models.scored_rows(PipelineModel.load(path).transform(raw), "is_churned")
+    before = models.scored_rows(trained.predictions, "is_churned").select(
+        "customer_id", F.col("score").alias("before"), F.col("prediction").alias("was")
+    )
+    return again.join(before, "customer_id").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.abs(F.col("score") - F.col("before")) > 1e-12).alias("changed_scores"),
+        F.count_if(F.col("prediction") != F.col("was")).alias("changed_classes"),
+    )

@@ -1,4 +1,4 @@
-"""Declared schemas of the input tables."""
+"""The declared schemas of the input tables."""
 
 ORDERS = (
     "order_id string, client_id string, order_amount double, order_date string, city string, loyalty_level string"

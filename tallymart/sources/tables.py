@@ -6,6 +6,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallymart.functions.defaults import SAMPLE_LIMIT, TRAINING_LIMIT
+
 
 def list_tables(spark: SparkSession, database: str) -> list[str]:
     """Names of the tables of a database, in order; empty when the database does not exist."""
@@ -24,11 +26,11 @@ def first_rows(df: DataFrame, key: str, limit: int) -> DataFrame:
     return df.orderBy(key).limit(limit)
 
 
-def customer_rows(spark: SparkSession, table: str, limit: int = 1000, key: str = "customer_id") -> DataFrame:
+def customer_rows(spark: SparkSession, table: str, limit: int = SAMPLE_LIMIT, key: str = "customer_id") -> DataFrame:
     return first_rows(spark.table(table), key, limit)
 
 
 def labelled_rows(
-    spark: SparkSession, table: str, label: str = "churn_label", limit: int = 5000, key: str = "customer_id"
+    spark: SparkSession, table: str, label: str = "churn_label", limit: int = TRAINING_LIMIT, key: str = "customer_id"
 ) -> DataFrame:
     return first_rows(spark.table(table).where(F.col(label).isNotNull()), key, limit)
