@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallymart.functions.money import ratio
 from tallymart.operators.ranks import running_totals
+from tallymart.session import stable
 
 
 def confusion(scored: DataFrame) -> DataFrame:
@@ -75,22 +76,24 @@ def class_report(scored: DataFrame) -> DataFrame:
 
 
 def _by_score(scored: DataFrame) -> DataFrame:
-    return scored.groupBy("score").agg(
-        F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")
+    """Rows of each class per distinct score, stored: scored rows are read once."""
+    return stable(
+        scored.groupBy("score").agg(
+            F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")
+        )
     )
 
 
 def roc_points(scored: DataFrame) -> DataFrame:
     """One point per distinct score, from the origin (NULL threshold) to (1, 1)."""
-    totals = scored.agg(
-        F.struct(F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg"))
-    ).scalar()
-    points = running_totals(_by_score(scored), "score", ["pos", "neg"], descending=True).select(
+    by_score = _by_score(scored)
+    totals = by_score.agg(F.struct(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))).scalar()
+    points = running_totals(by_score, "score", ["pos", "neg"], descending=True).select(
         F.col("score").alias("threshold"),
         ratio(F.col("cum_neg"), totals["neg"]).alias("fpr"),
         ratio(F.col("cum_pos"), totals["pos"]).alias("tpr"),
     )
-    origin = scored.limit(1).select(
+    origin = by_score.limit(1).select(
         F.lit(None).cast(points.schema["threshold"].dataType).alias("threshold"),
         F.lit(0.0).alias("fpr"),
         F.lit(0.0).alias("tpr"),

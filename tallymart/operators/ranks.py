@@ -47,7 +47,10 @@ def with_bucket(df: DataFrame, column: str, points: list[float], name: str) -> D
 def running_totals(
     df: DataFrame, value: str, measures: list[str], descending: bool = False, buckets: int | None = None
 ) -> DataFrame:
-    """Add ``cum_<measure>``: the running sum in the order of ``value``, whose values are distinct."""
+    """Add ``cum_<measure>``: the running sum in the order of ``value``, whose values are distinct.
+
+    The rows are read for the cut points, the bucket totals and the sums: hand in stored rows.
+    """
     points = cut_points(df, [value], buckets or bucket_count(df))[value]
     tagged = with_bucket(df, value, points, "_bucket")
 
