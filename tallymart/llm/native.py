@@ -47,10 +47,6 @@ def once(rows: DataFrame, name: str, value: Column) -> DataFrame:
     return rows.select("*", F.explode(F.array(value)).alias(name))
 
 
-def word_count(text: Column | str) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
-
-
 def unit(*parts: Column | str, seed: str) -> Column:
     """A number in [0, 1) with 52 random bits that depends on the values alone, so reruns and lost tasks agree."""
     texts = [F.coalesce(F.col(p).cast("string") if isinstance(p, str) else p, F.lit("")) for p in parts]
