@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymart.llm import decontamination, mixing, rules, sharding
+from tallymart.llm import decontamination, mixing, near, rules, sharding
 from tallymart.session import stable
 
 SHARDS = 24
@@ -18,6 +18,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rules.without_rejects(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates on five-word shingles."""
+    return near.deduplicated(docs, near.Near(shingle=5))
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item."""
     return decontamination.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -33,7 +38,13 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return sharding.interleave(docs, SHARDS)
 
 
-STAGES = [("quality rules", quality), ("decontamination", decontaminate), ("mixing", mix), ("sharding", shard)]
+STAGES = [
+    ("quality rules", quality),
+    ("near duplicates", near_duplicates),
+    ("decontamination", decontaminate),
+    ("mixing", mix),
+    ("sharding", shard),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymart.llm import decontamination, mixing, rules, sharding
+from tallymart.llm import decontamination, grammar, licenses, mixing, near, pii, rules, sharding, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -69,3 +69,46 @@ def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """Shard and slot of every document; the row counts of shards differ by one at most."""
     return sharding.shard_report(read(spark, folder, "documents"))
+
+
+def tokenizer_file(name: str) -> str:
+    """Where the public tokenizer's file is; it is at the same place on every node."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query()
+def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """License notices in documents, with coverage and span."""
+    return licenses.license_report(read(spark, folder, "documents"))
+
+
+@query()
+def op4_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Group of every document among near duplicates."""
+    return near.near_report(read(spark, folder, "documents")).drop("text_key")
+
+
+@query()
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.toxic_report(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
+@query()
+def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every document."""
+    return token_counts.token_report(read(spark, folder, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
+@query()
+def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Token ids of every document, written to grammar files and read back."""
+    return grammar.grammar_report(read(spark, folder, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
+@query()
+def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every document."""
+    return pii.pii_report(read(spark, folder, "documents"))
