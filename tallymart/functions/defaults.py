@@ -10,12 +10,6 @@ TOP_DAYS = 10
 CHURN_AFTER_DAYS = 30
 RECENT_DAYS = 90
 
-# Row limits of reports and samples.
-STATISTICS_LIMIT = 100
-SAMPLE_LIMIT = 1000
-TRAINING_LIMIT = 5000
-PREDICTIONS_LIMIT = 100
-
 # Scoring features.
 MAX_AGE_YEARS = 100
 MAX_INCOME = 1_000_000

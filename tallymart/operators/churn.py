@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tallymart.functions.defaults import CHURN_AFTER_DAYS, SAMPLE_LIMIT
+from tallymart.functions.defaults import CHURN_AFTER_DAYS
 from tallymart.functions.money import money_avg, money_sum, ratio
 from tallymart.functions.rules import all_present, as_of_day, flag
 
@@ -107,7 +107,8 @@ def model_rows(features: DataFrame) -> DataFrame:
     return features.where(all_present(ML_REQUIRED))
 
 
-def feature_sample(features: DataFrame, limit: int = SAMPLE_LIMIT) -> DataFrame:
-    """Six columns of the first customers in key order."""
+def feature_sample(features: DataFrame, limit: int) -> DataFrame:
+    """Six columns of the first ``limit`` customers in key order."""
+    # The columns of the sample.
     columns = ["customer_id", "is_churned", "avg_tx_amount", "total_tx_count", "days_since_last_tx", "region"]
     return features.select(*columns).orderBy("customer_id").limit(limit)

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from tallymart.functions.defaults import MAX_AMOUNT, PROFILE_MAX_AGE_DAYS, TOP_DAYS, TRANSACTION_MAX_AGE_DAYS
 from tallymart.functions.money import money_avg, percent
-from tallymart.functions.rules import all_present, as_of_day, non_blank, within_days_before
+from tallymart.functions.rules import all_present, day, non_blank, within_days_before
 
-Day = dt.date | str | Column | None
+Day = dt.date | str | Column
 
 TRANSACTION_KEYS = ["customer_id", "tx_date", "tx_amount"]
 CUSTOMER_KEYS = ["customer_id"]
@@ -57,16 +57,19 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
 
 
 def clean_transactions(
-    transactions: DataFrame, as_of: Day = None, max_amount: float = MAX_AMOUNT, max_age_days: int = TRANSACTION_MAX_AGE_DAYS
+    transactions: DataFrame, as_of: Day, max_amount: float = MAX_AMOUNT, max_age_days: int = TRANSACTION_MAX_AGE_DAYS
 ) -> DataFrame:
-    """Valid transactions, one per (customer, day, amount): the one with the smallest id."""
-    rules = transaction_rules(as_of_day(as_of, transactions, "tx_date"), max_amount, max_age_days)
+    """Valid transactions, one per (customer, day, amount): the one with the smallest id.
+
+    The day is the caller's: raw rows may hold dates of the future, so none of theirs can stand for today.
+    """
+    rules = transaction_rules(day(as_of), max_amount, max_age_days)
     return first_per_key(keep_valid(transactions, rules), TRANSACTION_KEYS, ["transaction_id"])
 
 
-def clean_customers(customers: DataFrame, as_of: Day = None, max_age_days: int = PROFILE_MAX_AGE_DAYS) -> DataFrame:
+def clean_customers(customers: DataFrame, as_of: Day, max_age_days: int = PROFILE_MAX_AGE_DAYS) -> DataFrame:
     """Valid profiles, one per customer: the earliest registration."""
-    rules = customer_rules(as_of_day(as_of, customers, "registration_date"), max_age_days)
+    rules = customer_rules(day(as_of), max_age_days)
     return first_per_key(keep_valid(customers, rules), CUSTOMER_KEYS, ["registration_date", "region"])
 
 

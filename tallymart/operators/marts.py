@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymart.functions.defaults import STATISTICS_LIMIT
 from tallymart.functions.money import money, money_avg, money_sum, ratio
 from tallymart.operators.joins import client_columns
 
@@ -60,20 +59,16 @@ def regional_activity(customers: DataFrame, activity: DataFrame) -> DataFrame:
     )
 
 
-def transaction_statistics(transactions: DataFrame, limit: int = STATISTICS_LIMIT) -> DataFrame:
-    """Statistics of the first ``limit`` customers in key order."""
-    return (
-        transactions.groupBy("customer_id")
-        .agg(
-            F.count(F.lit(1)).alias("tx_count"),
-            money_avg("tx_amount").alias("avg_amount"),
-            money_sum("tx_amount").alias("total_amount"),
-            F.min("tx_date").alias("first_transaction"),
-            F.max("tx_date").alias("last_transaction"),
-        )
-        .orderBy("customer_id")
-        .limit(limit)
+def transaction_statistics(transactions: DataFrame, limit: int | None = None) -> DataFrame:
+    """Statistics of every customer; with ``limit``, of the first customers in key order."""
+    rows = transactions.groupBy("customer_id").agg(
+        F.count(F.lit(1)).alias("tx_count"),
+        money_avg("tx_amount").alias("avg_amount"),
+        money_sum("tx_amount").alias("total_amount"),
+        F.min("tx_date").alias("first_transaction"),
+        F.max("tx_date").alias("last_transaction"),
     )
+    return rows if limit is None else rows.orderBy("customer_id").limit(limit)
 
 
 def overview(transactions: DataFrame) -> DataFrame:

@@ -10,7 +10,6 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -20,12 +19,12 @@ from tallymart.functions.defaults import (
     CHURN_MAX_ITER,
     CHURN_REG_PARAM,
     FOLDS,
-    PREDICTIONS_LIMIT,
     SEED,
     TEST_SHARE,
     TRAIN_SHARE,
 )
 from tallymart.operators.churn import model_rows
+from tallymart.operators.evaluation import auc, classification_metrics
 from tallymart.operators.oversampling import oversample_minority
 from tallymart.operators.risk import feature_names, select_features
 from tallymart.operators.scaling import churn_stages
@@ -54,18 +53,15 @@ def scored_rows(predictions: DataFrame, label: str, key: str = "customer_id") ->
 
 
 def evaluate(predictions: DataFrame, label: str) -> dict[str, float]:
-    """AUC on the full curve, class-weighted F1, F1 of class 1 and accuracy."""
-
-    def measure(name: str, **extra: float) -> float:
-        return MulticlassClassificationEvaluator(
-            labelCol=label, predictionCol="prediction", metricName=name, **extra
-        ).evaluate(predictions)
-
+    """AUC on the full curve, class-weighted F1, F1 of class 1 and accuracy: one aggregate by score, one by class."""
+    scored = scored_rows(predictions, label) if "probability" in predictions.columns else predictions
+    counted = classification_metrics(scored).first()
+    found = auc(scored).first()["auc"]
     return {
-        "auc": BinaryClassificationEvaluator(labelCol=label, numBins=0).evaluate(predictions),
-        "f1": measure("f1"),
-        "f1_binary": measure("fMeasureByLabel", metricLabel=1.0),
-        "accuracy": measure("accuracy"),
+        "auc": float("nan") if found is None else found,
+        "f1": counted["f1_weighted"],
+        "f1_binary": counted["f1_binary"],
+        "accuracy": counted["accuracy"],
     }
 
 
@@ -76,13 +72,17 @@ def train_churn_model(
     max_iter: int = CHURN_MAX_ITER,
     reg_param: float = CHURN_REG_PARAM,
     exclude_leaky: bool = False,
+    gaps: str = "fill",
 ) -> Trained:
     """Logistic regression of ``is_churned``: stages and model are fitted on the train rows only.
 
+    A customer with one transaction has no deviation; ``gaps`` says whether it counts as 0 with an entry of its
+    own ("fill") or the customer is left out of training and of the scored rows ("skip").
+
     The flag is a function of the recency feature, so the default model separates almost perfectly;
     ``exclude_leaky`` trains without it.
     """
-    stages, names = churn_stages(features, exclude_leaky)
+    stages, names = churn_stages(features, exclude_leaky, gaps)
     columns = [c for c in features.columns if c in {*names, "customer_id", "is_churned", "region"}]
     rows = stable(hash_split(model_rows(features).select(*columns), "customer_id", train_share, seed))
     prepared = Pipeline(stages=stages).fit(rows.where("split = 'train'"))
@@ -95,30 +95,62 @@ def train_churn_model(
     return Trained(model, names, scored, evaluate(scored, "is_churned"))
 
 
-# Parameter names of the classifier configuration and their Spark counterparts.
-FOREST_PARAMS = {"n_estimators": "numTrees", "max_depth": "maxDepth", "random_state": "seed"}
+# Parameter names of the classifier configuration.
+LOGISTIC_PARAMS = {"C", "max_iter", "tol", "fit_intercept", "penalty", "l1_ratio"}
+FOREST_PARAMS = {
+    "n_estimators": "numTrees",
+    "max_depth": "maxDepth",
+    "random_state": "seed",
+    "min_samples_leaf": "minInstancesPerNode",
+    "max_features": "featureSubsetStrategy",
+    "criterion": "impurity",
+    "max_samples": "subsamplingRate",
+    "bootstrap": "bootstrap",
+    "min_impurity_decrease": "minInfoGain",
+}
+# Settings of a run that change no result here.
+RUN_PARAMS = {"n_jobs", "verbose", "warm_start"}
+
+
+def _known(params: dict, names: set[str], kind: str) -> dict:
+    refused = sorted(set(params) - names - RUN_PARAMS)
+    if refused:
+        raise ValueError(f"{kind} has no counterpart for: {', '.join(refused)}")
+    return {k: v for k, v in params.items() if k in names}
 
 
 def make_classifier(kind: str, rows: int, label: str, params: dict | None = None):
-    """``LogisticRegression`` (C, max_iter) or ``RandomForestClassifier`` (n_estimators, max_depth, random_state).
+    """``LogisticRegression`` or ``RandomForestClassifier`` from the parameters of a configuration.
 
     The strength C weighs the summed loss against half the squared weights; Spark averages the loss,
-    hence ``regParam = 1 / (C * rows)`` on unscaled features.
+    hence ``regParam = 1 / (C * rows)`` on unscaled features. What Spark cannot express is refused.
     """
     params = dict(params or {})
     if kind == "LogisticRegression":
+        params.pop("random_state", None)  # the solver draws nothing at random
+        known = _known(params, LOGISTIC_PARAMS, kind)
+        penalty = known.get("penalty", "l2")
+        mixes = {None: 0.0, "none": 0.0, "l2": 0.0, "l1": 1.0, "elasticnet": known.get("l1_ratio")}
+        if mixes.get(penalty, -1) is None or penalty not in mixes:
+            raise ValueError(f"penalty {penalty} needs a known name, and elasticnet an l1_ratio")
         return LogisticRegression(
             labelCol=label,
             featuresCol="features",
-            regParam=1.0 / (float(params.get("C", 1.0)) * rows),
-            elasticNetParam=0.0,
+            regParam=0.0 if penalty in (None, "none") else 1.0 / (float(known.get("C", 1.0)) * rows),
+            elasticNetParam=float(mixes[penalty]),
             standardization=False,
-            maxIter=int(params.get("max_iter", 100)),
+            maxIter=int(known.get("max_iter", 100)),
+            tol=float(known.get("tol", 1e-6)),
+            fitIntercept=bool(known.get("fit_intercept", True)),
         )
     if kind == "RandomForestClassifier":
-        known = {FOREST_PARAMS[name]: value for name, value in params.items() if name in FOREST_PARAMS}
+        known = {FOREST_PARAMS[k]: v for k, v in _known(params, set(FOREST_PARAMS), kind).items()}
         if known.get("maxDepth") is None:
             known["maxDepth"] = 30
+        if "featureSubsetStrategy" in known:
+            known["featureSubsetStrategy"] = "all" if known["featureSubsetStrategy"] is None else str(known["featureSubsetStrategy"])
+        if known.get("subsamplingRate", 1.0) is None:
+            known.pop("subsamplingRate")
         return RandomForestClassifier(labelCol=label, featuresCol="features", **{"numTrees": 100, **known})
     raise ValueError(f"unknown model type: {kind}")
 
@@ -163,14 +195,12 @@ def cross_validated_f1(
     assembler = VectorAssembler(inputCols=features, outputCol="features")
     vectors = stable(assembler.transform(rows).select(key, "features", label))
     folded = stable(stratified_folds(vectors, key, label, folds, seed))
-    evaluator = MulticlassClassificationEvaluator(
-        labelCol=label, predictionCol="prediction", metricName="fMeasureByLabel", metricLabel=1.0
-    )
 
     def score(fold: int) -> tuple[int, float]:
         train = folded.where(F.col("fold") != fold)
         model = make_classifier(kind, train.count(), label, params).fit(train)
-        return fold, evaluator.evaluate(model.transform(folded.where(F.col("fold") == fold)))
+        held = scored_rows(model.transform(folded.where(F.col("fold") == fold)), label, key)
+        return fold, float(classification_metrics(held).first()["f1_binary"])
 
     scores = in_parallel(rows.sparkSession, score, folds)
     return rows.sparkSession.createDataFrame(scores, "fold int, f1 double")
@@ -181,9 +211,7 @@ def cross_validation_summary(scores: DataFrame) -> DataFrame:
     return scores.agg(F.avg("f1").alias("mean_f1"), (F.stddev_pop("f1") * 2).alias("two_std"))
 
 
-def predictions_sample(
-    predictions: DataFrame, label: str, key: str = "customer_id", limit: int = PREDICTIONS_LIMIT
-) -> DataFrame:
+def predictions_sample(predictions: DataFrame, label: str, limit: int, key: str = "customer_id") -> DataFrame:
     """Actual and predicted class of the first ``limit`` rows in key order."""
     return (
         predictions.select(

@@ -9,6 +9,7 @@ from tallymart.functions.defaults import NEIGHBOURS, SEED
 from tallymart.functions.hashing import key_hash, unit_interval
 from tallymart.operators.neighbours import nearest_neighbours
 from tallymart.operators.ranks import hash_cutoffs
+from tallymart.operators.splits import check_rows
 from tallymart.session import stable
 
 CHUNK = 10_000
@@ -62,23 +63,27 @@ def synthetic_rows(
 
 
 def oversample_minority(
-    df: DataFrame, features: list[str], label: str, key: str, k: int = NEIGHBOURS, seed: int = SEED
+    df: DataFrame, features: list[str], label: str, key: str, k: int = NEIGHBOURS, seed: int = SEED, most_classes: int = 100
 ) -> DataFrame:
     """Raise every class to the size of the largest with synthetic rows: rows (features, label, is_synthetic).
 
-    The input comes back with its features as doubles and no synthetic row when there is one class,
-    or when a class has no more than ``k`` rows.
+    Keys must be unique and labels present; more than ``most_classes`` label values are refused, since the work
+    is done class by class. The input comes back with its features as doubles. A class of no more than ``k`` rows
+    has too few neighbours and stays as it is; the others are raised.
     """
+    check_rows(df, key, label)
     original = df.select(*[F.col(f).cast("double").alias(f) for f in features], label, F.lit(0).alias("is_synthetic"))
-    sizes = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).limit(most_classes + 1).collect()}
+    if len(sizes) > most_classes:
+        raise ValueError(f"{label} has more than {most_classes} values")
     if len(sizes) < 2:
         return original
     largest = max(sizes.values())
     small = {c: n for c, n in sizes.items() if n < largest}
-    if any(n <= k for n in small.values()):
-        return original
     result = original
     for value, size in sorted(small.items(), key=lambda item: str(item[0])):
+        if size <= k:
+            continue
         made = synthetic_rows(df.where(F.col(label) == value), features, key, size, largest - size, k, seed)
         result = result.unionByName(
             made.withColumns({label: F.lit(value).cast(df.schema[label].dataType), "is_synthetic": F.lit(1)})

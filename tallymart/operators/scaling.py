@@ -5,7 +5,7 @@ from __future__ import annotations
 from math import sqrt
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import Normalizer, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Normalizer, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -90,15 +90,28 @@ def index_categories(df: DataFrame, column: str = "region", output: str | None =
 
 
 def churn_stages(
-    df: DataFrame, exclude_leaky: bool = False
-) -> tuple[list[StringIndexer | VectorAssembler], list[str]]:
-    """The unfitted feature stages and the names of the vector's entries."""
+    df: DataFrame, exclude_leaky: bool = False, gaps: str = "fill"
+) -> tuple[list[StringIndexer | SQLTransformer | VectorAssembler], list[str]]:
+    """The unfitted feature stages and the names of the vector's entries.
+
+    A customer with one transaction has no deviation. ``gaps="fill"`` reads it as 0 and adds an entry that says
+    so; ``gaps="skip"`` leaves such customers out.
+    """
+    if gaps not in ("fill", "skip"):
+        raise ValueError(f"unknown way with gaps: {gaps}")
     names = [c for c in existing(df, CHURN_FEATURES) if not (exclude_leaky and c in CHURN_LABEL_INPUTS)]
-    stages: list[StringIndexer | VectorAssembler] = []
+    stages: list[StringIndexer | SQLTransformer | VectorAssembler] = []
+    inputs = dict(zip(names, names, strict=True))
+    if gaps == "fill" and "std_tx_amount" in names:
+        filled = "coalesce(std_tx_amount, 0.0D) AS _std_filled, cast(std_tx_amount IS NULL AS double) AS _std_missing"
+        stages.append(SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__"))
+        inputs |= {"std_tx_amount": "_std_filled", "std_missing": "_std_missing"}
+        names = [*names, "std_missing"]
     if "region" in df.columns:
         stages.append(StringIndexer(inputCol="region", outputCol="region_index", handleInvalid="keep"))
         names = [*names, "region_index"]
-    stages.append(VectorAssembler(inputCols=names, outputCol="features", handleInvalid="skip"))
+    columns = [inputs.get(n, n) for n in names]
+    stages.append(VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="error" if gaps == "fill" else "skip"))
     return stages, names
 
 

@@ -16,8 +16,22 @@ def hash_split(df: DataFrame, key: str, train_share: float = TRAIN_SHARE, seed:
     return df.withColumn("split", F.when(train, "train").otherwise("test"))
 
 
+def check_rows(df: DataFrame, key: str, label: str) -> None:
+    """Fail when keys repeat (copies would cross a cut together) or a label is missing."""
+    row = df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_distinct(F.coalesce(F.col(key).cast("string"), F.lit(""))).alias("keys"),
+        F.count_if(F.col(label).isNull()).alias("unlabelled"),
+    ).first()
+    if row["rows"] != row["keys"]:
+        raise ValueError(f"{row['rows'] - row['keys']} rows repeat a value of {key}; hand in a unique key")
+    if row["unlabelled"]:
+        raise ValueError(f"{row['unlabelled']} rows have no {label}; drop them or label them")
+
+
 def _with_cutoffs(df: DataFrame, key: str, label: str, seed: int, quotas: dict[str, object]) -> DataFrame:
     """Add the hash and, per class, an array of cutoffs in the order of the quotas."""
+    check_rows(df, key, label)
     hashed = df.withColumn("_hash", key_hash(key, seed))
     sizes = hashed.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     wanted = sizes.select(
@@ -25,13 +39,13 @@ def _with_cutoffs(df: DataFrame, key: str, label: str, seed: int, quotas: dict[s
         F.inline(F.array(*[F.struct(F.lit(p).alias("part"), q.cast("bigint").alias("quota")) for p, q in quotas.items()])),
     )
     limits = hash_cutoffs(hashed, label, "_hash", wanted).groupBy(label).agg(F.collect_list("cutoff").alias("_cutoffs"))
-    return hashed.join(F.broadcast(limits), label, "left")
+    return hashed.join(limits, label, "left")
 
 
 def stratified_split(df: DataFrame, key: str, label: str, test_share: float = TEST_SHARE, seed: int = SEED) -> DataFrame:
     """Add ``split`` with exactly ``round(test_share * n)`` test rows in each class of n rows.
 
-    The cutoff hash of each class (a few rows) is broadcast; rows are not sorted or moved.
+    Keys must be unique and labels present. The cutoff hash of each class is joined; rows are not sorted.
     """
     rows = _with_cutoffs(df, key, label, seed, {"test": F.round(F.col("_n") * F.lit(test_share))})
     test = F.coalesce(F.exists("_cutoffs", lambda c: F.col("_hash") <= c), F.lit(False))

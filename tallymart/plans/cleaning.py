@@ -17,6 +17,14 @@ def clean_profiles(t):
     return cleaning.clean_customers(feeds.raw_customers(t), feeds.last_order_day(t))
 
 
+def patchy_tx(t):
+    return cleaning.clean_transactions(feeds.patchy_transactions(t), feeds.last_order_day(t))
+
+
+def patchy_profiles(t):
+    return cleaning.clean_customers(feeds.patchy_customers(t), feeds.last_order_day(t))
+
+
 @query(f"WITH {q.CLEAN} SELECT * FROM clean_tx")
 def clean_transactions(t):
     return clean_tx(t)
@@ -98,7 +106,7 @@ def busiest_days(t):
 
 
 @query(
-    f"""WITH {q.CLEAN}, days AS (SELECT tx_date, count(*) AS n FROM clean_tx GROUP BY tx_date),
+    f"""WITH {q.PATCHY}, days AS (SELECT tx_date, count(*) AS n FROM clean_tx GROUP BY tx_date),
 top_days AS (SELECT * FROM days ORDER BY n DESC, tx_date LIMIT 10)
 SELECT 'customers_without_transactions' AS "check", '' AS item,
   (SELECT count(DISTINCT customer_id) FROM clean_customers
@@ -112,23 +120,23 @@ UNION ALL SELECT 'busiest_day', tx_date::VARCHAR, n::VARCHAR FROM top_days"""
 )
 def quality_report(t):
     """The cleaned tables are written first; the checks then read the columns they need."""
-    return cleaning.quality_report(stable(clean_tx(t)), stable(clean_profiles(t)))
+    return cleaning.quality_report(stable(patchy_tx(t)), stable(patchy_profiles(t)))
 
 
 @query(
-    f"""WITH {q.CLEAN} SELECT DISTINCT customer_id FROM clean_customers
+    f"""WITH {q.PATCHY} SELECT DISTINCT customer_id FROM clean_customers
 WHERE customer_id NOT IN (SELECT customer_id FROM clean_tx)"""
 )
 def customers_without_transactions(t):
-    return joins.keys_only_in(clean_profiles(t), clean_tx(t), "customer_id")
+    return joins.keys_only_in(patchy_profiles(t), patchy_tx(t), "customer_id")
 
 
 @query(
-    f"""WITH {q.CLEAN} SELECT DISTINCT customer_id FROM clean_tx
+    f"""WITH {q.PATCHY} SELECT DISTINCT customer_id FROM clean_tx
 WHERE customer_id NOT IN (SELECT customer_id FROM clean_customers)"""
 )
 def transactions_without_profile(t):
-    return joins.keys_only_in(clean_tx(t), clean_profiles(t), "customer_id")
+    return joins.keys_only_in(patchy_tx(t), patchy_profiles(t), "customer_id")
 
 
 @query(f"WITH {q.CLEAN} SELECT DISTINCT customer_id FROM raw_tx")

@@ -48,7 +48,7 @@ def metrics_summary(t):
 
 @query()
 def churn_predictions_sample(t):
-    return models.predictions_sample(models.train_churn_model(features(t)).predictions, "is_churned")
+    return models.predictions_sample(models.train_churn_model(features(t)).predictions, "is_churned", limit=100)
 
 
 @query()

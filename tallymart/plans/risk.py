@@ -105,11 +105,11 @@ def normalized_features(t):
 
 @query(
     f"""WITH {q.PEOPLE}, ranked AS (
-  SELECT region, (row_number() OVER (ORDER BY count(*) DESC, region) - 1)::DOUBLE AS region_index FROM known GROUP BY region)
-SELECT customer_id, region, region_index FROM known JOIN ranked USING (region)"""
+  SELECT region, (row_number() OVER (ORDER BY count(*) DESC, region) - 1)::DOUBLE AS region_index FROM people GROUP BY region)
+SELECT customer_id, region, region_index FROM people JOIN ranked USING (region)"""
 )
 def region_index(t):
-    indexed = scaling.index_categories(feeds.known_customers(t), "region")
+    indexed = scaling.index_categories(feeds.customers(t), "region")
     return indexed.select("customer_id", "region", "region_index")
 
 
@@ -120,9 +120,9 @@ ranked AS (
   SELECT region, (row_number() OVER (ORDER BY count(*) DESC, region) - 1)::DOUBLE AS i
   FROM split WHERE train AND region IS NOT NULL GROUP BY region)
 SELECT customer_id, avg_tx_amount, total_tx_count::DOUBLE AS total_tx_count, days_since_last_tx::DOUBLE AS days_since_last_tx,
-  customer_lifetime_days::DOUBLE AS customer_lifetime_days, tx_frequency, round(std_tx_amount, 4) AS std_tx_amount,
-  coalesce(i, (SELECT count(*) FROM ranked)::DOUBLE) AS region_index
-FROM split LEFT JOIN ranked USING (region) WHERE NOT train AND std_tx_amount IS NOT NULL"""
+  customer_lifetime_days::DOUBLE AS customer_lifetime_days, tx_frequency, round(coalesce(std_tx_amount, 0.0), 4)::DOUBLE AS std_tx_amount,
+  (std_tx_amount IS NULL)::INT::DOUBLE AS std_missing, coalesce(i, (SELECT count(*) FROM ranked)::DOUBLE) AS region_index
+FROM split LEFT JOIN ranked USING (region) WHERE NOT train"""
 )
 def churn_vectors(t):
     rows = splits.hash_split(churn.model_rows(features(t)), "customer_id")

@@ -59,11 +59,11 @@ def activity_churn_summary(t):
     f"""WITH {q.TX}, {q.ACTIVITY}, {q.PEOPLE} SELECT region, count(*) AS customer_count,
   round(avg(tx_count), 6) AS avg_transactions_per_customer, sum(tx_count)::BIGINT AS total_transactions,
   round(avg(avg_tx_amount), 6) AS avg_tx_amount
-FROM known JOIN activity USING (customer_id) GROUP BY region"""
+FROM people JOIN activity USING (customer_id) GROUP BY region"""
 )
 def regional_activity(t):
     activity = marts.customer_activity(feeds.transactions(t))
-    mart = marts.regional_activity(feeds.known_customers(t), activity)
+    mart = marts.regional_activity(feeds.customers(t), activity)
     return rounded(mart, 6, "avg_transactions_per_customer", "avg_tx_amount")
 
 
@@ -115,7 +115,7 @@ def churn_totals(t):
 FROM features ORDER BY customer_id LIMIT 1000"""
 )
 def feature_sample(t):
-    return churn.feature_sample(features(t))
+    return churn.feature_sample(features(t), limit=1000)
 
 
 @query(
@@ -130,7 +130,7 @@ def model_rows(t):
     f"""WITH {q.TX} SELECT customer_id, count(*) AS tx_count,
   sum(tx_amount::DECIMAL(18,2))::DOUBLE / count(tx_amount) AS avg_amount,
   sum(tx_amount::DECIMAL(18,2))::DOUBLE AS total_amount, min(tx_date) AS first_transaction, max(tx_date) AS last_transaction
-FROM tx GROUP BY customer_id ORDER BY customer_id LIMIT 100"""
+FROM tx GROUP BY customer_id"""
 )
 def tx_stats(t):
     return marts.transaction_statistics(feeds.transactions(t))

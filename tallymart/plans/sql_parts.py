@@ -10,6 +10,11 @@ PLACES = """places AS (
 CLIENTS = f"""{PLACES}, clients AS (
   SELECT c_custkey::VARCHAR AS client_id, c_name AS name, n_name AS city, c_mktsegment AS loyalty_level FROM places)"""
 
+ODD_CLIENTS = f"""{CLIENTS}, odd_clients AS (
+  SELECT client_id, CASE client_id::BIGINT % 7 WHEN 0 THEN '  ' || name WHEN 1 THEN name || ' ' WHEN 2 THEN ''
+    WHEN 3 THEN NULL WHEN 4 THEN 'a "quoted", ' || name WHEN 5 THEN 'two' || chr(10) || 'lines\\' ELSE name END AS name,
+    city, loyalty_level FROM clients)"""
+
 SHOP = f"""{CLIENTS}, shop AS (
   SELECT o_orderkey::VARCHAR AS order_id, o_custkey::VARCHAR AS client_id, o_totalprice AS order_amount,
          strftime(o_orderdate, '%Y-%m-%d') AS order_date, n_name AS city, c_mktsegment AS loyalty_level
@@ -29,7 +34,9 @@ ACTIVITY = """activity AS (
          sum(tx_amount::DECIMAL(18,2))::DOUBLE / count(tx_amount) AS avg_tx_amount
   FROM tx GROUP BY customer_id)"""
 
-RAW_TX = """raw_tx AS (
+
+def _raw_tx(rows: str = "") -> str:
+    return f"""raw_tx AS (
   SELECT k || copy AS transaction_id, customer_id, tx_amount,
          CASE WHEN dated IS NOT NULL AND k::BIGINT % 97 = 0 THEN DATE '2000-01-15' ELSE dated END AS tx_date
   FROM (
@@ -40,7 +47,10 @@ RAW_TX = """raw_tx AS (
            WHEN o_orderkey % 47 = 0 THEN o_totalprice * 1000 ELSE o_totalprice END AS tx_amount,
       CASE WHEN o_orderkey % 61 = 0 THEN (SELECT d FROM as_of) + 30 WHEN o_orderkey % 67 = 0 THEN DATE '1990-01-01'
            WHEN o_orderkey % 71 = 0 THEN NULL ELSE o_orderdate::DATE END AS dated
-    FROM orders WHERE o_custkey % 11 <> 0))"""
+    FROM orders {rows}))"""
+
+
+RAW_TX = _raw_tx()
 
 CLEAN_TX = """valid_tx AS (
   SELECT * FROM raw_tx
@@ -52,7 +62,9 @@ clean_tx AS (
     SELECT *, row_number() OVER (PARTITION BY customer_id, tx_date, tx_amount ORDER BY transaction_id) AS rn FROM valid_tx)
   WHERE rn = 1)"""
 
-RAW_CUSTOMERS = """raw_customers AS (
+
+def _raw_customers(rows: str = "people") -> str:
+    return f"""raw_customers AS (
   SELECT customer_id, registered + shift AS registration_date, region
   FROM (
     SELECT customer_id,
@@ -60,7 +72,10 @@ RAW_CUSTOMERS = """raw_customers AS (
            WHEN customer_id::BIGINT % 19 = 0 THEN DATE '1980-01-01' ELSE registration_date END AS registered,
       CASE WHEN customer_id::BIGINT % 31 = 0 THEN NULL WHEN customer_id::BIGINT % 29 = 0 THEN '  ' ELSE region END AS region,
       unnest(CASE WHEN customer_id::BIGINT % 17 = 0 THEN [0, 1] ELSE [0] END) AS shift
-    FROM known))"""
+    FROM {rows}))"""
+
+
+RAW_CUSTOMERS = _raw_customers()
 
 CLEAN_CUSTOMERS = """valid_customers AS (
   SELECT * FROM raw_customers
@@ -73,6 +88,9 @@ clean_customers AS (
   WHERE rn = 1)"""
 
 CLEAN = f"{END}, {PEOPLE}, {RAW_TX}, {CLEAN_TX}, {RAW_CUSTOMERS}, {CLEAN_CUSTOMERS}"
+PATCHY = ", ".join(
+    [END, PEOPLE, _raw_tx("WHERE o_custkey % 11 <> 0"), CLEAN_TX, _raw_customers("known"), CLEAN_CUSTOMERS]
+)
 
 FEATURES = f"""{END}, {TX}, {PEOPLE}, per_customer AS (
   SELECT customer_id, max(tx_date) AS last_tx_date, min(tx_date) AS first_tx_date,

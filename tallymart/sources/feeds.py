@@ -47,6 +47,21 @@ def clients(t: Tables) -> DataFrame:
     )
 
 
+def odd_clients(t: Tables) -> DataFrame:
+    """Clients whose names try what a text file can hold."""
+    kind = F.col("client_id").cast("bigint") % 7
+    name = (
+        F.when(kind == 0, F.concat(F.lit("  "), "name"))
+        .when(kind == 1, F.concat("name", F.lit(" ")))
+        .when(kind == 2, F.lit(""))
+        .when(kind == 3, F.lit(None))
+        .when(kind == 4, F.concat(F.lit('a "quoted", '), "name"))
+        .when(kind == 5, F.lit("two\nlines\\"))
+        .otherwise(F.col("name"))
+    )
+    return clients(t).withColumn("name", name)
+
+
 def shop_orders(t: Tables) -> DataFrame:
     """Orders with the city and tier of the order itself."""
     places = _customer_places(t).select("c_custkey", "n_name", "c_mktsegment")
@@ -100,8 +115,16 @@ def known_customers(t: Tables) -> DataFrame:
 
 def raw_transactions(t: Tables) -> DataFrame:
     """Transactions with planted gaps, bad amounts, bad dates, a spike day and repeated rows."""
+    return _planted(t.orders, last_order_day(t))
+
+
+def patchy_transactions(t: Tables) -> DataFrame:
+    """The same without one customer in 11, for the checks of missing activity."""
+    return _planted(t.orders.where(F.col("o_custkey") % 11 != 0), last_order_day(t))
+
+
+def _planted(orders: DataFrame, end: Column) -> DataFrame:
     k = F.col("o_orderkey")
-    end = last_order_day(t)
     ordered = F.col("o_orderdate").cast("date")
     amount = (
         F.when(k % 41 == 0, F.lit(None))
@@ -120,7 +143,7 @@ def raw_transactions(t: Tables) -> DataFrame:
     )
     spiked = F.when(dated.isNotNull() & (k % 97 == 0), F.lit(SPIKE_DAY).cast("date")).otherwise(dated)
     copies = F.when(k % 37 == 0, F.array(F.lit(""), F.lit("-dup"))).otherwise(F.array(F.lit("")))
-    rows = t.orders.where(F.col("o_custkey") % 11 != 0).select(
+    rows = orders.select(
         k.cast("string").alias("_id"),
         F.explode(copies).alias("_copy"),
         customer.alias("customer_id"),
@@ -132,8 +155,16 @@ def raw_transactions(t: Tables) -> DataFrame:
 
 def raw_customers(t: Tables) -> DataFrame:
     """Profiles with planted gaps, blank regions, bad dates and repeated customers."""
+    return _damaged(customers(t), last_order_day(t))
+
+
+def patchy_customers(t: Tables) -> DataFrame:
+    """The same without one customer in 13, for the checks of missing profiles."""
+    return _damaged(known_customers(t), last_order_day(t))
+
+
+def _damaged(profiles: DataFrame, end: Column) -> DataFrame:
     c = F.col("customer_id").cast("bigint")
-    end = last_order_day(t)
     region = F.when(c % 31 == 0, F.lit(None)).when(c % 29 == 0, F.lit("  ")).otherwise(F.col("region"))
     registered = (
         F.when(c % 23 == 0, F.date_add(end, 1))
@@ -142,7 +173,7 @@ def raw_customers(t: Tables) -> DataFrame:
     )
     shifts = F.when(c % 17 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     return (
-        known_customers(t)
+        profiles
         .select("customer_id", registered.alias("registered"), region.alias("region"), F.explode(shifts).alias("shift"))
         .select("customer_id", F.date_add("registered", F.col("shift")).alias("registration_date"), "region")
     )

@@ -6,14 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallymart.sources.writers import CSV_OPTIONS
+
 
 def _struct(schema: str | T.StructType) -> T.StructType:
     return schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
 
 
-def read_csv_strings(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """CSV with a header, every column as text."""
-    return spark.read.csv(path, header=True, sep=sep)
+def read_csv_strings(spark: SparkSession, path: str, sep: str = ",", line_breaks: bool = False) -> DataFrame:
+    """CSV with a header, every column as text. Files whose values hold line breaks cannot be split."""
+    return spark.read.options(**CSV_OPTIONS).csv(path, sep=sep, multiLine=line_breaks)
 
 
 def typed(df: DataFrame, schema: str) -> DataFrame:
@@ -21,22 +23,25 @@ def typed(df: DataFrame, schema: str) -> DataFrame:
     return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in _struct(schema).fields])
 
 
-def read_csv(spark: SparkSession, path: str, schema: str, sep: str = ",") -> DataFrame:
-    """CSV with a header and a declared schema; ``_corrupt_record`` holds the texts of a line that does not fit.
+def read_csv(spark: SparkSession, path: str, schema: str, sep: str = ",", line_breaks: bool = False) -> DataFrame:
+    """CSV with a header and a declared schema; ``_corrupt_record`` holds a line that does not fit.
 
-    The check is an expression over the texts, so a line does not pass as good because its bad column
-    was not asked for, and the rows can be counted. ``accepted`` and ``rejected`` tell them apart.
+    The header must name the columns in the declared order, or reading fails. A line with too many or too few
+    values, or with a value that does not parse, is corrupt whichever columns are asked for: every line is
+    parsed in full, and the verdict hangs on all columns. ``accepted`` and ``rejected`` tell the rows apart.
     """
     fields = _struct(schema).fields
-    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in fields])
-    lines = spark.read.schema(texts).csv(path, header=True, sep=sep)
-    bad = F.lit(False)
+    texts = [T.StructField(f.name, T.StringType()) for f in fields]
+    with_line = T.StructType([*texts, T.StructField("_line", T.StringType())])
+    options = {**CSV_OPTIONS, "columnNameOfCorruptRecord": "_line", "columnPruning": False, "enforceSchema": False}
+    lines = spark.read.options(**options).schema(with_line).csv(path, sep=sep, multiLine=line_breaks)
+    raw = F.concat_ws(sep, *[F.coalesce(F.col(f.name), F.lit("")) for f in fields])
+    bad = F.col("_line").isNotNull() | (F.length(raw) < 0)  # the second never holds, but reads every column
     for f in fields:
         if not isinstance(f.dataType, T.StringType):
             bad = bad | (F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull())
-    raw = F.concat_ws(sep, *[F.coalesce(F.col(f.name), F.lit("")) for f in fields])
     values = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in fields]
-    return lines.select(*values, F.when(bad, raw).alias("_corrupt_record"))
+    return lines.select(*values, F.when(bad, F.coalesce("_line", raw)).alias("_corrupt_record"))
 
 
 def accepted(df: DataFrame) -> DataFrame:

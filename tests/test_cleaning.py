@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -80,3 +81,13 @@ def test_amount_filters_reach_the_scan(spark, tables, tmp_path):
     plan = cleaning.clean_transactions(spark.read.parquet(path), END)._jdf.queryExecution().executedPlan().toString()
     spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert "GreaterThan(tx_amount,0.0)" in plan and "LessThanOrEqual(tx_amount,1000000.0)" in plan
+
+
+def test_a_future_date_does_not_become_today(spark):
+    good = [(str(i), f"c{i}", 1.0, END) for i in range(20)]
+    raw = spark.createDataFrame([*good, ("x", "c", 1.0, dt.date(2099, 1, 1))], SCHEMA)
+    assert cleaning.clean_transactions(raw, END).count() == 20
+    with pytest.raises(TypeError):
+        cleaning.clean_transactions(raw)
+    people = spark.createDataFrame([("a", END, "X"), ("b", dt.date(2099, 1, 1), "X")], "customer_id string, registration_date date, region string")
+    assert [r["customer_id"] for r in cleaning.clean_customers(people, END).collect()] == ["a"]

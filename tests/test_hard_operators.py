@@ -94,6 +94,19 @@ def test_oversampling_leaves_hopeless_input_alone(unbalanced):
     assert oversampling.oversample_minority(few, ["x", "y"], "label", "k").where("is_synthetic = 1").count() == 0
 
 
+def test_a_tiny_class_does_not_stop_the_others(unbalanced, spark):
+    tiny = spark.createDataFrame([(f"t{i}", 0.0, float(i), 2) for i in range(3)], "k string, x double, y double, label int")
+    columns = ["k", "x", "y", "label"]
+    rows = unbalanced.select(*[F.col(c).cast(tiny.schema[c].dataType).alias(c) for c in columns]).unionByName(tiny)
+    made = oversampling.oversample_minority(rows, ["x", "y"], "label", "k").where("is_synthetic = 1")
+    assert {r["label"]: r["count"] for r in made.groupBy("label").count().collect()} == {1: 210}
+
+
+def test_oversampling_refuses_repeated_keys(unbalanced):
+    with pytest.raises(ValueError, match="repeat"):
+        oversampling.oversample_minority(unbalanced.unionByName(unbalanced.limit(1)), ["x", "y"], "label", "k")
+
+
 @pytest.fixture(scope="module")
 def crowd(spark):
     draw = np.random.default_rng(6)

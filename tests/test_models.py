@@ -97,7 +97,7 @@ def test_risk_models(spark, risks):
     report = reports.importance_report(spark, forest.model, forest.features)
     assert sum(r["importance"] for r in report.collect()) == pytest.approx(1.0)
     assert reports.importance_report(spark, linear.model, linear.features).columns[2] == "abs_importance"
-    sample = models.predictions_sample(linear.predictions, "composite_risk", limit=10).collect()
+    sample = models.predictions_sample(linear.predictions, "composite_risk", 10).collect()
     assert len(sample) == 10 and [r["customer_id"] for r in sample] == sorted(r["customer_id"] for r in sample)
     with pytest.raises(ValueError):
         models.make_classifier("Other", 1, "y")
@@ -132,3 +132,51 @@ def test_missing_measures_carry_no_risk(spark):
     )
     found = {r["customer_id"]: r["composite_risk"] for r in risk.composite_risk(df).select("customer_id", "composite_risk").collect()}
     assert found == {"0": 1, "1": 1, "2": 0, "3": 0, "x": 0}
+
+
+@pytest.mark.parametrize(
+    ("kind", "params", "name", "value"),
+    [
+        ("LogisticRegression", {"penalty": "l1"}, "elasticNetParam", 1.0),
+        ("LogisticRegression", {"penalty": "elasticnet", "l1_ratio": 0.25}, "elasticNetParam", 0.25),
+        ("LogisticRegression", {"penalty": None}, "regParam", 0.0),
+        ("LogisticRegression", {"C": 2.0}, "regParam", 0.005),
+        ("LogisticRegression", {"tol": 1e-3}, "tol", 1e-3),
+        ("LogisticRegression", {"fit_intercept": False}, "fitIntercept", False),
+        ("LogisticRegression", {"max_iter": 7, "random_state": 1, "n_jobs": 2}, "maxIter", 7),
+        ("RandomForestClassifier", {"min_samples_leaf": 4}, "minInstancesPerNode", 4),
+        ("RandomForestClassifier", {"max_features": "log2"}, "featureSubsetStrategy", "log2"),
+        ("RandomForestClassifier", {"max_features": None}, "featureSubsetStrategy", "all"),
+        ("RandomForestClassifier", {"criterion": "entropy"}, "impurity", "entropy"),
+        ("RandomForestClassifier", {"max_samples": 0.5}, "subsamplingRate", 0.5),
+        ("RandomForestClassifier", {"n_estimators": 3}, "numTrees", 3),
+        ("RandomForestClassifier", {"max_depth": 2, "bootstrap": False}, "maxDepth", 2),
+    ],
+)
+def test_each_parameter_has_its_counterpart(spark, kind, params, name, value):
+    assert models.make_classifier(kind, 100, "y", params).getOrDefault(name) == value
+
+
+@pytest.mark.parametrize(
+    ("kind", "params"),
+    [
+        ("LogisticRegression", {"class_weight": "balanced"}),
+        ("LogisticRegression", {"penalty": "l3"}),
+        ("LogisticRegression", {"penalty": "elasticnet"}),
+        ("RandomForestClassifier", {"class_weight": "balanced"}),
+        ("RandomForestClassifier", {"max_leaf_nodes": 4}),
+    ],
+)
+def test_other_parameters_are_refused(spark, kind, params):
+    with pytest.raises(ValueError):
+        models.make_classifier(kind, 100, "y", params)
+
+
+def test_customers_with_one_transaction_are_scored(features):
+    single = features.where("std_tx_amount IS NULL")
+    assert single.count() > 0
+    filled, skipped = models.train_churn_model(features), models.train_churn_model(features, gaps="skip")
+    assert "std_missing" in filled.features and "std_missing" not in skipped.features
+    lone = features.where("std_tx_amount IS NULL").select("customer_id")
+    assert skipped.predictions.join(lone, "customer_id").count() == 0
+    assert filled.predictions.count() - skipped.predictions.count() == filled.predictions.join(lone, "customer_id").count()

@@ -42,7 +42,18 @@ def test_splits_do_not_depend_on_partitioning(rows, split):
 
 
 def test_tiny_classes(spark):
-    df = spark.createDataFrame([("a", 0), ("b", 0), ("c", 1), ("d", None)], "k string, y int")
+    df = spark.createDataFrame([("a", 0), ("b", 0), ("c", 1)], "k string, y int")
     found = {r["k"]: r["split"] for r in splits.stratified_split(df, "k", "y", 0.3).collect()}
-    assert found["c"] == "train" and found["d"] == "train"
+    assert found["c"] == "train"
     assert sorted(found[k] for k in "ab") == ["test", "train"]
+
+
+def test_repeated_keys_and_missing_labels_are_refused(spark):
+    repeated = spark.createDataFrame([(str(i % 10), 0) for i in range(100)], "k string, y int")
+    with pytest.raises(ValueError, match="repeat"):
+        splits.stratified_split(repeated, "k", "y")
+    with pytest.raises(ValueError, match="repeat"):
+        splits.stratified_folds(repeated, "k", "y")
+    unlabelled = spark.createDataFrame([("a", 0), ("b", None)], "k string, y int")
+    with pytest.raises(ValueError, match="no y"):
+        splits.stratified_split(unlabelled, "k", "y")

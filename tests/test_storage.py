@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.errors import AnalysisException
 
-from tallymart.operators import churn
+from tallymart.operators import churn, marts
 from tallymart.session import scratch_path, shared_dir, stable
 from tallymart.sources import feeds, readers, schemas, tables, writers
 
@@ -37,7 +37,7 @@ def test_bad_lines_are_kept_apart(spark, tmp_path):
 def test_null_region_comes_back_from_its_partition(spark, tables, tmp_path):
     path = str(tmp_path / "features")
     rows = churn.churn_features(feeds.transactions(tables), feeds.known_customers(tables))
-    writers.write_partitioned(rows, path, "region", spread="customer_id", files=2)
+    writers.write_partitioned(rows, path, "region", rows_per_file=10)
     back = readers.read_parquet(spark, path)
     assert back.columns[-1] == "region"
     assert back.where("region IS NULL").count() == rows.where("region IS NULL").count() > 0
@@ -88,4 +88,42 @@ def test_customer_and_labelled_rows(spark):
     df = spark.createDataFrame([("b", 1), ("a", None), ("c", 0)], "customer_id string, churn_label int")
     df.createOrReplaceTempView("people_rows")
     assert [r["customer_id"] for r in tables.customer_rows(spark, "people_rows", 2).collect()] == ["a", "b"]
-    assert [r["customer_id"] for r in tables.labelled_rows(spark, "people_rows", limit=5).collect()] == ["b", "c"]
+    assert [r["customer_id"] for r in tables.labelled_rows(spark, "people_rows", limit=1).collect()] == ["b"]
+    spark.range(6000).selectExpr("cast(id AS string) AS customer_id", "1 AS churn_label").createOrReplaceTempView("many_rows")
+    assert tables.customer_rows(spark, "many_rows").count() == 6000
+    assert tables.labelled_rows(spark, "many_rows").count() == 6000
+    assert "many_rows" not in tables.list_tables(spark, "default")
+
+
+def test_statistics_of_every_customer(spark):
+    rows = spark.range(300).selectExpr("cast(id AS string) AS customer_id", "1.5 AS tx_amount", "date '2024-01-01' AS tx_date")
+    assert marts.transaction_statistics(rows).count() == 300
+    assert marts.transaction_statistics(rows, limit=100).count() == 100
+
+
+def test_ragged_lines_are_rejected(spark, tmp_path):
+    path = tmp_path / "orders.csv"
+    head = "order_id,client_id,order_amount,order_date,city,loyalty_level\n"
+    path.write_text(head + "1,a,1,2024-01-01,X,gold\n2,b,1,2024-01-02,Y,basic,more,more\n3,c\n")
+    rows = readers.read_csv(spark, str(path), schemas.ORDERS)
+    assert [r["order_id"] for r in readers.accepted(rows).collect()] == ["1"]
+    assert readers.rejected(rows).count() == 2
+    assert readers.accepted(rows).select("city").collect() == [("X",)]
+    text = readers.read_csv(spark, str(path), ", ".join(f"{c} string" for c in head.strip().split(",")))
+    assert readers.rejected(text).count() == 2
+
+
+def test_swapped_columns_fail(spark, tmp_path):
+    path = tmp_path / "clients.csv"
+    path.write_text("client_id,city,name,loyalty_level\n1,a,b,c\n")
+    with pytest.raises(Exception, match="header"):
+        readers.read_csv(spark, str(path), schemas.CLIENTS).collect()
+
+
+def test_texts_come_back_from_csv(spark, tmp_path):
+    path = str(tmp_path / "texts")
+    names = ["  lead", "trail ", " ", "", None, 'a "b", c', "two\nlines", "back\\", "\t"]
+    rows = [(str(i), n, "x", "y") for i, n in enumerate(names)]
+    writers.write_csv(spark.createDataFrame(rows, schemas.CLIENTS), path)
+    back = readers.accepted(readers.read_csv(spark, path, schemas.CLIENTS, line_breaks=True)).collect()
+    assert sorted(tuple(r) for r in back) == rows
