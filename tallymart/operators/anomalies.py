@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from math import ceil, log, log2
 
 import numpy as np
@@ -121,7 +122,42 @@ def anomaly_degree(spark: SparkSession, nodes: pd.DataFrame, size: int):
     return degree
 
 
-def detect_anomalies(
+@dataclass
+class AnomalyModel:
+    """A fitted forest and its threshold: ``transform`` flags any rows, ``save`` and ``load`` keep it."""
+
+    nodes: pd.DataFrame
+    drawn: int
+    names: list[str]
+    limit: float
+
+    def degrees(self, df: DataFrame) -> DataFrame:
+        """Add ``anomaly_degree``; gaps in the features read as 0."""
+        filled = [F.coalesce(F.col(n).cast("double"), F.lit(0.0)) for n in self.names]
+        return df.withColumn("anomaly_degree", anomaly_degree(df.sparkSession, self.nodes, self.drawn)(*filled))
+
+    def flag(self, scored: DataFrame) -> DataFrame:
+        """Add ``is_anomaly`` (0/1) and ``anomaly_score`` (-1 anomalous, 1 normal) to rows with a degree."""
+        flagged = scored.withColumn("is_anomaly", F.when(F.col("anomaly_degree") > self.limit, 1).otherwise(0))
+        return flagged.withColumn("anomaly_score", F.when(F.col("is_anomaly") == 1, -1).otherwise(1))
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.flag(self.degrees(df))
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        """The nodes as Parquet with the few settings beside each; their number is bounded by trees and sample."""
+        settings = {"drawn": self.drawn, "limit": self.limit, "names": ",".join(self.names)}
+        rows = spark.createDataFrame(self.nodes).withColumns({k: F.lit(v) for k, v in settings.items()})
+        rows.coalesce(1).write.mode("overwrite").parquet(path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> AnomalyModel:
+        rows = spark.read.parquet(path).toPandas()
+        nodes = rows.drop(columns=["drawn", "limit", "names"])
+        return cls(nodes, int(rows["drawn"].iloc[0]), rows["names"].iloc[0].split(","), float(rows["limit"].iloc[0]))
+
+
+def fit_anomalies(
     base: DataFrame,
     contamination: float = CONTAMINATION,
     features: list[str] | None = None,
@@ -129,19 +165,27 @@ def detect_anomalies(
     trees: int = TREES,
     size: int = TREE_ROWS,
     seed: int = SEED,
-) -> DataFrame:
-    """Add ``anomaly_degree``, ``anomaly_score`` (-1 anomalous, 1 normal) and ``is_anomaly`` (0/1).
+) -> tuple[AnomalyModel, DataFrame]:
+    """A forest with the exact ``1 - contamination`` quantile of the degree as threshold, and the scored rows.
 
-    Rows above the exact ``1 - contamination`` quantile of the degree are anomalous. Gaps read as 0.
-    Scaling a feature does not change which rows a random cut separates, so none is applied. Scored
-    rows are stored once, since the quantile and the flags must see the same degrees.
+    Scaling a feature does not change which rows a random cut separates, so none is applied. Scored rows are
+    stored once, since the quantile and the flags must see the same degrees.
     """
     names = existing(base, features or SEGMENT_FEATURES)
     rows = stable(base)
-    filled = {n: F.coalesce(F.col(n).cast("double"), F.lit(0.0)) for n in names}
-    nodes, drawn = fit_forest(rows.select(key, *[f.alias(n) for n, f in filled.items()]), key, names, trees, size, seed)
-    scored = stable(rows.withColumn("anomaly_degree", anomaly_degree(rows.sparkSession, nodes, drawn)(*filled.values())))
-    limit = quantile_row(scored, {"limit": ("anomaly_degree", 1.0 - contamination)}).scalar()
-    return scored.withColumn("is_anomaly", F.when(F.col("anomaly_degree") > limit, 1).otherwise(0)).withColumn(
-        "anomaly_score", F.when(F.col("is_anomaly") == 1, -1).otherwise(1)
-    )
+    filled = [F.coalesce(F.col(n).cast("double"), F.lit(0.0)).alias(n) for n in names]
+    nodes, drawn = fit_forest(rows.select(key, *filled), key, names, trees, size, seed)
+    model = AnomalyModel(nodes, drawn, names, float("inf"))
+    scored = stable(model.degrees(rows))
+    limit = quantile_row(scored, {"limit": ("anomaly_degree", 1.0 - contamination)}).first()[0]
+    model.limit = float("inf") if limit is None else float(limit)
+    return model, scored
+
+
+def detect_anomalies(base: DataFrame, *args, **params) -> DataFrame:
+    """Flag the rows by a forest fitted on them; parameters as ``fit_anomalies``.
+
+    Rows above the threshold are anomalous, rows tied at it are not, so the share may fall short by the tie.
+    """
+    model, scored = fit_anomalies(base, *args, **params)
+    return model.flag(scored)

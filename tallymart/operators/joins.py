@@ -1,4 +1,4 @@
-"""Equi-joins that hold up when one key carries a large share of the rows."""
+"""Equi-joins. Hot keys are left to adaptive execution, or collapse before the join."""
 
 from __future__ import annotations
 
@@ -11,45 +11,12 @@ def client_columns(clients: DataFrame) -> DataFrame:
     return clients.withColumnsRenamed({"city": "client_city", "loyalty_level": "client_loyalty"})
 
 
-def hot_keys(df: DataFrame, key: str, share: float) -> list:
-    """The keys that hold at least ``share`` of the rows; there are at most ``1 / share`` of them.
-
-    Two passes over one column without a shuffle of rows: candidates by a bounded counter, then
-    exact counts of the candidates.
-    """
-    found = df.where(F.col(key).isNotNull()).freqItems([key], share).first()[0] or []
-    if not found:
-        return []
-    candidate = F.when(F.col(key).isin(found), F.col(key)).alias("_key")
-    counts = {r["_key"]: r["n"] for r in df.groupBy(candidate).agg(F.count(F.lit(1)).alias("n")).collect()}
-    total = sum(counts.values())
-    return sorted(k for k, n in counts.items() if k is not None and n >= share * total)
-
-
-def join_detail(
-    facts: DataFrame,
-    dimension: DataFrame,
-    key: str,
-    how: str = "inner",
-    hot_share: float = 0.01,
-    salts: int = 64,
-) -> DataFrame:
+def join_detail(facts: DataFrame, dimension: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Join detail rows to a dimension on ``key`` (``inner`` or ``left``).
 
-    Rows of a hot key are spread over ``salts`` groups and the dimension rows of that key are repeated
-    once per group; every other row keeps salt 0. Without a hot key this is a plain join. Hot keys are
-    literals in the plan and the salt follows from the row and its input partition, so a recomputed
-    task salts a row as before.
+    Spark broadcasts a small dimension and otherwise splits the partitions of a hot key at run time.
     """
-    hot = hot_keys(facts, key, hot_share)
-    if not hot:
-        return facts.join(dimension, key, how)
-    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *facts.columns), F.lit(salts)).cast("int")
-    is_hot = F.col(key).isin(hot)
-    salted = facts.withColumn("_salt", F.when(is_hot | F.col(key).isNull(), spread).otherwise(0))
-    last = F.when(is_hot, salts - 1).otherwise(0)
-    repeated = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), last)))
-    return salted.join(repeated, [key, "_salt"], how).drop("_salt")
+    return facts.join(dimension, key, how)
 
 
 def distinct_keys(df: DataFrame, key: str) -> DataFrame:

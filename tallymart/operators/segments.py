@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from math import ceil
 
-from pyspark.ml import Pipeline
-from pyspark.ml.clustering import KMeans
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,46 +19,92 @@ from tallymart.session import in_parallel, stable
 ROWS_PER_TASK = 250_000
 
 
-def customer_segments(
+@dataclass
+class SegmentModel:
+    """A fitted segmentation: ``transform`` gives any customers their segment, ``save`` and ``load`` keep it."""
+
+    pipeline: PipelineModel
+    names: list[str]
+
+    @property
+    def means(self) -> KMeansModel:
+        return self.pipeline.stages[-1]
+
+    def centres(self) -> list[tuple[float, ...]]:
+        """Centres of the standardised features in the order of the segments' numbers."""
+        found = [tuple(float(x) for x in c) for c in self.means.clusterCenters()]
+        return [found[i] for i in self._order(found)]
+
+    def _order(self, centres: list[tuple[float, ...]]) -> list[int]:
+        axis = self.names.index("total_spent") if "total_spent" in self.names else 0
+        return sorted(range(len(centres)), key=lambda i: (centres[i][axis], centres[i]))
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Add ``cluster``; gaps in the features read as 0."""
+        order = self._order([tuple(c) for c in self.means.clusterCenters()])
+        numbers = F.array(*[F.lit(str(order.index(i))) for i in range(len(order))])
+        return self.scaled(df).select(*df.columns, numbers[F.col("_found")].alias("cluster"))
+
+    def scaled(self, df: DataFrame) -> DataFrame:
+        """``df`` with the standardised vector ``_scaled`` and the number ``_found`` of the nearest centre."""
+        return self.pipeline.transform(_filled(df, self.names))
+
+    def save(self, path: str) -> None:
+        self.pipeline.write().overwrite().save(path)
+
+    @classmethod
+    def load(cls, path: str) -> SegmentModel:
+        pipeline = PipelineModel.load(path)
+        return cls(pipeline, [c.removeprefix("_") for c in pipeline.stages[0].getInputCols()])
+
+
+def _filled(df: DataFrame, names: list[str]) -> DataFrame:
+    return df.withColumns({f"_{n}": F.coalesce(F.col(n).cast("double"), F.lit(0.0)) for n in names})
+
+
+def fit_segments(
     base: DataFrame,
     clusters: int = CLUSTERS,
     features: list[str] | None = None,
     restarts: int = RESTARTS,
     seed: int = SEED,
-    order_by: str = "total_spent",
-) -> DataFrame:
-    """Add ``cluster`` ("0", "1", ...) by k-means on the standardised features, gaps read as 0.
+    threads: int = 4,
+) -> SegmentModel:
+    """K-means on the standardised features, the best of ``restarts`` runs, ``threads`` at a time.
 
-    The best of ``restarts`` runs counts. Clusters are numbered by the centre's ``order_by`` value, so
-    the numbers do not depend on the run. Rescaling all features by one factor leaves the clusters as
-    they are, so the sample deviation serves as well as the population deviation.
+    Segments are numbered by the centre's spending, so the numbers do not depend on the run. Rescaling all
+    features by one factor leaves the clusters as they are, so the sample deviation serves as well as the
+    population deviation.
     """
     names = existing(base, features or SEGMENT_FEATURES)
-    rows = stable(base)
-    filled = rows.withColumns({f"_{n}": F.coalesce(F.col(n).cast("double"), F.lit(0.0)) for n in names})
+    rows = stable(base.select("customer_id", *names))
+    filled = _filled(rows, names)
     scaling = Pipeline(
         stages=[
             VectorAssembler(inputCols=[f"_{n}" for n in names], outputCol="_raw"),
             StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True, withStd=True),
         ]
     ).fit(filled)
-    scaled = scaling.transform(filled)
     # K-means draws its first centres per partition, in row order: the layout must follow from the rows alone.
     parts = max(1, ceil(rows.count() / ROWS_PER_TASK))
-    laid_out = scaled.select("customer_id", "_scaled").repartition(parts, "customer_id")
-    points = stable(laid_out.sortWithinPartitions("customer_id").select("_scaled"))
+    laid_out = scaling.transform(filled).select("customer_id", "_scaled").repartition(parts, "customer_id")
+    points = stable(laid_out.sortWithinPartitions("customer_id").select("_scaled")).persist()
 
     def fit(run: int):
         means = KMeans(featuresCol="_scaled", predictionCol="_found", k=clusters, maxIter=300, seed=seed + run)
         return means.fit(points)
 
-    runs = in_parallel(base.sparkSession, fit, restarts)
+    try:
+        runs = in_parallel(base.sparkSession, fit, restarts, threads)
+    finally:
+        points.unpersist()
     best = min(runs, key=lambda run: run.summary.trainingCost)
-    axis = names.index(order_by) if order_by in names else 0
-    centres = best.clusterCenters()
-    ranking = sorted(range(len(centres)), key=lambda i: (centres[i][axis], *centres[i]))
-    numbers = F.array(*[F.lit(str(ranking.index(i))) for i in range(len(centres))])
-    return best.transform(scaled).select(*base.columns, numbers[F.col("_found")].alias("cluster"))
+    return SegmentModel(PipelineModel([*scaling.stages, best]), names)
+
+
+def customer_segments(base: DataFrame, *args, **params) -> DataFrame:
+    """Add ``cluster`` ("0", "1", ...) by a segmentation fitted on the same rows; parameters as ``fit_segments``."""
+    return fit_segments(base, *args, **params).transform(base)
 
 
 def segment_profile(df: DataFrame, cluster: str = "cluster") -> DataFrame:

@@ -130,7 +130,9 @@ def weekday_pattern(t):
     return profile.weekday_pattern(feeds.event_orders(t), "order_time", "amount")
 
 
-_DIMENSIONS = ["segment", "region", "acquisition_channel", "device_type", "payment_method", "product_category"]
+_DIMENSIONS = [
+    "segment", "region", "city", "customer_gender", "acquisition_channel", "device_type", "payment_method", "product_category",
+]
 
 
 @query(
@@ -142,7 +144,7 @@ _DIMENSIONS = ["segment", "region", "acquisition_channel", "device_type", "payme
     )
 )
 def breakdowns(t):
-    return profile.breakdowns(feeds.demo_transactions(t), _DIMENSIONS)
+    return profile.breakdowns(feeds.demo_transactions(t, "amount", *_DIMENSIONS), _DIMENSIONS)
 
 
 @query(
@@ -152,7 +154,7 @@ SELECT date_trunc('month', date)::DATE AS "month", CASE WHEN date = first_date T
 FROM demo JOIN firsts USING (customer_id) GROUP BY 1, 2"""
 )
 def new_vs_returning(t):
-    return profile.new_and_returning(feeds.demo_transactions(t), "date")
+    return profile.new_and_returning(feeds.demo_transactions(t, "customer_id", "date", "amount"), "date")
 
 
 @query(
@@ -162,22 +164,25 @@ FROM demo GROUP BY acquisition_channel"""
 )
 def flag_rates(t):
     flags = ["is_discounted", "is_returned", "is_fraud"]
-    return profile.flag_rates(feeds.demo_transactions(t), "acquisition_channel", flags)
+    return profile.flag_rates(feeds.demo_transactions(t, "acquisition_channel", *flags), "acquisition_channel", flags)
 
 
-_CORRELATED = ["is_discounted", "is_returned", "customer_age", "quantity", "amount"]
+_FLAT = ["is_discounted", "is_returned", "customer_age", "quantity", "amount"]
+_CORRELATED = [*_FLAT, *[f"channel_{n}" for n in feeds.CHANNELS]]
+_CHANNEL_SQL = ", ".join(f"(acquisition_channel = '{n}')::INT AS channel_{n}" for n in feeds.CHANNELS)
 
 
 @query(
-    f"WITH {q.DEMO} "
+    f"WITH {q.DEMO}, indicated AS (SELECT *, {_CHANNEL_SQL} FROM demo) "
     + "\nUNION ALL ".join(
-        f"SELECT '{a}' AS \"left\", '{b}' AS \"right\", round(corr({a}::DOUBLE, {b}::DOUBLE), 9) AS correlation FROM demo"
+        f"SELECT '{a}' AS \"left\", '{b}' AS \"right\", round(corr({a}::DOUBLE, {b}::DOUBLE), 9) AS correlation FROM indicated"
         for i, a in enumerate(_CORRELATED)
         for b in _CORRELATED[i + 1 :]
     )
 )
 def correlations(t):
-    return rounded(profile.correlations(feeds.demo_transactions(t), _CORRELATED), 9, "correlation")
+    rows = feeds.channel_indicators(feeds.demo_transactions(t, "acquisition_channel", *_FLAT))
+    return rounded(profile.correlations(rows, _CORRELATED), 9, "correlation")
 
 
 _PROFILED = ["amount", "quantity", "customer_age"]
@@ -194,7 +199,7 @@ _PROFILED = ["amount", "quantity", "customer_age"]
     )
 )
 def column_profile(t):
-    rows = stable(feeds.demo_transactions(t).select(*_PROFILED))
+    rows = stable(feeds.demo_transactions(t, *_PROFILED))
     profiled = profile.column_profile(rows, _PROFILED)
     return rounded(profiled, 6, "mean", "stddev", "q1", "median", "q3")
 
@@ -204,4 +209,12 @@ def column_profile(t):
   count(DISTINCT customer_id) AS customers FROM demo GROUP BY 1, 2"""
 )
 def geo_grid(t):
-    return profile.geo_grid(feeds.demo_transactions(t), 10.0)
+    return profile.geo_grid(feeds.demo_transactions(t, "customer_id", "lat", "lon"), 10.0)
+
+
+_GAPS = {"email": True, "session_id": True, "customer_gender": True, "city": True, "amount": False}
+
+
+@query(f"WITH {q.DEMO} {_missing_sql('demo', _GAPS)}")
+def order_table_gaps(t):
+    return profile.missing_values(feeds.demo_transactions(t, *_GAPS))

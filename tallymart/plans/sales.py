@@ -13,7 +13,7 @@ _KPIS = """count(order_id) AS total_orders, sum(order_amount::DECIMAL(18,2))::DO
 
 @query(f"WITH {q.SHOP} SELECT s.city, {_KPIS} FROM shop s JOIN clients c USING (client_id) GROUP BY s.city")
 def sales_by_city(t):
-    return marts.sales_kpis(feeds.shop_orders(t), feeds.clients(t), "city")
+    return marts.sales_kpis(feeds.shop_orders(t), feeds.client_tiers(t), "city")
 
 
 @query(
@@ -21,7 +21,7 @@ def sales_by_city(t):
 FROM shop s JOIN clients c USING (client_id) GROUP BY c.loyalty_level"""
 )
 def sales_by_loyalty(t):
-    return marts.sales_kpis(feeds.shop_orders(t), feeds.clients(t), "client_loyalty")
+    return marts.sales_kpis(feeds.order_totals(t), feeds.client_tiers(t), "client_loyalty")
 
 
 @query(

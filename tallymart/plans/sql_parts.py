@@ -133,7 +133,10 @@ SALES = """sales AS (
 
 DEMO = f"""{PLACES}, demo AS (
   SELECT o_custkey::VARCHAR AS customer_id, l_orderkey::VARCHAR AS order_id, l_extendedprice AS amount, r_name AS region,
-         o_orderdate::DATE AS date, c_mktsegment AS segment, (18 + o_custkey % 60)::INT AS customer_age,
+         n_name AS city, o_orderdate::DATE AS date, c_mktsegment AS segment, (18 + o_custkey % 60)::INT AS customer_age,
+         CASE WHEN o_custkey % 29 <> 0 THEN ['f', 'm'][o_custkey % 2 + 1] END AS customer_gender,
+         CASE WHEN o_custkey % 13 = 0 THEN NULL WHEN o_custkey % 17 = 0 THEN ' ' ELSE o_custkey || '@example.com' END AS email,
+         CASE WHEN l_orderkey % 31 <> 0 THEN md5(l_orderkey::VARCHAR) END AS session_id,
          registered AS registration_date,
          ['ads', 'organic', 'referral', 'social'][o_custkey % 4 + 1] AS acquisition_channel,
          l_quantity AS quantity, CASE WHEN l_discount > 0 THEN 1 ELSE 0 END AS is_discounted,

@@ -10,7 +10,7 @@ from tallymart.plans import sql_parts as q
 from tallymart.plans.registry import query, rounded
 from tallymart.plans.risk import base, risks
 from tallymart.plans.sales import features
-from tallymart.session import scratch_path
+from tallymart.session import on_release, scratch_path
 from tallymart.sources import feeds, readers, schemas, tables, writers
 
 # Columns that the fitted pipeline adds to its input.
@@ -109,6 +109,7 @@ def save_external(t, df, table: str) -> str:
     path = scratch_path(t.spark, table)
     name = path.rsplit("/", 1)[1].replace("-", "_")
     writers.save_table(df, "tallymart", name, path)
+    on_release(lambda: t.spark.sql(f"DROP TABLE IF EXISTS tallymart.{name}"))
     return f"tallymart.{name}"
 
 
@@ -169,3 +170,26 @@ def model_reload_differences(t):
         F.count_if(F.abs(F.col("score") - F.col("before")) > 1e-12).alias("changed_scores"),
         F.count_if(F.col("prediction") != F.col("was")).alias("changed_classes"),
     )
+
+
+@query("SELECT 'orders' AS \"table\" UNION ALL SELECT 'sales'")
+def catalog_tables(t):
+    """The tables of a database; a temporary view of the session is none of them."""
+    home = scratch_path(t.spark, "catalog")
+    database = home.rsplit("/", 1)[1].replace("-", "_")
+    writers.save_table(feeds.sales(t), database, "sales", f"{home}/sales")
+    writers.save_table(feeds.order_totals(t), database, "orders", f"{home}/orders")
+    on_release(lambda: t.spark.sql(f"DROP DATABASE IF EXISTS `{database}` CASCADE"))
+    feeds.transactions(t).createOrReplaceTempView("tallymart_session_view")
+    names = tables.list_tables(t.spark, database)
+    return t.spark.createDataFrame([(n,) for n in names], "table string")
+
+
+@query(
+    """SELECT 'id' AS "column", 'bigint' AS kind UNION ALL SELECT 'product', 'string' UNION ALL SELECT 'amount', 'double'
+UNION ALL SELECT 'Type', 'EXTERNAL'"""
+)
+def catalog_description(t):
+    described = tables.describe_table(t.spark, save_external(t, feeds.sales(t), "sales"))
+    wanted = F.col("col_name").isin("id", "product", "amount", "Type")
+    return described.where(wanted).select(F.col("col_name").alias("column"), F.col("data_type").alias("kind"))

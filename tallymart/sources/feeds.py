@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SPIKE_DAY = "2000-01-15"
+CHANNELS = ["ads", "organic", "referral", "social"]
 
 
 class Tables:
@@ -189,48 +190,71 @@ def scoring_customers(t: Tables) -> DataFrame:
     )
 
 
-def demo_transactions(t: Tables) -> DataFrame:
-    """One row per order line with the attributes of its order, customer and product.
+def demo_transactions(t: Tables, *wanted: str) -> DataFrame:
+    """One row per order line with the ``wanted`` attributes of its order, customer and product (default: all).
 
-    Attributes without a source in the test tables are derived from keys.
+    Only the tables that hold a wanted attribute are joined: an inner join is never dropped by the optimizer.
+    Attributes without a source in the test tables are derived from keys, and some have planted gaps.
     """
-    people = _customer_places(t).select(
-        "c_custkey", "c_mktsegment", F.col("r_name").alias("region"), _registered().alias("registration_date")
-    )
+    c, o = F.col("o_custkey"), F.col("l_orderkey")
+    columns = {
+        "customer_id": c.cast("string"),
+        "order_id": o.cast("string"),
+        "amount": F.col("l_extendedprice"),
+        "region": F.col("r_name"),
+        "city": F.col("n_name"),
+        "date": F.col("o_orderdate").cast("date"),
+        "segment": F.col("c_mktsegment"),
+        "customer_age": (18 + c % 60).cast("int"),
+        "customer_gender": F.when(c % 29 != 0, pick(c, ["f", "m"])),
+        "registration_date": F.date_add(F.lit("1995-01-01").cast("date"), (c % 365).cast("int")),
+        "acquisition_channel": pick(c, CHANNELS),
+        "quantity": F.col("l_quantity"),
+        "is_discounted": F.when(F.col("l_discount") > 0, 1).otherwise(0),
+        "is_returned": F.when(F.col("l_returnflag") == "R", 1).otherwise(0),
+        "is_fraud": F.when(o % 97 == 0, 1).otherwise(0),
+        "email": F.when(c % 13 == 0, F.lit(None)).when(c % 17 == 0, F.lit(" ")).otherwise(F.concat(c.cast("string"), F.lit("@example.com"))),
+        "session_id": F.when(o % 31 != 0, F.md5(o.cast("string"))),
+        "device_type": pick(o, ["desktop", "mobile", "tablet"]),
+        "payment_method": pick(o, ["card", "cash", "credit", "online"]),
+        "product_id": F.col("l_partkey").cast("string"),
+        "product_category": F.col("p_type"),
+        "lat": (c * 37) % 1800 / 10.0 - 90.0,
+        "lon": (c * 91) % 3600 / 10.0 - 180.0,
+    }
+    names = wanted or tuple(columns)
+    orders = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
     # Orders take on their customer first, so the larger line table is shuffled once, by order.
-    ordered = t.orders.select("o_orderkey", "o_custkey", "o_orderdate").join(
-        people, F.col("o_custkey") == F.col("c_custkey")
-    )
-    parts = t.part.select("p_partkey", "p_type")
-    lines = t.lineitem.select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag"
+    if {"region", "city"} & set(names):
+        places = _customer_places(t).select("c_custkey", "c_mktsegment", "n_name", "r_name")
+        orders = orders.join(places, F.col("o_custkey") == F.col("c_custkey"))
+    elif "segment" in names:
+        people = t.customer.select("c_custkey", "c_mktsegment")
+        orders = orders.join(people, F.col("o_custkey") == F.col("c_custkey"))
+    lines = t.lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    if "product_category" in names:
+        lines = lines.join(t.part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
+    return lines.select(*[columns[n].alias(n) for n in names])
+
+
+def channel_indicators(df: DataFrame) -> DataFrame:
+    """Add a 0/1 column per acquisition channel."""
+    return df.withColumns({f"channel_{n}": (F.col("acquisition_channel") == n).cast("int") for n in CHANNELS})
+
+
+def order_totals(t: Tables) -> DataFrame:
+    """Orders without the attributes of their customer."""
+    return t.orders.select(
+        F.col("o_orderkey").cast("string").alias("order_id"),
+        F.col("o_custkey").cast("string").alias("client_id"),
+        F.col("o_totalprice").alias("order_amount"),
     )
-    c = F.col("o_custkey")
-    o = F.col("l_orderkey")
-    return (
-        lines.join(ordered, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .select(
-            c.cast("string").alias("customer_id"),
-            o.cast("string").alias("order_id"),
-            F.col("l_extendedprice").alias("amount"),
-            "region",
-            F.col("o_orderdate").cast("date").alias("date"),
-            F.col("c_mktsegment").alias("segment"),
-            (18 + c % 60).cast("int").alias("customer_age"),
-            "registration_date",
-            pick(c, ["ads", "organic", "referral", "social"]).alias("acquisition_channel"),
-            F.col("l_quantity").alias("quantity"),
-            F.when(F.col("l_discount") > 0, 1).otherwise(0).alias("is_discounted"),
-            F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("is_returned"),
-            F.when(o % 97 == 0, 1).otherwise(0).alias("is_fraud"),
-            pick(o, ["desktop", "mobile", "tablet"]).alias("device_type"),
-            pick(o, ["card", "cash", "credit", "online"]).alias("payment_method"),
-            F.col("l_partkey").cast("string").alias("product_id"),
-            F.col("p_type").alias("product_category"),
-            ((c * 37) % 1800 / 10.0 - 90.0).alias("lat"),
-            ((c * 91) % 3600 / 10.0 - 180.0).alias("lon"),
-        )
+
+
+def client_tiers(t: Tables) -> DataFrame:
+    """Clients with their tier only, straight from the customer table."""
+    return t.customer.select(
+        F.col("c_custkey").cast("string").alias("client_id"), F.col("c_mktsegment").alias("loyalty_level")
     )
 
 

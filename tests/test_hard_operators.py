@@ -164,3 +164,23 @@ def test_segments_do_not_depend_on_partitioning(base):
         return sorted((r["customer_id"], r["cluster"]) for r in found.collect())
 
     assert run(1) == run(4) == run(16)
+
+
+def test_segment_model_scores_new_rows(base, spark, tmp_path):
+    model = segments.fit_segments(base, restarts=2)
+    model.save(str(tmp_path / "segments"))
+    again = segments.SegmentModel.load(str(tmp_path / "segments"))
+    assert again.centres() == model.centres()
+    some = base.limit(50)
+    assert sorted(again.transform(some).collect()) == sorted(model.transform(some).collect())
+    empty = some.withColumn("total_spent", F.lit(None).cast("double"))
+    assert again.transform(empty).where("cluster IS NULL").count() == 0
+
+
+def test_anomaly_model_scores_new_rows(crowd, spark, tmp_path):
+    model, scored = anomalies.fit_anomalies(crowd, contamination=0.05, trees=20)
+    model.save(spark, str(tmp_path / "forest"))
+    again = anomalies.AnomalyModel.load(spark, str(tmp_path / "forest"))
+    assert sorted(again.transform(crowd).collect()) == sorted(model.flag(scored).collect())
+    far = spark.createDataFrame([("new", *[40.0] * 4)], crowd.schema)
+    assert again.transform(far).first()["is_anomaly"] == 1

@@ -127,3 +127,22 @@ def test_texts_come_back_from_csv(spark, tmp_path):
     writers.write_csv(spark.createDataFrame(rows, schemas.CLIENTS), path)
     back = readers.accepted(readers.read_csv(spark, path, schemas.CLIENTS, line_breaks=True)).collect()
     assert sorted(tuple(r) for r in back) == rows
+
+
+def test_scratch_leaves_nothing_behind(spark, tables):
+    from pathlib import Path
+
+    from tallymart.plans import QUERIES
+    from tallymart.session import scratch
+
+    folder = Path(shared_dir(spark)) / "tallymart"
+    before = set(folder.glob("*"))
+    listed = [r[0] for r in spark.sql("SHOW DATABASES").collect()]
+    with scratch():
+        assert QUERIES["catalog_null_profile"](spark, tables.folder).count() == 1
+        assert QUERIES["catalog_tables"](spark, tables.folder).count() == 2
+        assert QUERIES["quality_report"](spark, tables.folder).count() == 14
+        assert set(folder.glob("*")) - before
+    assert set(folder.glob("*")) == before
+    assert {r[0] for r in spark.sql("SHOW DATABASES").collect()} <= {*listed, "tallymart"}
+    assert not spark.sql("SHOW TABLES IN tallymart").collect()
