@@ -41,6 +41,9 @@ LOOKALIKE = dict(
 #: Characters that show nothing.
 INVISIBLE = "­​‌‍⁠﻿"
 
+#: Endings after which bare words "at" and "dot" are read as an address.
+ENDINGS = frozenset("com org net edu gov info biz io co me tv eu de at ch fr es it nl be pl se dk uk us ca au br mx ar jp cn in ru".split())
+
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
@@ -156,6 +159,8 @@ def normalise(text: str) -> Traced:
     if " at " in lower and " dot " in lower:
         edits = []
         for m in BARE.finditer(now.text):
+            if m[2].rpartition(" ")[2].lower() not in ENDINGS:
+                continue
             edits.append((*m.span(1), "@"))
             edits += [(d.start() + m.start(2), d.end() + m.start(2), ".") for d in DOT_WORD.finditer(m[2])]
         now = now.rewrite(edits)
