@@ -51,7 +51,7 @@ def repair(ids: np.ndarray, first: int, rounds: int = 10, least: int = 4) -> tup
         cells = np.flatnonzero(count >= max(least, len(s) >> 16))
         if not len(cells):
             break
-        cells = cells[np.lexsort((chosen[cells], -count[cells]))]
+        cells = cells[np.lexsort((cells, -count[cells]))]  # ties by cell, so neighbours rank at random
         rank = np.full(1 << TABLE, NEVER, np.int32)
         rank[cells] = np.arange(len(cells), dtype=np.int32)
         order = np.where(counted, rank[cell], NEVER)

@@ -1,6 +1,7 @@
 """Proportional stratified interleaving: every shard gets the mixture of sources.
 
-Rows are shuffled by seed within their source and ranked; rank r of n stands at the fraction (2 r - 1) / (2 n).
+Rows are shuffled by seed within their source and ranked; rank r of n stands at the fraction (r - 1 + phase) / n.
+The phase is a number of the source's own in [0, 1): without it sources of one size would meet at every fraction.
 Sorted by fraction, each stretch of the order holds every source in proportion, so the order is cut into shards
 whose row counts differ by one at most.
 
@@ -47,9 +48,9 @@ def interleave(docs: DataFrame, shards: int, seed: str = "shard", rows_per_range
             }
         )
     )
-    fraction = (2 * F.col("rank") - 1).cast("double") / (2 * F.col("all_rows"))
+    fraction = (F.col("rank") - 1 + unit("source", seed=f"{seed}-phase")) / F.col("all_rows")
     stretch = F.floor(F.col("fraction") * ranges)
-    ranks = counts.select("all_rows", F.explode(F.sequence(F.col("before") + 1, F.col("before") + F.col("rows"))).alias("rank"))
+    ranks = counts.select("source", "all_rows", F.explode(F.sequence(F.col("before") + 1, F.col("before") + F.col("rows"))).alias("rank"))
     stretches = ranks.withColumn("fraction", fraction).groupBy(stretch.alias("stretch")).agg(F.count(F.lit(1)).alias("rows"))
     ahead = F.sum("rows").over(Window.partitionBy(F.lit(0)).orderBy("stretch")) - F.col("rows")
     stretches = stable(stretches.select("stretch", ahead.alias("ahead")))

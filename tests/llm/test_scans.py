@@ -65,7 +65,7 @@ def test_nothing_is_added_to_plain_text(text):
 
 
 def test_report(spark):
-    text = "a@b.cc 10.0.0.1 +1 (325) 555-8094 4111 1111 1111 1111 x [at] y [dot] org"
+    text = "a@b.cc, 10.0.0.1, +1 (325) 555-8094, 4111 1111 1111 1111, x [at] y [dot] org"
     rows = {r["doc_id"]: r for r in pii.pii_report(docs_frame(spark, [(1, text, "en", "a"), (2, None, "en", "a")])).collect()}
     r = rows[1]
     want = ",".join(f"{k}:{a}:{b}" for k, v in base(text).items() for a, b in v)
@@ -87,7 +87,7 @@ def test_licenses_are_found_where_they_stand(spark):
     for r in found:
         if (r["doc_id"], r["license"]) in want:
             notice = TEMPLATES[r["license"]].upper().strip(".")
-            assert rows[r["doc_id"]][1][r["start"] : r["end"]].strip(").") == notice.strip(").")
+            assert rows[r["doc_id"]][1][r["start"] : r["end"]].strip("/).") == notice.strip("/).")
             assert r["coverage"] == 1.0
 
 

@@ -6,8 +6,9 @@ from conftest import docs_frame, text_of
 from tallymart.llm import sharding
 
 
-def unit(doc_id, seed="shard"):
-    return int(hashlib.md5(f"{seed}\t{doc_id}".encode()).hexdigest()[:13], 16) / 2**52
+def unit(value, seed="shard"):
+    value = "" if value is None else value
+    return int(hashlib.md5(f"{seed}\t{value}".encode()).hexdigest()[:13], 16) / 2**52
 
 
 def test_matches_brute_force(spark):
@@ -18,7 +19,7 @@ def test_matches_brute_force(spark):
     for s in ("a", "b", "c", None):
         own = sorted(unit(i) for i, _, _, x in rows if x == s)
         at = {u: k for k, u in enumerate(own)}
-        order += [((2 * at[unit(i)] + 1) / (2 * len(own)), s is None, s or "", i) for i, _, _, x in rows if x == s]
+        order += [((at[unit(i)] + unit(s, "shard-phase")) / len(own), s is None, s or "", i) for i, _, _, x in rows if x == s]
     order.sort()
     firsts: dict = {}
     for position, (*_, i) in enumerate(order):
