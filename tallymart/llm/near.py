@@ -8,9 +8,11 @@ on their full sets; only those links count. Components of links give the groups.
 
 Buckets up to ``small`` classes are compared pair by pair. A larger one is compared with its hub first, the member
 with the most company over all bands, which joins most of a group of copies with one comparison each. Where members
-still lie in different components, the bucket goes through blocks of ``block`` members: their signatures are
-compared across components inside the task, and only survivors leave it. So no link is lost and no large group
-is written out in pairs; what stays quadratic is the comparison of signatures between members that are not linked.
+still lie in different components, the bucket goes through blocks of ``block`` members: ``long_hashes`` more hash values, a byte each, are
+made for them, and compared across components inside the task in the same sequential way; only survivors leave it.
+So no link is lost and no large group is written out in pairs; what stays quadratic is the comparison of signatures
+between members that are not linked. Two values of one byte agree a little more often than the sets are similar,
+which makes pruning more careful, not less.
 
 Scale: texts are read once for signatures and once more for classes that survive pruning. Stored stages are narrow.
 Band buckets are counted with map-side sums before rows are joined to the counts, so adaptive joins can split a hot
@@ -52,6 +54,7 @@ class Near:
     miss: float = 1e-6
     small: int = 16
     block: int = 2048
+    long_hashes: int = 640
 
     @property
     def hashes(self) -> int:
@@ -120,13 +123,13 @@ def signer(near: Near):
     return run
 
 
-def least_matches(near: Near) -> list[tuple[int, int]]:
+def least_matches(near: Near, hashes: int, batch: int) -> list[tuple[int, int]]:
     """(values seen, agreements below which the pair is pruned) after each batch.
 
     P(similarity >= t | m of n) = P(Binomial(n + 1, t) <= m).
     """
     t, steps = near.percent / 100, []
-    for n in [*range(near.batch, near.hashes, near.batch), near.hashes]:
+    for n in [*range(batch, hashes, batch), hashes]:
         tail, m = 0.0, 0
         for m in range(n + 1):
             tail += exp(lgamma(n + 2) - lgamma(m + 1) - lgamma(n + 2 - m) + m * log(t) + (n + 1 - m) * log(1 - t)) if t < 1 else float(m == n)
@@ -146,18 +149,43 @@ def plausible(left: np.ndarray, right: np.ndarray, steps: list[tuple[int, int]])
     return alive
 
 
-def _matrix(column, n: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column), np.uint32).reshape(-1, n)
+def _matrix(column, kind: type) -> np.ndarray:
+    """A row of numbers per value of a binary column; all values have one length."""
+    return np.frombuffer(b"".join(column), kind).reshape(len(column), -1)
+
+
+def band_codes(sign: np.ndarray, near: Near) -> np.ndarray:
+    """A 64-bit code of each band of a signature."""
+    code = np.zeros(near.bands, np.uint64)
+    for part in sign.reshape(near.bands, near.rows).T:
+        code = (code ^ part) * GOLD
+        code ^= code >> np.uint64(29)
+    return code
+
+
+def long_signer(near: Near):
+    """A map of (doc_id, text) to (node, codes of its bands, the long signature)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo = Words()
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE):
+                sets = [s for t in batch.slice(at, SLICE).column(1).to_pylist() if len(s := shingle_set(t, near.shingle, memo))]
+                codes = [band_codes(signature(s, near.hashes), near).tobytes() for s in sets]
+                signs = [(signature(s, near.long_hashes) & np.uint32(255)).astype(np.uint8).tobytes() for s in sets]
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in ([node_of(s) for s in sets], codes, signs)], ["node", "codes", "signature"])
+
+    return run
 
 
 def pruner(near: Near):
     """A map of (a, b, signature of a, signature of b) to the plausible (a, b)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        steps = least_matches(near)
+        steps = least_matches(near, near.hashes, near.batch)
         for batch in batches:
             if batch.num_rows:
-                left, right = (_matrix(batch.column(k).to_pylist(), near.hashes) for k in (2, 3))
+                left, right = (_matrix(batch.column(k).to_pylist(), np.uint32) for k in (2, 3))
                 yield batch.select([0, 1]).take(pa.array(plausible(left, right, steps)))
 
     return run
@@ -167,9 +195,8 @@ def across(near: Near) -> Callable[[pd.DataFrame], pd.DataFrame]:
     """Plausible pairs of different components inside a block pair of a bucket, each in its first common band only."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        steps = least_matches(near)
-        sign = _matrix(rows["signature"], near.hashes)
-        bands = sign.reshape(len(rows), near.bands, near.rows)
+        steps = least_matches(near, near.long_hashes, 64)
+        sign, codes = _matrix(rows["signature"], np.uint8), _matrix(rows["codes"], np.uint64)
         band, i, j = int(rows["band"].iloc[0]), int(rows["i"].iloc[0]), int(rows["j"].iloc[0])
         size, own, nodes = rows["n_shingles"].to_numpy(), rows["own"].to_numpy(), rows["node"].to_numpy()
         roots = pd.factorize(rows["root"])[0]
@@ -183,9 +210,9 @@ def across(near: Near) -> Callable[[pd.DataFrame], pd.DataFrame]:
             y = np.flatnonzero((roots != roots[x]) & ((rank < 0) | (rank > rank[x])) & ((own != own[x]) | (i == j)))
             y = y[100 * np.minimum(size[y], size[x]) >= near.percent * np.maximum(size[y], size[x])]
             if len(y):
-                y = y[plausible(np.broadcast_to(sign[x], (len(y), near.hashes)), sign[y], steps)]
+                y = y[plausible(np.broadcast_to(sign[x], (len(y), sign.shape[1])), sign[y], steps)]
             if len(y):
-                y = y[(bands[y] == bands[x]).all(axis=2).argmax(axis=1) == band]
+                y = y[(codes[y] == codes[x]).argmax(axis=1) == band]
             left += [nodes[x]] * len(y)
             right += list(nodes[y])
         return pd.DataFrame({"a": np.array([min(p) for p in zip(left, right, strict=True)], object), "b": np.array([max(p) for p in zip(left, right, strict=True)], object)})
@@ -238,9 +265,7 @@ def prune(pairs: DataFrame, classes: DataFrame, near: Near) -> DataFrame:
 def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, near: Near) -> DataFrame:
     """The pairs whose full sets are similar enough, stored. Only the classes in pairs are read again."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    ids = stable(wanted.join(classes, "node").select(F.col("first_id").alias("id")).distinct())
-    texts = docs.select("doc_id", "text").join(ids, same(F.col("doc_id"), F.col("id")), "left_semi")
-    sets = texts.mapInArrow(set_map(near), "node binary, hashes binary")
+    sets = texts_of(wanted, classes, docs).mapInArrow(set_map(near), "node binary, hashes binary")
     sets = stable(sets.join(wanted, "node", "left_semi"))
     met = pairs.join(sets.toDF("a", "left"), "a").join(sets.toDF("b", "right"), "b")
     return stable(met.select("a", "b", "left", "right").mapInArrow(linker(near), PAIR).distinct())
@@ -290,16 +315,27 @@ def near_pairs(held: DataFrame, near: Near) -> DataFrame:
     return pairs.union(spokes).distinct()
 
 
-def split_pairs(held: DataFrame, groups: DataFrame, classes: DataFrame, near: Near) -> DataFrame:
+def texts_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(doc_id, text) of the documents that stand for the classes; only these texts are handed on."""
+    ids = stable(nodes.join(classes, "node").select(F.col("first_id").alias("id")).distinct())
+    return docs.select("doc_id", "text").join(ids, same(F.col("doc_id"), F.col("id")), "left_semi")
+
+
+def split_pairs(held: DataFrame, groups: DataFrame, classes: DataFrame, docs: DataFrame, near: Near) -> DataFrame:
     """Plausible pairs across components of large buckets, block by block, stored."""
     many = held.where(F.col("members") > near.small).join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
     many = stable(many)
     split = many.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("key")
-    rows = many.join(split, "key").join(classes.select("node", "signature", "n_shingles"), "node")
+    rows = stable(many.join(split, "key"))
+    nodes = stable(rows.select("node").distinct())
+    signed = texts_of(nodes, classes, docs).mapInArrow(long_signer(near), "node binary, codes binary, signature binary")
+    signed = signed.join(nodes, "node", "left_semi").dropDuplicates(["node"])
+    signed = stable(signed.join(classes.select("node", "n_shingles"), "node"))
+    rows = rows.join(signed, "node")
     blocks = F.ceil(F.col("members") / near.block)
     rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
     rows = rows.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
-    fields = ["key", "band", "i", "j", "own", "node", "root", "n_shingles", "signature"]
+    fields = ["key", "band", "i", "j", "own", "node", "root", "n_shingles", "codes", "signature"]
     return stable(rows.select(*fields).groupBy("key", "i", "j").applyInPandas(across(near), PAIR).distinct())
 
 
@@ -326,7 +362,7 @@ def near_report(docs: DataFrame, near: Near = Near()) -> DataFrame:  # noqa: B00
     held = buckets(classes, near)
     links = verify(prune(near_pairs(held, near), classes, near), classes, docs, near)
     groups = components(links)
-    more = split_pairs(held, groups, classes, near)
+    more = split_pairs(held, groups, classes, docs, near)
     if not more.isEmpty():
         found = verify(more, classes, docs, near)
         groups = components(found.union(groups.where("node != root").toDF("a", "b")))

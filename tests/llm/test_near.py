@@ -68,7 +68,7 @@ def test_filter_keeps_one_of_each(spark, rows):
 
 def test_pruning_hardly_ever_loses_a_similar_pair():
     r = np.random.default_rng(4)
-    steps = near.least_matches(Near())
+    steps = near.least_matches(Near(), 180, 30)
     left = np.zeros((20_000, 180), np.uint32)
     right = (r.random(left.shape) > 0.8).astype(np.uint32)
     assert len(near.plausible(left, right, steps)) >= 19_995
