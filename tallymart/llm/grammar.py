@@ -15,6 +15,7 @@ shuffled once by (id, hash), so that a repeated id is spread as well. A task hol
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 
 from tallymart.llm.native import same
 from tallymart.llm.units import Memo
+from tallymart.llm.units import tokenizer as load
 from tallymart.session import scratch_path, stable
 
 BLOCK = 1 << 20
@@ -114,11 +116,17 @@ def between(s: np.ndarray, rules: np.ndarray, size: np.ndarray, first: int, low:
     return expand(s[a : b + 1], rules, first)[low - before : high - before]
 
 
-def encoder(path: str, end_id: int):
-    """A map of Arrow batches (doc_id, text) to (doc_id, ids as little-endian 32-bit)."""
+def width_of(symbols: int) -> str:
+    """Little-endian numbers of two bytes where they are enough, else of four."""
+    return "<u2" if symbols <= 1 << 16 else "<u4"
+
+
+def encoder(path: str, end_id: int, width: str):
+    """A map of Arrow batches (doc_id, text) to (doc_id, ids)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, end = Memo(path, lambda e: np.array(e.ids, "<u4").tobytes()), end_id.to_bytes(4, "little")
+        code = "H" if width == "<u2" else "I"
+        memo, end = Memo(path, lambda e: array(code, e.ids).tobytes(), fold=True), np.array([end_id], width).tobytes()
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
                 part = batch.slice(at, SLICE)
@@ -131,22 +139,25 @@ def encoder(path: str, end_id: int):
     return run
 
 
-def packed(first: int, kind: pa.DataType):
+def packed(first: int, kind: pa.DataType, width: str):
     """A map of ordered (doc_id, ids) to blocks."""
+    size = np.dtype(width).itemsize
 
     def block(part: int, number: int, docs: list, ids: list[bytes]) -> pa.RecordBatch:
-        whole = np.frombuffer(b"".join(ids), "<u4")
+        whole = np.frombuffer(b"".join(ids), width)
         s, rules = repair(whole, first)
+        symbols = width_of(first + len(rules))
         row = {
             "part": pa.array([part], pa.int32()),
             "block": pa.array([number], pa.int32()),
             "doc_ids": pa.array([docs], pa.list_(kind)),
-            "lengths": pa.array([[len(x) // 4 for x in ids]], pa.list_(pa.int32())),
+            "lengths": pa.array([[len(x) // size for x in ids]], pa.list_(pa.int32())),
             "n_ids": pa.array([len(whole)], pa.int64()),
             "first_rule": pa.array([first], pa.int32()),
-            "rules": pa.array([rules.astype("<u4").tobytes()], pa.binary()),
+            "width": pa.array([symbols], pa.string()),
+            "rules": pa.array([rules.astype(symbols).tobytes()], pa.binary()),
             "rule_lengths": pa.array([expansion_lengths(rules, first).astype("<u4").tobytes()], pa.binary()),
-            "sequence": pa.array([s.astype("<u4").tobytes()], pa.binary()),
+            "sequence": pa.array([s.astype(symbols).tobytes()], pa.binary()),
         }
         return pa.RecordBatch.from_arrays(list(row.values()), list(row))
 
@@ -159,7 +170,7 @@ def packed(first: int, kind: pa.DataType):
                     docs.append(doc)
                     ids.append(x)
                     held += len(x)
-                    if held >= 4 * BLOCK:
+                    if held >= size * BLOCK:
                         yield block(part, number, docs, ids)
                         number, docs, ids, held = number + 1, [], [], 0
         if docs:
@@ -168,20 +179,22 @@ def packed(first: int, kind: pa.DataType):
     return run
 
 
-def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int = 1, first_rule: int = 1 << 24) -> None:
+def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int = 1) -> None:
     """Write the token ids of ``docs`` (doc_id, text) as Re-Pair blocks in ascending id order, NULL first.
 
     NULL and empty texts have the end id alone; rows with equal ids go by a hash of their ids. Other columns are
-    ignored. An empty table writes files without blocks. The tokenizer must drop white space.
+    ignored. An empty table writes files without blocks. The tokenizer must drop white space and fold case.
     """
+    first_rule = load(tokenizer).get_vocab_size()
+    width = width_of(first_rule)
     kind = docs.schema["doc_id"].dataType
-    encoded = stable(docs.select("doc_id", "text").mapInArrow(encoder(tokenizer, end_id), f"doc_id {kind.simpleString()}, ids binary"))
+    encoded = stable(docs.select("doc_id", "text").mapInArrow(encoder(tokenizer, end_id, width), f"doc_id {kind.simpleString()}, ids binary"))
     from pyspark.sql.pandas.types import to_arrow_type
 
     keyed = encoded.withColumn("tie", F.xxhash64("ids"))
     ordered = keyed.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "ids").select("doc_id", "ids")
-    fields = f"doc_ids array<{kind.simpleString()}>, lengths array<int>, n_ids bigint, first_rule int"
-    blocks = ordered.mapInArrow(packed(first_rule, to_arrow_type(kind)), f"part int, block int, {fields}, rules binary, rule_lengths binary, sequence binary")
+    fields = f"doc_ids array<{kind.simpleString()}>, lengths array<int>, n_ids bigint, first_rule int, width string"
+    blocks = ordered.mapInArrow(packed(first_rule, to_arrow_type(kind), width), f"part int, block int, {fields}, rules binary, rule_lengths binary, sequence binary")
     blocks.write.parquet(path)
 
 
@@ -189,8 +202,8 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for k in range(batch.num_rows):
             row = batch.slice(k, 1)
-            docs, lengths, offset, first, rules, _, s = (row.column(i)[0].as_py() for i in range(7))
-            ids = expand(np.frombuffer(s, "<u4").astype(np.int64), np.frombuffer(rules, "<u4").astype(np.int64).reshape(-1, 2), first)
+            docs, lengths, offset, first, width, rules, s = (row.column(i)[0].as_py() for i in range(7))
+            ids = expand(np.frombuffer(s, width).astype(np.int64), np.frombuffer(rules, width).astype(np.int64).reshape(-1, 2), first)
             data = memoryview(ids.astype("<u4").tobytes())
             ends = np.cumsum(lengths)
             starts = ends - lengths
@@ -210,7 +223,7 @@ def read_report(spark: SparkSession, path: str) -> DataFrame:
     offsets = sizes.withColumn("inner", inner).join(parts.select("part", ahead.alias("ahead")), "part")
     offsets = stable(offsets.select(F.col("part").alias("p"), F.col("block").alias("b"), (F.col("inner") + F.col("ahead")).alias("offset")).coalesce(1))
     rows = blocks.join(offsets, same(F.col("part"), F.col("p")) & same(F.col("block"), F.col("b")))
-    rows = rows.select("doc_ids", "lengths", "offset", "first_rule", "rules", "rule_lengths", "sequence")
+    rows = rows.select("doc_ids", "lengths", "offset", "first_rule", "width", "rules", "sequence")
     return rows.mapInArrow(_read, f"doc_id {kind}, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 

@@ -4,7 +4,8 @@ A byte-level BPE first cuts a text by a pattern. Where a single space stands bet
 white space, the pattern starts a new piece at the space, whatever stands further left or right; no merge and no
 special token crosses it. Such a position is a stable boundary.
 
-Texts up to ``chunk`` characters are cut at their stable boundaries into pieces whose counts are remembered. Longer
+Texts up to ``chunk`` characters are cut at their stable boundaries into pieces whose counts are remembered; ASCII
+letters and a closing full stop or comma are two pieces for the pattern. Longer
 ones are encoded in chunks with offsets; each overlaps the one before. The splice is a stable boundary inside the
 overlap at which both encodings start a token. If the overlap has none, it is widened, doubling, back to the start
 of the open chunk; then both are encoded as one. Memory is bounded by the chunk unless a text has no boundary at all.

@@ -2,7 +2,8 @@
 
 Invented or rare words overflow the small cache inside the library, so pieces are remembered here: a piece is what
 stands between two positions where the tokenizer always starts anew, whatever surrounds it. Its tokens come from
-the library itself. The memo is emptied when it is full, so memory is bounded and results do not change.
+the library itself. The memo has two generations: when the newer one is full it becomes the older, and what is
+asked for again moves back to the newer one. So memory is bounded, frequent pieces stay, and results do not change.
 """
 
 from __future__ import annotations
@@ -11,7 +12,8 @@ import os
 from collections.abc import Callable, Iterable
 from functools import lru_cache
 
-MEMO = 400_000
+#: Pieces per generation.
+MEMO = 600_000
 
 
 @lru_cache(maxsize=4)
@@ -24,20 +26,51 @@ def tokenizer(path: str):
 
 
 class Memo:
-    """Values of pieces, by a function of the library's encoding of ``prefix + piece``."""
+    """Values of pieces, by a function of the library's encoding of ``prefix + piece``.
 
-    def __init__(self, path: str, value: Callable, prefix: str = "") -> None:
-        self.tokenizer, self.value, self.prefix, self.known = tokenizer(path), value, prefix, {}
+    Values of neighbours add up. ASCII letters followed by a full stop or comma are two parts for every pattern
+    that keeps letters and punctuation apart, so only the letters are encoded; ``fold`` says that the tokenizer
+    reads capitals as small letters.
+    """
+
+    def __init__(self, path: str, value: Callable, prefix: str = "", fold: bool = False) -> None:
+        self.tokenizer, self.value, self.prefix, self.fold = tokenizer(path), value, prefix, fold
+        self.known: dict[str, object] = {}
+        self.older: dict[str, object] = {}
+        self.tails = {t: value(self.tokenizer.encode(t, add_special_tokens=False)) for t in ("", ".", ",")}
 
     def learn(self, pieces: Iterable[str]) -> Callable[[str], object]:
         """Encode the pieces not known yet; what is returned looks them up."""
         asked = set(pieces)
-        new = [p for p in asked if p not in self.known]
-        if len(self.known) + len(new) > MEMO:
-            self.known.clear()
-            new = list(asked)
+        if len(self.known) + len(asked) > MEMO:
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        new, parts = [], []
+        for p in asked:
+            if p in known:
+                continue
+            if p in older:
+                known[p] = older[p]
+                continue
+            tail = p[-1:] if p[-1:] in (".", ",") else ""
+            head = p[: len(p) - len(tail)]
+            if head.isascii() and head.isalpha():
+                stem = head.lower() if self.fold else head
+                if stem != p:
+                    parts.append((p, stem, tail))
+                    if stem in known:
+                        continue
+                    if stem in older:
+                        known[stem] = older[stem]
+                        continue
+                    p = stem
+            new.append(p)
+        new = list(dict.fromkeys(new))
         for at in range(0, len(new), 4096):
             some = new[at : at + 4096]
-            found = self.tokenizer.encode_batch_fast([self.prefix + p for p in some] if self.prefix else some, add_special_tokens=False)
-            self.known.update(zip(some, map(self.value, found), strict=True))
-        return self.known.__getitem__
+            texts = [self.prefix + p for p in some] if self.prefix else some
+            found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            known.update(zip(some, map(self.value, found), strict=True))
+        for p, stem, tail in parts:
+            known[p] = known[stem] + self.tails[tail]
+        return known.__getitem__
