@@ -226,13 +226,13 @@ def hash_cutoffs(df: DataFrame, group: str, hashed: str, quotas: DataFrame) -> D
     totals = rows.groupBy(group, "_prefix").agg(F.count(F.lit(1)).alias("_rows"))
     spans = totals.withColumn("_end", F.sum("_rows").over(W.partitionBy(group).orderBy("_prefix")))
     targets = (
-        spans.join(F.broadcast(quotas.where("quota > 0")), group)
+        spans.join(quotas.where("quota > 0"), group)
         .where((F.col("quota") <= F.col("_end")) & (F.col("quota") > F.col("_end") - F.col("_rows")))
         .select(group, "_prefix", "part", (F.col("quota") - F.col("_end") + F.col("_rows")).alias("_nth"))
     )
     upto = F.sum("_copies").over(W.partitionBy(group, "part").orderBy(hashed))
     return (
-        rows.join(F.broadcast(targets), [group, "_prefix"])
+        rows.join(targets, [group, "_prefix"])
         .groupBy(group, "part", "_nth", hashed)
         .agg(F.count(F.lit(1)).alias("_copies"))
         .withColumn("_upto", upto)
