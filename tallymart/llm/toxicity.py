@@ -1,11 +1,11 @@
 """Toxicity by compression distance: windows are compressed under a toxic and an ordinary zstandard dictionary.
 
 The ordinary dictionary is trained on ordinary documents. The toxic one is trained on the words of toxic documents
-that recur among them and are absent from the ordinary sample; used alone, its missing everyday words would drown
-the difference in noise, so at scoring it stands in front of the ordinary content: everyday words then cost the
-same under both, and a window is shorter under the toxic one only by what it shares with toxic text. The gains of a
-text's windows (largest, mean of the three largest, mean of all) are calibrated to a probability by a logistic fit on labelled
-documents that trained no dictionary.
+that recur there, in many documents and contexts, far beyond what the ordinary sample lets expect. Used alone, its
+missing everyday words would drown the difference in noise, so at scoring it stands in front of the ordinary
+content: everyday words then cost the same under both, and a window is shorter under the toxic one only by what it
+shares with toxic text. The gains of a text's windows (largest, mean of the three largest, mean of all) are
+calibrated to a probability by a logistic fit on labelled documents that trained no dictionary.
 
 Scale: the fit uses a bounded sample of labelled rows (``sample`` per class and purpose, chosen by hash); what is
 sent to the workers are two dictionaries of fixed size and a few numbers. Scoring is a map over the scan. Texts are
@@ -18,6 +18,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import log
 
 import numpy as np
 import pyarrow as pa
@@ -33,15 +34,16 @@ SLICE = 256
 @dataclass(frozen=True)
 class Toxicity:
     """``sample`` bounds the labelled documents per class for dictionaries, and again for calibration; documents
-    over ``longest`` characters are not sampled. ``recur`` is the number of toxic documents a word must be in."""
+    over ``longest`` characters are not sampled. ``evidence`` is the log-likelihood ratio from which a word counts
+    as telling."""
 
     sample: int = 2000
     longest: int = 50_000
-    window: int = 8
-    level: int = 9
+    window: int = 6
+    level: int = 12
     ordinary_bytes: int = 16_384
     toxic_bytes: int = 2048
-    recur: int = 3
+    evidence: float = 40.0
     threshold: float = 0.7
 
 
@@ -83,13 +85,23 @@ def trained(size: int, samples: list[bytes]) -> bytes:
         return b"".join(dict.fromkeys(samples))[-size:]
 
 
+def support(texts: list[list[str]]) -> Counter:
+    """How well spread each word is: its documents or its different pairs of neighbours, whichever are fewer.
+
+    Near copies repeat neighbours, and a text about one thing repeats a word; neither counts twice.
+    """
+    triples = {c for words in texts for c in zip(["", *words], words, [*words[1:], ""], strict=False)}
+    contexts = Counter(w for _, w, _ in triples)
+    return Counter({w: min(n, contexts[w]) for w, n in Counter(w for words in texts for w in set(words)).items()})
+
+
 def dictionaries(toxic: list[str], ordinary: list[str], how: Toxicity) -> tuple[bytes, bytes]:
     """The ordinary and the toxic content from whole sampled texts."""
     everyday = [bare(t) for t in sorted(set(ordinary))]
-    known = {w for words in everyday for w in words}
     marked = [bare(t) for t in sorted(set(toxic))]
-    spread = Counter(w for words in marked for w in set(words))
-    telling = [w for words in marked for w in words if w not in known and spread[w] >= how.recur]
+    found, usual, share = support(marked), support(everyday), len(marked) / max(1, len(marked) + len(everyday))
+    chosen = {w for w, n in found.items() if 2 * n * log(n / ((n + usual[w]) * share)) >= how.evidence}
+    telling = [w for words in marked for w in words if w in chosen]
     plain = trained(how.ordinary_bytes, [x for words in everyday for x in windows(words, how.window)])
     return plain, trained(how.toxic_bytes, windows(telling, 4)) if telling else b""
 
@@ -106,7 +118,8 @@ def feature_map(ordinary: bytes, toxic: bytes, how: Toxicity):
     """A map of Arrow batches whose last column is the text: the other columns and the features."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plain, marked = compressor(ordinary, how.level), compressor(toxic + ordinary, how.level)
+        # Zeros in the place of the toxic content: the library picks its parameters by the dictionary's size.
+        plain, marked = (compressor(front + ordinary, how.level) for front in (bytes(len(toxic)), toxic))
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
                 part = batch.slice(at, SLICE)
