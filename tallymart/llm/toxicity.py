@@ -4,10 +4,9 @@ The ordinary dictionary is trained on ordinary documents. The toxic one is train
 that recur there, in many documents and contexts, far beyond what the ordinary sample lets expect. Used alone, its
 missing everyday words would drown the difference in noise, so at scoring it stands in front of the ordinary
 content: everyday words then cost the same under both, and a window is shorter under the toxic one only by what it
-shares with toxic text. The gains of a text's windows (largest, mean of the three largest, mean of all) are
-calibrated to a probability by a logistic fit on labelled documents that trained no dictionary.
+shares with toxic text. The three largest gains of a text's windows are calibrated to a probability by a logistic fit on labelled documents that trained no dictionary.
 
-Scale: the fit uses a bounded sample of labelled rows (``sample`` per class and purpose, chosen by hash); what is
+Scale: the fit uses a bounded sample of labelled rows (``sample`` per class, chosen by hash); what is
 sent to the workers are two dictionaries of fixed size and a few numbers. Scoring is a map over the scan. Texts are
 compressed window by window, so memory is bounded by the text itself.
 """
@@ -18,6 +17,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from heapq import nlargest
 from math import log
 
 import numpy as np
@@ -28,22 +28,25 @@ from pyspark.sql import functions as F
 
 NO_LETTERS = re.compile(r"[\W\d_]+")
 FEATURES = 3
+#: A window that saves this much holds toxic text; more says no more.
+ENOUGH = 4
 SLICE = 256
 
 
 @dataclass(frozen=True)
 class Toxicity:
-    """``sample`` bounds the labelled documents per class for dictionaries, and again for calibration; documents
+    """``sample`` bounds the labelled documents per class, two thirds for dictionaries, one for calibration; documents
     over ``longest`` characters are not sampled. ``evidence`` is the log-likelihood ratio from which a word counts
-    as telling."""
+    as telling, ``strength`` what it needs of the most telling word's."""
 
-    sample: int = 2000
+    sample: int = 4000
     longest: int = 50_000
     window: int = 6
     level: int = 12
     ordinary_bytes: int = 16_384
     toxic_bytes: int = 2048
-    evidence: float = 40.0
+    evidence: float = 15.0
+    strength: float = 0.25
     threshold: float = 0.7
 
 
@@ -100,18 +103,17 @@ def dictionaries(toxic: list[str], ordinary: list[str], how: Toxicity) -> tuple[
     everyday = [bare(t) for t in sorted(set(ordinary))]
     marked = [bare(t) for t in sorted(set(toxic))]
     found, usual, share = support(marked), support(everyday), len(marked) / max(1, len(marked) + len(everyday))
-    chosen = {w for w, n in found.items() if 2 * n * log(n / ((n + usual[w]) * share)) >= how.evidence}
-    telling = [w for words in marked for w in words if w in chosen]
+    evidence = {w: 2 * n * log(n / ((n + usual[w]) * share)) for w, n in found.items()}
+    least = max(how.evidence, how.strength * max(evidence.values(), default=0.0))
+    telling = [w for words in marked for w in words if evidence[w] >= least]
     plain = trained(how.ordinary_bytes, [x for words in everyday for x in windows(words, how.window)])
     return plain, trained(how.toxic_bytes, windows(telling, 4)) if telling else b""
 
 
-def gains(words: list[str], ordinary, toxic, n: int) -> tuple[float, float, float]:
-    """Largest, mean of the three largest, and mean of the bytes that windows save under the toxic dictionary."""
-    saved = sorted((len(ordinary(w)) - len(toxic(w)) for w in windows(words, n)), reverse=True)
-    if not saved:
-        return 0.0, 0.0, 0.0
-    return float(saved[0]), sum(saved[:3]) / 3, sum(saved) / len(saved)
+def gains(words: list[str], ordinary, toxic, n: int) -> list[float]:
+    """The three largest numbers of bytes that windows save under the toxic dictionary, up to ``ENOUGH`` each."""
+    saved = nlargest(FEATURES, (len(ordinary(w)) - len(toxic(w)) for w in windows(words, n)))
+    return [float(min(max(x, 0), ENOUGH)) for x in saved] + [0.0] * (FEATURES - len(saved))
 
 
 def feature_map(ordinary: bytes, toxic: bytes, how: Toxicity):
@@ -146,12 +148,12 @@ def sampled(docs: DataFrame, labels: DataFrame, how: Toxicity) -> list[tuple[int
     """(label, for calibration, text) of the sample: per class the ids first by hash, one text per id."""
     wanted = labels.where(~held_out() & F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
     wanted = wanted.groupBy("doc_id").agg(F.max("toxic").alias("label")).withColumn("h", F.xxhash64("doc_id", F.lit("sample")))
-    bound = 2 * how.sample
+    bound = how.sample
     ids = [wanted.where(F.col("label") == k).orderBy("h", "doc_id").limit(bound) for k in (0, 1)]
     few = ids[0].unionByName(ids[1]).withColumnRenamed("doc_id", "id")
     texts = docs.where(F.length("text") <= how.longest).select("doc_id", "text").join(F.broadcast(few), F.col("doc_id") == F.col("id"))
     rows = texts.groupBy("doc_id", "label", "h").agg(F.min("text").alias("text")).collect()
-    return sorted((int(r["label"]), r["h"] % 2 == 0, r["text"]) for r in rows)
+    return sorted((int(r["label"]), r["h"] % 3 == 0, r["text"]) for r in rows)  # a third calibrates
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 60) -> tuple[float, ...]:
