@@ -85,11 +85,13 @@ def plan(rows: DataFrame, mix: Mix) -> DataFrame:
         "expected",
     )
     copies = F.coalesce(F.try_divide("expected", "words"), F.lit(0.0))
+    # Added up in the order of the classes, so that the last digits do not depend on a shuffle.
+    in_order = Window.partitionBy("source").orderBy("class").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     chances = stable(
         shares.withColumn("copies", copies)
         .withColumn("whole", F.floor("copies"))
         .withColumn("p", F.col("copies") - F.col("whole"))
-        .withColumn("left", F.sum(F.col("p") * F.col("words")).over(Window.partitionBy("source")))
+        .withColumn("left", F.sum(F.col("p") * F.col("words")).over(in_order))
         .select("source", "class", "source_size", "target", "whole", "p", "left")
     )
     drawn = _with_chances(rows, chances).where("p > 0").withColumn("v", order_value(F.col("u"), F.col("p")))

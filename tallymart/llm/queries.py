@@ -53,7 +53,56 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.leak_report(read(spark, folder, "documents"), read(spark, folder, "benchmark")).drop("text_key")
 
 
-@query()
+def _poured(rows: str, weight: str, cap: str, budget: str, group: str = "") -> str:
+    """SQL of ``native.fill``: the share of every row of ``rows``."""
+    part = f"PARTITION BY {group}" if group else ""
+    upto = f"OVER ({part} ORDER BY ratio RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    return f"""SELECT * EXCLUDE (ratio, filled), CASE WHEN filled THEN {cap} ELSE
+            ({budget} - sum(CASE WHEN filled THEN {cap} ELSE 0.0 END) OVER ({part}))
+            / sum(CASE WHEN NOT filled THEN {weight} END) OVER ({part}) * {weight} END AS share
+        FROM (SELECT *, sum({cap}) {upto} + ratio * (sum({weight}) OVER ({part}) - sum({weight}) {upto}) <= {budget} AS filled
+            FROM (SELECT *, CASE WHEN {weight} > 0 THEN {cap} / {weight} ELSE 0.0 END::DOUBLE AS ratio FROM {rows}))"""
+
+
+_MIX = f"""
+    WITH sized AS (
+        SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
+            ('0x' || substr(md5('mix' || chr(9) || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
+        FROM documents
+    ), rows_ AS (
+        SELECT *, CASE WHEN size > 0 THEN length(bin(size)) ELSE 0 END AS class FROM sized
+    ), sources AS (
+        SELECT source, sum(size)::BIGINT AS source_size FROM rows_ GROUP BY source
+    ), weighed AS (
+        SELECT *, [5.0, 2.0, 1.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS weight,
+            source_size * 2.0::DOUBLE AS cap, (SELECT sum(source_size)::DOUBLE * 1.5::DOUBLE FROM sources) AS budget FROM sources
+    ), goals AS (
+        SELECT source, source_size, share AS target FROM ({_poured("weighed", "weight", "cap", "budget")})
+    ), classes AS (
+        SELECT c.source, c.class, c.words, source_size, target, c.words::DOUBLE * c.class AS weight, c.words * 2.0::DOUBLE AS cap
+        FROM (SELECT source, class, sum(size)::BIGINT AS words FROM rows_ GROUP BY source, class) c
+        JOIN goals g ON c.source IS NOT DISTINCT FROM g.source
+    ), chances AS (
+        SELECT *, copies - floor(copies) AS p, floor(copies)::BIGINT AS whole,
+            sum((copies - floor(copies)) * words) OVER (
+                PARTITION BY source ORDER BY class ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS left_
+        FROM (SELECT *, CASE WHEN words > 0 THEN share / words ELSE 0.0 END AS copies
+            FROM ({_poured("classes", "weight", "cap", "target", "source")}))
+    ), ranked AS (
+        SELECT r.doc_id, r.source, r.size, r.u, c.source_size, c.target, c.p, c.whole, c.left_,
+            u * (1 - p) / (u * (1 - p) + (1 - u) * p) AS v
+        FROM rows_ r JOIN chances c ON r.source IS NOT DISTINCT FROM c.source AND r.class = c.class
+    ), used AS (
+        SELECT *, sum(CASE WHEN p > 0 THEN size ELSE 0 END) OVER (
+            PARTITION BY source, p > 0 ORDER BY v, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM ranked
+    ), counted AS (
+        SELECT *, CASE WHEN size > 0 THEN whole + (p > 0 AND upto - size / 2.0 <= left_)::BIGINT ELSE 0 END AS copies FROM used
+    )
+    SELECT doc_id, source, size, source_size, target, copies::BIGINT AS copies, (copies * size)::BIGINT AS taken FROM counted
+"""
+
+
+@query(_MIX)
 def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """What the mix takes of every document."""
     return mixing.mix_report(read(spark, folder, "documents"))
@@ -84,7 +133,31 @@ def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.license_report(read(spark, folder, "documents"))
 
 
-@query()
+@query(
+    """
+    WITH RECURSIVE split AS (
+        SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+        FROM documents
+    ), sets AS (
+        SELECT doc_id, coalesce(list_distinct(CASE WHEN len(w) >= 4
+            THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+            WHEN len(w) > 0 THEN [array_to_string(w, ' ')] END), []) AS held FROM split
+    ), shingles AS (
+        SELECT doc_id, len(held) AS n, unnest(held) AS shingle FROM sets
+    ), links AS (
+        SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+        GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+    ), reach AS (
+        SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+    ), least_ AS (
+        SELECT a, min(b) AS b FROM reach GROUP BY a
+    )
+    SELECT doc_id, len(held)::BIGINT AS n_shingles, least(doc_id, coalesce(b, doc_id)) AS component_id,
+        doc_id = least(doc_id, coalesce(b, doc_id)) AS kept
+    FROM sets LEFT JOIN least_ ON doc_id = a
+    """
+)
 def op4_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Group of every document among near duplicates."""
     return near.near_report(read(spark, folder, "documents")).drop("text_key")
