@@ -15,7 +15,6 @@ shuffled once by (id, hash), so that a repeated id is spread as well. A task hol
 from __future__ import annotations
 
 import zlib
-from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -26,18 +25,18 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallymart.llm.native import same
-from tallymart.llm.units import Memo
+from tallymart.llm.units import memo
 from tallymart.llm.units import tokenizer as load
 from tallymart.session import scratch_path, stable
 
 BLOCK = 1 << 20
 SLICE = 256
-TABLE = 20
+TABLE = 18
 NEVER = np.int32(2**31 - 1)
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def repair(ids: np.ndarray, first: int, rounds: int = 10, least: int = 4) -> tuple[np.ndarray, np.ndarray]:
+def repair(ids: np.ndarray, first: int, rounds: int = 10, least: int = 4, enough: float = 0.97) -> tuple[np.ndarray, np.ndarray]:
     """The shortened sequence and the rules (n x 2); nonterminals count up from ``first``, above every id."""
     s, rules, number = ids.astype(np.int64), [], first
     for _ in range(rounds):
@@ -72,9 +71,10 @@ def repair(ids: np.ndarray, first: int, rounds: int = 10, least: int = 4) -> tup
         places = np.flatnonzero(taken)
         s = s.copy()
         s[places] = symbol[order[places]]
-        before = len(s)
-        s = np.delete(s, places + 1)
-        if len(s) > 0.98 * before:
+        before, keep = len(s), np.ones(len(s), bool)
+        keep[places + 1] = False
+        s = s[keep]
+        if len(s) > enough * before:
             break
     return s, np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
 
@@ -95,12 +95,13 @@ def expansion_lengths(rules: np.ndarray, first: int) -> np.ndarray:
 
 def expand(s: np.ndarray, rules: np.ndarray, first: int) -> np.ndarray:
     """The ids that a sequence of symbols stands for, all symbols one level per pass."""
+    s, rules = s.astype(np.int32), rules.astype(np.int32)
     while True:
         inner = s >= first
         if not inner.any():
             return s
         ends = np.cumsum(1 + inner)
-        out = np.empty(int(ends[-1]), np.int64)
+        out = np.empty(int(ends[-1]), np.int32)
         out[ends - 1 - inner] = np.where(inner, rules[np.where(inner, s - first, 0), 0], s)
         out[ends[inner] - 1] = rules[s[inner] - first, 1]
         s = out
@@ -125,14 +126,13 @@ def encoder(path: str, end_id: int, width: str):
     """A map of Arrow batches (doc_id, text) to (doc_id, ids)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = "H" if width == "<u2" else "I"
-        memo, end = Memo(path, lambda e: array(code, e.ids).tobytes(), fold=True), np.array([end_id], width).tobytes()
+        known, end = memo(path, "H" if width == "<u2" else "I", fold=True), np.array([end_id], width).tobytes()
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
                 part = batch.slice(at, SLICE)
                 # White space never enters a token of this tokenizer, so every space is a boundary.
                 pieces = [(t or "").split(" ") for t in part.column(1).to_pylist()]
-                of = memo.learn(chain.from_iterable(pieces))
+                of = known.learn(chain.from_iterable(pieces))
                 ids = [b"".join(map(of, p)) + end for p in pieces]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 

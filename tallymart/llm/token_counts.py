@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tallymart.llm.units import Memo, tokenizer
+from tallymart.llm.units import memo, tokenizer
 
 BOUNDARY = re.compile(r"(?<=\S) (?=\S)")
 SLICE = 128
@@ -81,7 +81,7 @@ def counts(path: str, chunks: Chunks):
     """A map of Arrow batches (doc_id, text) to (doc_id, n_bytes, n_tokens)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        inner, head = Memo(path, len, " "), Memo(path, len)
+        inner, head = memo(path, "count", " "), memo(path, "count")
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
                 part = batch.slice(at, SLICE)

@@ -9,11 +9,12 @@ asked for again moves back to the newer one. So memory is bounded, frequent piec
 from __future__ import annotations
 
 import os
+from array import array
 from collections.abc import Callable, Iterable
 from functools import lru_cache
 
 #: Pieces per generation.
-MEMO = 600_000
+MEMO = 1_000_000
 
 
 @lru_cache(maxsize=4)
@@ -25,6 +26,13 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+@lru_cache(maxsize=4)
+def memo(path: str, kind: str, prefix: str = "", fold: bool = False) -> Memo:
+    """The memo of a worker process, kept from task to task: numbers of tokens for the kind "count", else ids as an
+    array of that type code."""
+    return Memo(path, (lambda e: len(e.ids)) if kind == "count" else (lambda e: array(kind, e.ids).tobytes()), prefix, fold)
+
+
 class Memo:
     """Values of pieces, by a function of the library's encoding of ``prefix + piece``.
 
