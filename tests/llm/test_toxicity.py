@@ -44,7 +44,7 @@ def test_planted_words_raise_the_score(spark):
                 words[r.randrange(80)] = w
         rows.append((i, " ".join(words), "en", "a"))
         labels.append((i, 1, int(i % 4 == 0)))
-    rows += [(1000, plain(40) + " grubface " + plain(40), "en", "a"), (1001, plain(80), "en", "a"), (1002, None, "en", "a")]
+    rows += [(1000, f"{plain(40)} grubface {plain(20)} vilesome {plain(20)} muckhead {plain(9)}", "en", "a"), (1001, plain(80), "en", "a"), (1002, None, "en", "a")]
     frame = docs_frame(spark, rows)
     label = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
     score = {x["doc_id"]: x["score"] for x in toxicity.toxic_report(frame, label, Toxicity(sample=400)).collect()}
