@@ -59,4 +59,5 @@ def test_stages_are_fitted_on_train_only(spark):
     test = spark.createDataFrame([("new", *[1.0] * 6), ("y", *[1.0] * 6), ("x", *[1.0] * 5, None)], columns)
     vectors, names = scaling.churn_vectors(train, test)
     found = scaling.vector_columns(vectors.select("region", "features"), "features", names)
-    assert {r["region"]: r["region_index"] for r in found.collect()} == {"new": 2.0, "y": 1.0}
+    rows = {r["region"]: (r["region_index"], r["std_tx_amount"], r["std_missing"]) for r in found.collect()}
+    assert rows == {"new": (2.0, 1.0, 0.0), "y": (1.0, 1.0, 0.0), "x": (0.0, 0.0, 1.0)}
