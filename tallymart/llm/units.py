@@ -13,8 +13,12 @@ from array import array
 from collections.abc import Callable, Iterable
 from functools import lru_cache
 
+import numpy as np
+
 #: Pieces per generation.
 MEMO = 1_000_000
+#: Unknown pieces that are encoded as one text.
+JOINED = 1024
 
 
 @lru_cache(maxsize=4)
@@ -30,22 +34,47 @@ def tokenizer(path: str):
 def memo(path: str, kind: str, prefix: str = "", fold: bool = False) -> Memo:
     """The memo of a worker process, kept from task to task: numbers of tokens for the kind "count", else ids as an
     array of that type code."""
-    return Memo(path, (lambda e: len(e.ids)) if kind == "count" else (lambda e: array(kind, e.ids).tobytes()), prefix, fold)
+    return Memo(path, kind, prefix, fold)
 
 
 class Memo:
-    """Values of pieces, by a function of the library's encoding of ``prefix + piece``.
+    """Values of pieces as the library encodes ``prefix + piece``: numbers of tokens, or ids as bytes.
 
     Values of neighbours add up. ASCII letters followed by a full stop or comma are two parts for every pattern
     that keeps letters and punctuation apart, so only the letters are encoded; ``fold`` says that the tokenizer
-    reads capitals as small letters.
+    drops white space and reads capitals as small letters. Where a space between pieces is a stable boundary, many
+    unknown pieces are encoded as one text and told apart by the tokens' offsets.
     """
 
-    def __init__(self, path: str, value: Callable, prefix: str = "", fold: bool = False) -> None:
-        self.tokenizer, self.value, self.prefix, self.fold = tokenizer(path), value, prefix, fold
+    def __init__(self, path: str, kind: str, prefix: str = "", fold: bool = False) -> None:
+        self.tokenizer, self.kind, self.prefix, self.fold = tokenizer(path), kind, prefix, fold
         self.known: dict[str, object] = {}
         self.older: dict[str, object] = {}
-        self.tails = {t: value(self.tokenizer.encode(t, add_special_tokens=False)) for t in ("", ".", ",")}
+        self.tails = {t: self.value(self.tokenizer.encode(t, add_special_tokens=False).ids) for t in ("", ".", ",")}
+
+    def value(self, ids: list[int]) -> object:
+        return len(ids) if self.kind == "count" else array(self.kind, ids).tobytes()
+
+    def encode(self, pieces: list[str]) -> None:
+        """Add pieces to the memo."""
+        alone = pieces
+        if self.fold or self.prefix == " ":
+            together = [p for p in pieces if p and not p[0].isspace() and not p[-1].isspace()]
+            alone = [p for p in pieces if not p or p[0].isspace() or p[-1].isspace()]
+            for at in range(0, len(together), JOINED):
+                some = together[at : at + JOINED]
+                found = self.tokenizer.encode(self.prefix + " ".join(some), add_special_tokens=False)
+                # A piece owns what starts from the space before it on.
+                begin = np.cumsum([0, *[len(p) + 1 for p in some[:-1]]]) - (0 if self.prefix else 1)
+                owner = np.searchsorted(begin, [a for a, _ in found.offsets], side="right") - 1
+                ends = np.cumsum(np.bincount(owner, minlength=len(some))).tolist()
+                ids = found.ids
+                self.known.update(zip(some, [self.value(ids[a:b]) for a, b in zip([0, *ends], ends, strict=False)], strict=True))
+        for at in range(0, len(alone), 4096):
+            some = alone[at : at + 4096]
+            texts = [self.prefix + p for p in some] if self.prefix else some
+            found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            self.known.update((p, self.value(e.ids)) for p, e in zip(some, found, strict=True))
 
     def learn(self, pieces: Iterable[str]) -> Callable[[str], object]:
         """Encode the pieces not known yet; what is returned looks them up."""
@@ -73,12 +102,7 @@ class Memo:
                         continue
                     p = stem
             new.append(p)
-        new = list(dict.fromkeys(new))
-        for at in range(0, len(new), 4096):
-            some = new[at : at + 4096]
-            texts = [self.prefix + p for p in some] if self.prefix else some
-            found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-            known.update(zip(some, map(self.value, found), strict=True))
+        self.encode(list(dict.fromkeys(new)))
         for p, stem, tail in parts:
             known[p] = known[stem] + self.tails[tail]
         return known.__getitem__
