@@ -40,7 +40,7 @@ class Rules:
     min_words: int = 50
     most_repeated: int = 50
     core: float = 0.75
-    alpha: float = 1e-9
+    alpha: float = 1e-5
     noise: tuple[float, ...] = (0.5, 0.06, 0.05, 0.08, 0.5)
     least: int = 30
     steps: int = 12

@@ -84,6 +84,17 @@ def test_planted_outliers_go_and_clean_stay(planted):
     assert rules.without_rejects(frame).count() == 400 - len(bad)
 
 
+def test_symbols_on_every_second_word_are_outlying(spark):
+    r = random.Random(4)
+    rows = []
+    for i in range(300):
+        w = ["".join(r.choice("abcdefghij") for _ in range(r.randint(2, 8))) for _ in range(r.randint(100, 400))]
+        rows.append((i, " ".join(f"{x}|" if i % 30 == 0 and k % 2 else x for k, x in enumerate(w)), "en", "a"))
+    found = rules.quality_report(docs_frame(spark, rows)).collect()
+    assert {x["doc_id"] for x in found if not x["kept"]} == set(range(0, 300, 30))
+    assert all(x["distance"] < rules.chi2_quantile(1 - 1e-9, rules.DIMS) for x in found)
+
+
 def test_estimates_match_numpy(planted):
     frame, _ = planted
     how = Rules()
