@@ -191,11 +191,11 @@ def find(text: str) -> tuple[dict[str, list[Span]], dict[str, list[Span]]]:
     if now.new is not None:
         for kind, spans in detect(now.text).items():
             for a, b in spans:
-                if not any(now.new[a:b]):
+                low, high = now.start[a], now.end[b - 1]
+                if not any(now.new[a:b]) and high - low == b - a:  # a longer stretch of source has lost characters
                     continue
                 if kind == "email" and not now.text[a:b].rpartition(".")[2].isalpha():
                     continue
-                low, high = now.start[a], now.end[b - 1]
                 if all(high <= x or low >= y for x, y in base[kind]):
                     added[kind].append((low, high))
     return base, added

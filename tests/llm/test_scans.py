@@ -59,6 +59,18 @@ def test_disguises(text, kind, span):
     assert all(not v for k, v in added.items() if k != kind)
 
 
+@pytest.mark.parametrize("hidden", ["\u200b", "\u00ad", "\u200c", "\u200d", "\u2060", "\ufeff", "\u200b\u00ad"])
+@pytest.mark.parametrize(
+    ("kind", "left", "right"),
+    [("email", "john@exam", "ple.com"), ("card", "4111", "1111 1111 1111"), ("ip", "192.168", ".0.1"), ("phone", "+49", " 171 2345678")],
+)
+def test_invisible_characters_inside(hidden, kind, left, right):
+    text = f"so {left}{hidden}{right} it is{hidden}"
+    base, added = pii.find(text)
+    assert not base[kind]
+    assert {k: [text[a:b] for a, b in v] for k, v in added.items() if v} == {kind: [f"{left}{hidden}{right}"]}
+
+
 @pytest.mark.parametrize("text", ["meet at noon dot the i", "one two three four five", "Größe ünd é", "a@b.cd and at once", "[at] last (dot)"])
 def test_nothing_is_added_to_plain_text(text):
     assert not any(pii.find(text)[1].values())
