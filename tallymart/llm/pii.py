@@ -4,7 +4,7 @@ Identifiers are found in the text as it is (the base spans) and again in a norma
 look-alike letters and digits and invisible characters, spelled digits, and disguises of @ and of dots. Each keeps,
 for every character it writes, the stretch of source it stands for, so a span found in the normalised text maps back
 to the source. Spans that owe nothing to a transducer are base spans already; the others are added unless they touch
-a base span of their kind.
+a base span of their kind. What a transducer does is decided match by match, never by what else the text holds.
 
 Scale: a map over the scan; a text is held once more in normalised form and only where a cheap test finds a trigger.
 """
@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -56,9 +57,17 @@ AT_BRACKETS = re.compile(BRACKETS % "at|@", re.I)
 DOT_BRACKETS = re.compile(BRACKETS % r"dot|punkt|point|punto|\.", re.I)
 BARE = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+( at )[A-Za-z0-9-]+((?: dot [A-Za-z0-9-]+)+)(?![A-Za-z0-9-])", re.I)
 DOT_WORD = re.compile(r" dot ", re.I)
+#: Words of an address joined by " dot ".
+CHAIN = re.compile(r"(?<![A-Za-z0-9._%+@-])[A-Za-z0-9._%+@-]++(?: dot [A-Za-z0-9._%+@-]++)++", re.I)
+DOT_WORDS = ("dot", "punkt", "point", "punto")
+DOT_DIGITS = re.compile(rf"(?<=[0-9])\s++(?:{'|'.join(DOT_WORDS)})\s++(?=[0-9])", re.I)
 NUMBER = "|".join(sorted(SPELLED, key=len, reverse=True))
 RUN = re.compile(rf"(?<!\w)(?:(?:{NUMBER}|plus|dot|punkt|point|punto|[0-9]+)(?!\w)[\s,-]*){{4,}}", re.I)
 PART = re.compile(rf"(?:{NUMBER}|plus|dot|punkt|point|punto)(?!\w)", re.I)
+#: Digits and spelled digits with whatever may stand between the digits of a number or an address.
+WIDE = re.compile(rf"(?:(?:(?<!\w)(?:{NUMBER}|plus|dot|punkt|point|punto)(?!\w)|[0-9]++)[\s,.()+-]*+){{2,}}+", re.I)
+WIDE_PART = re.compile(rf"(?<!\w)(?:{NUMBER}|plus|dot|punkt|point|punto)(?!\w)|[0-9]++", re.I)
+GAP = " ,-\t\n"
 
 Span = tuple[int, int]
 
@@ -147,48 +156,115 @@ def _characters() -> tuple[re.Pattern, dict[str, str]]:
     return re.compile("[" + re.escape("".join(sorted(table))) + "]"), table
 
 
-def normalise(text: str) -> Traced:
-    """The transducers one after another, each only where its trigger occurs."""
+def _addresses(text: str) -> list[tuple[int, int, str]]:
+    """The " dot " of every chain with an @; one that would join a second address to the first stays."""
+    edits = []
+    for chain in CHAIN.finditer(text):
+        dots = [(d.start() + chain.start(), d.end() + chain.start()) for d in DOT_WORD.finditer(chain[0])]
+        ends = [low for low, _ in dots[1:]] + [chain.end()]
+        known = "@" in text[chain.start() : dots[0][0]]
+        if not known and "@" not in chain[0]:
+            continue
+        for (low, high), end in zip(dots, ends, strict=True):
+            more = "@" in text[high:end]
+            if not (known and more):
+                edits.append((low, high, "."))
+            known |= more
+    return edits
+
+
+def _spelled(text: str) -> list[tuple[int, int, str]]:
+    """Digits of runs that spell four or more."""
+    edits = []
+    for run in RUN.finditer(text):
+        words = list(PART.finditer(text, *run.span()))
+        if sum(m[0].lower() in SPELLED for m in words) < 4:
+            continue
+        for m in words:
+            low = m[0].lower()
+            by = SPELLED.get(low) or ("+" if low == "plus" else ".")
+            high = m.end()
+            while high < run.end() and text[high] in GAP:
+                high += 1
+            edits.append((m.start(), high if high < run.end() else m.end(), by))
+    return edits
+
+
+def _partly_spelled(text: str) -> list[tuple[int, int, str]]:
+    """Digits of all runs that have the digits of a number, or those and the dots of an address, in whatever form."""
+    edits = []
+    for run in WIDE.finditer(text):
+        parts = list(WIDE_PART.finditer(text, *run.span()))
+        words = [SPELLED.get(m[0].lower()) or ("" if m[0][0].isdigit() else "+" if m[0].lower() == "plus" else ".") for m in parts]
+        if not any(words):
+            continue
+        digits = sum(len(m[0]) if not by else by.isdigit() for m, by in zip(parts, words, strict=True))
+        if digits < 9 and (digits < 4 or words.count(".") + run[0].count(".") < 3):
+            continue
+        for k, (m, by) in enumerate(zip(parts, words, strict=True)):
+            if k and (by or words[k - 1]):
+                low, high = parts[k - 1].end(), m.start()
+                while low < high and text[low] in GAP:
+                    low += 1
+                if low > parts[k - 1].end():
+                    edits.append((parts[k - 1].end(), low, ""))
+                while high > low and text[high - 1] in GAP:
+                    high -= 1
+                if high < m.start():
+                    edits.append((high, m.start(), ""))
+            if by:
+                edits.append((*m.span(), by))
+    return edits
+
+
+def normalise(text: str) -> list[Traced]:
+    """The transducers one after another, each only where its trigger occurs.
+
+    A transducer may also spoil what the ones before it laid open, by a further digit beside a number. So there are
+    up to three texts, most trusted first: with runs of spelled digits undone, with all spelled digits undone, and
+    with nothing but characters and brackets undone.
+    """
     now = Traced(text)
     if not text.isascii():
         pattern, table = _characters()
         now = now.rewrite([(*m.span(), table[m[0]]) for m in pattern.finditer(now.text)])
     now = now.rewrite([(*m.span(), "@") for m in AT_BRACKETS.finditer(now.text)])
     now = now.rewrite([(*m.span(), ".") for m in DOT_BRACKETS.finditer(now.text)])
+    first = now
     lower = now.text.lower()
-    if " at " in lower and " dot " in lower:
-        edits = []
-        for m in BARE.finditer(now.text):
-            if m[2].rpartition(" ")[2].lower() not in ENDINGS:
-                continue
-            edits.append((*m.span(1), "@"))
-            edits += [(d.start() + m.start(2), d.end() + m.start(2), ".") for d in DOT_WORD.finditer(m[2])]
-        now = now.rewrite(edits)
-    elif "@" in lower and " dot " in lower:
-        now = now.rewrite([(*m.span(), ".") for m in DOT_WORD.finditer(now.text)])
-    if not SPELLED.keys().isdisjoint(lower.replace(",", " ").replace("-", " ").replace(".", " ").split()):
-        edits = []
-        for run in RUN.finditer(now.text):
-            words = list(PART.finditer(now.text, *run.span()))
-            if sum(m[0].lower() in SPELLED for m in words) < 4:
-                continue
-            for m in words:
-                low = m[0].lower()
-                by = SPELLED.get(low) or ("+" if low == "plus" else ".")
-                high = m.end()
-                while high < run.end() and now.text[high] in " ,-\t\n":
-                    high += 1
-                edits.append((m.start(), high if high < run.end() else m.end(), by))
-        now = now.rewrite(edits)
-    return now
+    if " dot " in lower:
+        if " at " in lower:
+            edits = []
+            for m in BARE.finditer(now.text):
+                if m[2].rpartition(" ")[2].lower() not in ENDINGS:
+                    continue
+                edits.append((*m.span(1), "@"))
+                edits += [(d.start() + m.start(2), d.end() + m.start(2), ".") for d in DOT_WORD.finditer(m[2])]
+            now = now.rewrite(edits)
+        if "@" in now.text:
+            now = now.rewrite(_addresses(now.text))
+    if any(w in lower for w in DOT_WORDS):
+        now = now.rewrite([(*m.span(), ".") for m in DOT_DIGITS.finditer(now.text)])
+    found = [now]
+    for mark in ",-.()+":
+        lower = lower.replace(mark, " ")
+    words = set(lower.split())
+    if not words.isdisjoint(SPELLED):
+        narrow, wide = _spelled(now.text), _partly_spelled(now.text)
+        found = [now.rewrite(narrow)]
+        if wide:
+            found.append(now.rewrite(wide))
+    if found[0] is not first or len(found) > 1:
+        found.append(first)
+    return [t for t in found if t.new is not None]
 
 
 def find(text: str) -> tuple[dict[str, list[Span]], dict[str, list[Span]]]:
     """Base spans, and the spans that deobfuscation adds, in code points of the text."""
     base = detect(text)
     added: dict[str, list[Span]] = {k: [] for k in KINDS}
-    now = normalise(text)
-    if now.new is not None:
+    taken = {k: sorted(v) for k, v in base.items()}  # apart from one another, so neighbours tell what is touched
+    for now in normalise(text):
         for kind, spans in detect(now.text).items():
             for a, b in spans:
                 low, high = now.start[a], now.end[b - 1]
@@ -196,8 +272,11 @@ def find(text: str) -> tuple[dict[str, list[Span]], dict[str, list[Span]]]:
                     continue
                 if kind == "email" and not now.text[a:b].rpartition(".")[2].isalpha():
                     continue
-                if all(high <= x or low >= y for x, y in base[kind]):
-                    added[kind].append((low, high))
+                at = bisect_left(taken[kind], (low, high))
+                if any(low < y and x < high for x, y in taken[kind][max(0, at - 1) : at + 1]):
+                    continue
+                taken[kind].insert(at, (low, high))
+                added[kind].append((low, high))
     return base, added
 
 

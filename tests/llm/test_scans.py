@@ -71,6 +71,37 @@ def test_invisible_characters_inside(hidden, kind, left, right):
     assert {k: [text[a:b] for a, b in v] for k, v in added.items() if v} == {kind: [f"{left}{hidden}{right}"]}
 
 
+@pytest.mark.parametrize(
+    ("kind", "hidden"),
+    [
+        ("email", "john@example dot com"),
+        ("email", "joe (at) example dot com"),
+        ("email", "john dot smith@mail dot example dot com"),
+        ("email", "joe at example dot com"),
+        ("ip", "192 dot 168 dot 0 dot 1"),
+        ("ip", "192 punkt 168 punkt 0 punkt 1"),
+        ("ip", "192 dot one six eight dot 0 dot 1"),
+        ("ip", "192.168.0.one"),
+        ("phone", "+49 one seven six 1234567"),
+        ("phone", "+49 (one seven six) 1234567"),
+        ("card", "4111 1111 1111 111 one"),
+        ("card", "4111, one one one one, 1111 1111"),
+    ],
+)
+@pytest.mark.parametrize("around", ["see {} now", "we meet at noon; {} now", "a dot b, x@y.zz; {} now", "dot, one; {} now. So {} too"])
+def test_disguises_do_not_hang_on_the_rest_of_the_text(around, kind, hidden):
+    text = around.format(*[hidden] * 2)
+    _, added = pii.find(text)
+    assert {k: [text[a:b] for a, b in v] for k, v in added.items() if v} == {kind: [hidden] * around.count("{}")}
+
+
+def test_a_spelled_digit_beside_a_number_hides_nothing():
+    text = "pay ４１１１ 1111 1111 1111 one time; ask a@b dot com dot joe@c dot de"
+    _, added = pii.find(text)
+    assert [text[a:b] for a, b in added["card"]] == ["４１１１ 1111 1111 1111"]
+    assert [text[a:b] for a, b in added["email"]] == ["a@b dot com", "joe@c dot de"]
+
+
 @pytest.mark.parametrize("text", ["meet at noon dot the i", "one two three four five", "Größe ünd é", "a@b.cd and at once", "[at] last (dot)"])
 def test_nothing_is_added_to_plain_text(text):
     assert not any(pii.find(text)[1].values())
