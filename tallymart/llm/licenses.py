@@ -4,7 +4,11 @@ Texts and templates are sequences of lower-case words of letters and digits. Has
 winnowed: of every ``window`` neighbouring runs the least is kept, so a stretch of gram + window - 1 words that a
 template and a document share has a fingerprint in common. The inverted index maps a fingerprint to its templates
 and positions. Hits of a template that lie near one diagonal are a candidate stretch; local alignment within a band
-around the diagonal gives the matched words of the template, its coverage, and the span in the source text.
+around the diagonal gives the matched words of the template, its coverage, and the span in the source text. A match
+is masked and the rest of the stretch aligned again until no hit is left.
+
+A template's runs are as short as it takes that one survives wherever words are changed or left out and the coverage
+is still reached. Words put in between cost no coverage; such a match is met if enough runs survive them.
 
 Scale: a map over the scan; the index grows with the templates only and its size is checked before it is sent out.
 Words that no template has share one number, which changes no fingerprint inside a shared stretch.
@@ -13,9 +17,10 @@ Words that no template has share one number, which changes no fingerprint inside
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from hashlib import blake2b
 
 import numpy as np
@@ -64,9 +69,9 @@ class Scan:
     """``most_words`` bounds all templates together, since their index is sent to every worker."""
 
     gram: int = 3
-    window: int = 2
+    window: int = 1
     coverage: float = 0.8
-    hits: float = 0.3
+    hits: float = 0.2
     band: int = 8
     most_words: int = 2_000_000
 
@@ -102,34 +107,39 @@ class Index:
             raise ValueError(f"templates have over {scan.most_words} words; split them into several scans")
         self.vocabulary = {w: number(w) for words in found for w in words}
         self.templates = [[self.vocabulary[w] for w in words] for words in found]
-        self.places: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        self.prints = [0] * len(found)
+        self.parts: dict[int, dict[int, list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
+        self.need = [0] * len(found)
         for t, numbers in enumerate(self.templates):
-            h, place = fingerprints(np.array(numbers, np.uint64), scan)
-            self.prints[t] = len(h)
+            if not numbers:
+                continue
+            lost = len(numbers) - int(np.ceil(scan.coverage * len(numbers) - 1e-9))
+            gram = min(scan.gram, -(-(len(numbers) - lost) // (lost + 1))) or 1
+            h, place = fingerprints(np.array(numbers, np.uint64), replace(scan, gram=gram))
+            sure = len(numbers) - gram + 1 - gram * lost
+            self.need[t] = max(1, min(sure, int(np.ceil(scan.hits * len(h)))))
             for x, p in zip(h.tolist(), place.tolist(), strict=True):
-                self.places[x].append((t, p))
-        self.hashes = np.array(sorted(self.places), np.uint64)
-
-    def candidates(self, numbers: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """(template, least and greatest diagonal) of stretches with enough hits."""
-        h, place = fingerprints(numbers, self.scan)
-        if not len(self.hashes) or not len(h):
-            return
-        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-        hit = self.hashes[at] == h
-        by: dict[int, list[int]] = defaultdict(list)
-        for x, p in zip(h[hit].tolist(), place[hit].tolist(), strict=True):
-            for t, q in self.places[x]:
-                by[t].append(p - q)
-        for t, diagonals in by.items():
-            diagonals.sort()
-            need = max(1, int(np.ceil(self.scan.hits * self.prints[t])))
+                self.parts[gram][x].append((t, p))
+        self.hashes = {gram: np.array(sorted(places), np.uint64) for gram, places in self.parts.items()}
+
+    def candidates(self, numbers: np.ndarray) -> Iterator[tuple[int, list[tuple[int, int]]]]:
+        """(template, hits) of stretches with enough hits, each the diagonal and the place in the text."""
+        by: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        for gram, hashes in self.hashes.items():
+            h, place = fingerprints(numbers, replace(self.scan, gram=gram))
+            if not len(h):
+                continue
+            at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+            hit = hashes[at] == h
+            for x, p in zip(h[hit].tolist(), place[hit].tolist(), strict=True):
+                for t, q in self.parts[gram][x]:
+                    by[t].append((p - q, p))
+        for t, hits in by.items():
+            hits.sort()
             low = 0
-            for k in range(1, len(diagonals) + 1):
-                if k == len(diagonals) or diagonals[k] - diagonals[k - 1] > self.scan.band:
-                    if k - low >= need:
-                        yield t, diagonals[low], diagonals[k - 1]
+            for k in range(1, len(hits) + 1):
+                if k == len(hits) or hits[k][0] - hits[k - 1][0] > self.scan.band:
+                    if k - low >= self.need[t]:
+                        yield t, hits[low:k]
                     low = k
 
 
@@ -174,24 +184,46 @@ def scan_text(text: str, index: Index) -> list[tuple[str, int, int, int, float]]
     known = index.vocabulary.get
     words = [w.lower() for w in WORD.findall(text)]
     numbers = np.array([known(w, 0) for w in words], np.uint64)
-    if np.count_nonzero(numbers) < 2:
+    if not np.count_nonzero(numbers):
         return []
     found, spans = set(), None
-    for t, low, high in index.candidates(numbers):
-        template = index.templates[t]
-        band = max(scan.band, len(template) // 8) + (high - low + 1) // 2
-        middle = (low + high) // 2
-        start = max(0, middle - band)
-        stop = min(len(words), middle + len(template) + band + 1)
-        matched, a, z = align(template, numbers[start:stop].tolist(), middle - start, band)
-        if matched < scan.coverage * len(template) - 1e-9:
-            continue
-        if spans is None:
-            spans = [m.span() for m in WORD.finditer(text)]
-        found.add((index.names[t], spans[start + a][0], spans[start + z][1], matched, matched / len(template)))
+    open_words: dict[int, np.ndarray] = {}
+    for t, hits in index.candidates(numbers):
+        size = len(index.templates[t])
+        text_now = open_words.setdefault(t, numbers.copy())
+        for a, z, matched in matches(index.templates[t], text_now, hits, index.need[t], scan):
+            if spans is None:
+                spans = [m.span() for m in WORD.finditer(text)]
+            found.add((index.names[t], spans[a][0], spans[z][1], matched, matched / size))
     return sorted(found)
 
 
+def matches(template: list[int], numbers: np.ndarray, hits: list[tuple[int, int]], need: int, scan: Scan) -> Iterator[tuple[int, int, int]]:
+    """(first word, last word, matched words) of the matches of a stretch; their words are set to 0 in ``numbers``.
+
+    The whole stretch is aligned first, then what is left of it in pieces of 2 * band diagonals.
+    """
+    band = max(scan.band, len(template) // 8)
+    whole = True
+    while len(hits) >= need:
+        low = hits[0][0]
+        last = len(hits) if whole else bisect_right(hits, (low + 2 * band, len(numbers)))
+        high = hits[last - 1][0]
+        wide, middle = band + (high - low + 1) // 2, (low + high) // 2
+        start = max(0, middle - wide)
+        stop = min(len(numbers), middle + len(template) + wide + 1)
+        matched, a, z = align(template, numbers[start:stop].tolist(), middle - start, wide)
+        full = matched >= scan.coverage * len(template) - 1e-9
+        if full:
+            yield start + a, start + z, matched
+            numbers[start + a : start + z + 1] = 0
+        if full or not whole or last == len(hits) and high - low <= 2 * band:
+            # Hits inside a match are used up; a piece without one has nothing at its first hits' place.
+            kept = [x for x in hits[:last] if not start + a <= x[1] <= start + z] if matched else []
+            hits = (kept if full or len(kept) < last else kept[1:]) + hits[last:]
+        whole = False
+
+
 def scanner(templates: dict[str, str], scan: Scan):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = Index(templates, scan)

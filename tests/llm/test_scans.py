@@ -147,6 +147,29 @@ def test_edited_licenses_report_their_coverage():
     assert not [m for m in licenses.scan_text(half, index) if m[0] == "MIT permission"]
 
 
+@pytest.mark.parametrize("name", ["MIT notice", "CC-BY-NC-4.0 notice", "Apache-2.0 notice"])
+@pytest.mark.parametrize("between", [0, 1, 3, 20])
+@pytest.mark.parametrize("times", [2, 5, 300])
+def test_notices_close_together_are_rows_of_their_own(name, between, times):
+    notice, filler = TEMPLATES[name], " ".join(["word"] * between)
+    text = f" {filler} ".join([notice] * times)
+    found = [m for m in licenses.scan_text(text, Index(TEMPLATES, Scan())) if m[0] == name]
+    size = len(notice.rstrip("."))
+    assert [(a, b) for _, a, b, _, _ in found] == [(k * (len(notice) + len(filler) + 2), k * (len(notice) + len(filler) + 2) + size) for k in range(times)]
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 4, 5, 6, 7, 8, 10, 15, 20, 25])
+def test_changed_words_within_the_coverage_lose_no_match(size):
+    words = [f"t{k}" for k in range(size)]
+    index = Index({"it": " ".join(words)}, Scan())
+    spread = size // 5
+    for first in range(size):
+        changed = {(first + k * 5) % size for k in range(spread)}
+        text = " ".join(["so", *["other" if k in changed else w for k, w in enumerate(words)], "on"])
+        (match,) = licenses.scan_text(text, index)
+        assert match[3] == size - len(changed)
+
+
 def test_every_shared_stretch_has_a_fingerprint():
     import numpy as np
 
