@@ -33,8 +33,8 @@ SYMBOLS = r"[#*$%&|<>]"
 class Rules:
     """``noise`` is the standard deviation below which no statistic is resolved; it is added to every scatter.
 
-    Groups of fewer than ``least`` rows share the estimate of their language's small groups; if those are fewer
-    too, nothing of them is rejected.
+    Groups of fewer than ``least`` rows are judged by an estimate over all rows of their language, and languages of
+    fewer by one over all rows; only where the whole table has fewer is nothing rejected.
     """
 
     min_words: int = 50
@@ -244,13 +244,19 @@ def quality_report(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:  # noq
     rows = stable(rows.withColumns(dict(zip(X, entries, strict=True))))
     judged = rows.where("not base_failed")
     sizes = judged.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("rows"))
-    large = F.col("rows") >= rules.least
-    name = F.when(large, F.to_json(F.struct("lang", "source", F.lit(1).alias("own")))).otherwise(F.to_json(F.struct("lang")))
-    groups = sizes.withColumn("g", name)
-    enough = F.sum("rows").over(Window.partitionBy("g")) >= rules.least
-    groups = stable(groups.select(F.col("lang").alias("l"), F.col("source").alias("s"), F.when(enough, F.col("g")).alias("g")).coalesce(1))
+    sizes = stable(sizes.withColumn("of_lang", F.sum("rows").over(Window.partitionBy("lang"))))
+    total = sizes.agg(F.sum("rows").alias("n"), F.min("of_lang").alias("least")).first()
+    rare = total["n"] is not None and total["least"] < rules.least <= total["n"]
+    own = F.when(F.col("rows") >= rules.least, F.to_json(F.struct("lang", "source", F.lit(1).alias("own"))))
+    lang = F.when(F.col("of_lang") >= rules.least, F.to_json(F.struct("lang")))
+    everything = F.lit("all" if rare else None).cast("string")
+    # A row counts in its own group and in the wider ones that some small group is judged by.
+    wanted = F.min("rows").over(Window.partitionBy("lang")) < rules.least
+    feeds = F.array_compact(F.array(own, F.when(wanted, lang), everything))
+    groups = sizes.select(F.col("lang").alias("l"), F.col("source").alias("s"), F.coalesce(own, lang, everything).alias("g"), feeds.alias("feeds"))
+    groups = stable(groups.coalesce(1))
     grouped = rows.join(groups, same(F.col("lang"), F.col("l")) & same(F.col("source"), F.col("s")), "left").drop("l", "s")
-    found = estimates(grouped.where("not base_failed and g is not null").select("g", *X), rules)
+    found = estimates(grouped.where("not base_failed").select(F.explode("feeds").alias("g"), *X), rules)
     cutoff = chi2_quantile(1 - rules.alpha, DIMS)
     distance = F.when(~F.col("base_failed"), squared_distance())
     return (

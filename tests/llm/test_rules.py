@@ -112,3 +112,14 @@ def test_chi2():
 def test_small_groups_reject_nothing(spark):
     frame = docs_frame(spark, [(i, "word " + "a b " * (30 + i) if i else "# " * 10 + " ".join(map(str, range(90))), f"l{i}", "a") for i in range(5)])
     assert {x["doc_id"] for x in rules.quality_report(frame, Rules(most_repeated=100)).collect() if x["kept"]} == set(range(5))
+
+
+def test_small_groups_are_judged_by_wider_ones(spark):
+    r = random.Random(3)
+    clean = lambda: " ".join("".join(r.choice("abcdefghij") for _ in range(r.randint(2, 8))) for _ in range(r.randint(60, 500)))
+    rows = [(i, clean(), "en", "large") for i in range(200)]
+    rows += [(200, clean(), "en", "small"), (201, clean().replace(" ", " #$|& "), "en", "small")]
+    rows += [(202, clean(), "xx", "small"), (203, clean().replace(" ", " #$|& "), "xx", None), (204, clean().replace(" ", " #$|& "), None, None)]
+    found = {x["doc_id"]: x for x in rules.quality_report(docs_frame(spark, rows)).collect()}
+    assert {i for i, x in found.items() if not x["kept"]} == {201, 203, 204}
+    assert all(x["distance"] is not None for x in found.values())
