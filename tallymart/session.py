@@ -31,6 +31,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, **extra: st
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "12g")
         .config("spark.checkpoint.dir", stages)
+        .config("spark.sql.warehouse.dir", f"{stages}/warehouse")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     for key, value in extra.items():

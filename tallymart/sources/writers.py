@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallymart.session import on_release
 
 # How CSV files spell what plain text cannot; readers use the same.
 CSV_OPTIONS = {
@@ -58,13 +59,24 @@ def write_document(df: DataFrame, path: str) -> None:
 
 
 def save_table(df: DataFrame, database: str, table: str, path: str) -> None:
-    """An external table of the session catalog; the database is created beside it when missing."""
+    """An external table of the session catalog.
+
+    A missing database is created in the warehouse, never inside a folder that ends with its tables. Inside a
+    ``scratch`` block that creates it, it goes at the end of the block, unless it holds other tables by then.
+    """
     spark = df.sparkSession
-    home = path.rsplit("/", 1)[0]
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{home}/{database}.db'")
+    if not spark.catalog.databaseExists(database):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+        on_release(lambda: drop_empty(spark, database))
     df.write.mode("overwrite").option("path", path).saveAsTable(f"`{database}`.`{table}`")
 
 
+def drop_empty(spark: SparkSession, database: str) -> None:
+    """Drop a database unless it holds tables."""
+    if spark.catalog.databaseExists(database) and not [t for t in spark.catalog.listTables(database) if not t.isTemporary]:
+        spark.sql(f"DROP DATABASE `{database}` RESTRICT")
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     """The whole fitted pipeline, feature stages included, so that scoring can be replayed."""
     model.write().overwrite().save(path)

@@ -5,11 +5,11 @@ import pytest
 
 sys.path[:0] = [str(Path(__file__).parent), str(Path(__file__).parent.parent)]
 
+from oracle import SMALL  # noqa: E402
+
 from tallymart.session import local_session  # noqa: E402
 from tallymart.sources.feeds import Tables  # noqa: E402
 
-SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():

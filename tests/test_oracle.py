@@ -2,7 +2,7 @@
 
 import oracle
 import pytest
-from conftest import SMALL
+from oracle import SMALL
 
 from tallymart.plans import ORACLES, QUERIES
 from tallymart.session import scratch

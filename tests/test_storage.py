@@ -144,5 +144,19 @@ def test_scratch_leaves_nothing_behind(spark, tables):
         assert QUERIES["quality_report"](spark, tables.folder).count() == 14
         assert set(folder.glob("*")) - before
     assert set(folder.glob("*")) == before
-    assert {r[0] for r in spark.sql("SHOW DATABASES").collect()} <= {*listed, "tallymart"}
-    assert not spark.sql("SHOW TABLES IN tallymart").collect()
+    assert [r[0] for r in spark.sql("SHOW DATABASES").collect()] == listed
+
+
+def test_database_outlives_the_folder_of_its_first_table(spark, tables):
+    from tallymart.session import scratch
+
+    database = "tallymart_lasting"
+    with scratch():
+        with scratch():
+            writers.save_table(feeds.sales(tables), database, "first_rows", scratch_path(spark, "first"))
+            spark.sql(f"DROP TABLE {database}.first_rows")
+        assert not spark.catalog.databaseExists(database)
+        writers.save_table(feeds.sales(tables), database, "second_rows", scratch_path(spark, "second"))
+        assert spark.table(f"{database}.second_rows").count() > 0
+        spark.sql(f"DROP TABLE {database}.second_rows")
+    assert not spark.catalog.databaseExists(database)
