@@ -1,4 +1,4 @@
-from conftest import docs_frame, text_of
+from corpus_cases import docs_frame, text_of
 
 from tallymart.llm import decontamination
 from tallymart.llm.decontamination import Leaks

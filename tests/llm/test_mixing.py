@@ -1,5 +1,5 @@
 import pytest
-from conftest import docs_frame
+from corpus_cases import docs_frame
 
 from tallymart.llm import mixing
 from tallymart.llm.mixing import Mix

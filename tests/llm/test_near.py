@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import docs_frame, text_of
+from corpus_cases import docs_frame, text_of
 
 from tallymart.llm import near
 from tallymart.llm.near import Near

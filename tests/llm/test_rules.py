@@ -5,7 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from conftest import EDGES, docs_frame
+from corpus_cases import EDGES, docs_frame
 
 from tallymart.llm import rules
 from tallymart.llm.rules import UNIT, Rules

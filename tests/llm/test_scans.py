@@ -4,7 +4,7 @@ import hashlib
 import re
 
 import pytest
-from conftest import docs_frame, text_of
+from corpus_cases import docs_frame, text_of
 from hypothesis import given, settings
 from hypothesis import strategies as st
 

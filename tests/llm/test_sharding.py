@@ -1,7 +1,7 @@
 import hashlib
 from collections import Counter
 
-from conftest import docs_frame, text_of
+from corpus_cases import docs_frame, text_of
 
 from tallymart.llm import sharding
 

@@ -3,7 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
-from conftest import docs_frame
+from corpus_cases import docs_frame
 
 from tallymart.llm import toxicity
 from tallymart.llm.toxicity import Toxicity
