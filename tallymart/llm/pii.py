@@ -52,7 +52,7 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 
-BRACKETS = r"\s*[\(\[\{<]\s*(%s)\s*[\)\]\}>]\s*"
+BRACKETS = r"[\(\[\{<]\s*+(?:%s)\s*+[\)\]\}>]"
 AT_BRACKETS = re.compile(BRACKETS % "at|@", re.I)
 DOT_BRACKETS = re.compile(BRACKETS % r"dot|punkt|point|punto|\.", re.I)
 BARE = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+( at )[A-Za-z0-9-]+((?: dot [A-Za-z0-9-]+)+)(?![A-Za-z0-9-])", re.I)
@@ -156,6 +156,20 @@ def _characters() -> tuple[re.Pattern, dict[str, str]]:
     return re.compile("[" + re.escape("".join(sorted(table))) + "]"), table
 
 
+def _bracketed(text: str, pattern: re.Pattern, by: str) -> list[tuple[int, int, str]]:
+    """Every match and the white space around it. The bracket is looked for first, so blanks are walked over once."""
+    edits, last = [], 0
+    for m in pattern.finditer(text):
+        low, high = m.span()
+        while low > last and text[low - 1].isspace():
+            low -= 1
+        while high < len(text) and text[high].isspace():
+            high += 1
+        edits.append((low, high, by))
+        last = high
+    return edits
+
+
 def _addresses(text: str) -> list[tuple[int, int, str]]:
     """The " dot " of every chain with an @; one that would join a second address to the first stays."""
     edits = []
@@ -228,8 +242,8 @@ def normalise(text: str) -> list[Traced]:
     if not text.isascii():
         pattern, table = _characters()
         now = now.rewrite([(*m.span(), table[m[0]]) for m in pattern.finditer(now.text)])
-    now = now.rewrite([(*m.span(), "@") for m in AT_BRACKETS.finditer(now.text)])
-    now = now.rewrite([(*m.span(), ".") for m in DOT_BRACKETS.finditer(now.text)])
+    now = now.rewrite(_bracketed(now.text, AT_BRACKETS, "@"))
+    now = now.rewrite(_bracketed(now.text, DOT_BRACKETS, "."))
     first = now
     lower = now.text.lower()
     if " dot " in lower:
@@ -302,7 +316,8 @@ def pii_report(docs: DataFrame) -> DataFrame:
     """doc_id, base counts per kind, base_sha256, spans (base and added), n_added for every row (doc_id, text).
 
     NULL and empty texts have no spans. Positions are code points, ends exclusive. NULL or repeated ids stay as
-    they are; other columns are ignored.
+    they are; other columns are ignored. An empty table gives no rows. A very long text is scanned whole, in time
+    that grows with its length, runs of white space and of digits included.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     counts = ", ".join(f"n_{k} bigint" for k in KINDS)

@@ -184,3 +184,19 @@ def test_every_shared_stretch_has_a_fingerprint():
 def test_too_many_templates_are_refused():
     with pytest.raises(ValueError, match="templates"):
         Index({"a": "b " * 20}, Scan(most_words=10))
+
+
+@pytest.mark.parametrize("unit", [" ", "\n", "1", "( ", "one ", "1 ", "a at b dot ", "+1 ", "\u200b", ". ", "a@", "(at) ", "[dot]"])
+def test_long_runs_take_time_in_proportion(unit):
+    import time
+
+    text = unit * (1_000_000 // len(unit))
+    began = time.process_time()
+    pii.find(text)
+    assert time.process_time() - began < 8
+
+
+def test_white_space_around_brackets_belongs_to_them():
+    text = "x joe  (at)\n example [dot] [dot] com"
+    assert pii._bracketed(text, pii.AT_BRACKETS, "@") == [(5, 13, "@")]
+    assert [text[a:b] for a, b, _ in pii._bracketed(text, pii.DOT_BRACKETS, ".")] == [" [dot] ", "[dot] "]
