@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallymart.llm import decontamination, grammar, licenses, mixing, near, pii, rules, sharding, token_counts, toxicity
+from tallymart.llm import decontamination, grammar, licenses, manifest, mixing, near, periodic, pii, prefix_bpe, rules, sharding, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -185,3 +186,83 @@ def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
 def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     """Personal data in every document."""
     return pii.pii_report(read(spark, folder, "documents"))
+
+
+@query()
+def op11_prefix_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of every document's ids and of the text decoded from them."""
+    path = tokenizer_file("byte_bpe_50k.json")
+    rows = prefix_bpe.decode_ids(prefix_bpe.encode_texts(read(spark, folder, "documents"), path), path)
+    return rows.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
+@query()
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of every document, some of which are planted, and the text without their repetitions."""
+    return periodic.run_report(periodic.planted(read(spark, folder, "documents")))
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen(({value})::VARCHAR)::VARCHAR || ':' || ({value})::VARCHAR, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+@query(
+    f"""
+    WITH RECURSIVE byte_table AS (
+        SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
+            lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+    ), summed AS (
+        SELECT doc_id, lang, {_leaf("n_chars")} AS leaf, {_leaf("n_chars + 1")} AS changed,
+            xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(doc_id::VARCHAR) + 1),
+                lambda i: ascii(substr(doc_id::VARCHAR, i::INT, 1))::BIGINT)), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS crc
+        FROM documents, byte_table
+    ), leaves AS (
+        SELECT doc_id, lang, leaf, CASE WHEN crc % 7 = 0 THEN changed ELSE leaf END AS now,
+            row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS size FROM summed
+    ), nodes AS (
+        SELECT lang, 0 AS level, pos, leaf AS digest, size FROM leaves
+        UNION ALL
+        SELECT lang, level + 1, pos // 2, sha256(string_agg(digest, '' ORDER BY pos)), (size + 1) // 2 FROM nodes
+        WHERE size > 1 GROUP BY lang, level, pos // 2, size
+    ), tops AS (
+        SELECT lang, digest AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS size
+        FROM nodes WHERE size = 1
+    ), upper_ AS (
+        SELECT 0 AS level, pos, subroot AS digest, size FROM tops
+        UNION ALL
+        SELECT level + 1, pos // 2, sha256(string_agg(digest, '' ORDER BY pos)), (size + 1) // 2 FROM upper_
+        WHERE size > 1 GROUP BY level, pos // 2, size
+    ), steps AS (
+        SELECT l.doc_id, v.level, (l.pos >> v.level) & 1 AS odd, n.digest FROM leaves l
+        JOIN (SELECT DISTINCT lang, level FROM nodes WHERE size > 1) v ON l.lang IS NOT DISTINCT FROM v.lang
+        LEFT JOIN nodes n ON n.lang IS NOT DISTINCT FROM l.lang AND n.level = v.level AND n.pos = xor(l.pos >> v.level, 1)
+        UNION ALL
+        SELECT l.doc_id, 1000 + v.level, (t.pos >> v.level) & 1, n.digest FROM leaves l
+        JOIN tops t ON l.lang IS NOT DISTINCT FROM t.lang
+        JOIN (SELECT DISTINCT level FROM upper_ WHERE size > 1) v ON true
+        LEFT JOIN upper_ n ON n.level = v.level AND n.pos = xor(t.pos >> v.level, 1)
+    ), paths AS (
+        SELECT doc_id, sha256(coalesce(string_agg(digest, '' ORDER BY level), '')) AS proof_sha256,
+            list(CASE WHEN digest IS NULL THEN 'N' WHEN odd = 1 THEN 'L' || digest ELSE 'R' || digest END ORDER BY level) AS path
+        FROM steps GROUP BY doc_id
+    ), folded AS (
+        SELECT l.doc_id, l.leaf, t.subroot, (SELECT digest FROM upper_ WHERE size = 1) AS root,
+            coalesce(proof_sha256, sha256('')) AS proof_sha256,
+            list_reduce(list_prepend(l.now, coalesce(path, [])), lambda a, s: sha256(CASE s[1] WHEN 'L' THEN s[2:] || a WHEN 'R' THEN a || s[2:] ELSE a END)) AS folded_root
+        FROM leaves l JOIN tops t ON l.lang IS NOT DISTINCT FROM t.lang LEFT JOIN paths p ON l.doc_id = p.doc_id
+    )
+    SELECT *, folded_root = root AS verified FROM folded
+    """
+)
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's leaf, roots and proof, and whether the row, tampered with or not, verifies."""
+    return manifest.tampered_report(read(spark, folder, "documents"))

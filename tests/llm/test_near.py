@@ -61,6 +61,57 @@ def test_matches_brute_force(spark, rows, how):
     assert found == want
 
 
+def test_large_group_leaves_as_a_forest(spark):
+    """3,000 copies of one text with their own edits: five-word shingles, many pairs below and above the threshold."""
+    r, base = random.Random(5), text_of(90, 60, 10**6).split()
+    texts = []
+    for _ in range(3000):
+        w = list(base)
+        for _ in range(r.choice([0, 1, 1, 2])):
+            w[r.randrange(len(w))] = f"new{r.random()}"
+        texts.append(" ".join(w))
+    rows = [(i, t, "en", "a") for i, t in enumerate(texts)]
+    how = Near(shingle=5, block=256)
+    docs = docs_frame(spark, rows)
+    signed = docs.selectExpr("doc_id", "xxhash64(text) text_key", "text").mapInArrow(
+        near.signer(how), "doc_id bigint, text_key bigint, n_shingles bigint, node binary, signature binary"
+    )
+    classes = near.classes_of(near.stable(signed))
+    held = near.buckets(classes, how)
+    alone = classes.selectExpr("node", "node AS root").limit(0)
+    links = near.split_links(held, alone, classes, docs, how)
+    assert links.count() <= held.where("members > 16").count()
+    want = brute_groups(texts, 5)
+    found = {x["doc_id"]: x["component_id"] for x in near.near_report(docs, how).collect()}
+    assert found == want
+
+
+def brute_groups(texts, k):
+    """Least index reachable, by full comparison over an incidence matrix."""
+    sets = [frozenset(zip(*[t.split()[j:] for j in range(k)], strict=False)) for t in texts]
+    columns = {s: c for c, s in enumerate({x for s in sets for x in s})}
+    grid = np.zeros((len(sets), len(columns)), np.float32)
+    for n, s in enumerate(sets):
+        grid[n, [columns[x] for x in s]] = 1
+    shared = grid @ grid.T
+    size = np.array([len(s) for s in sets])
+    linked = 100 * shared >= 80 * (size[:, None] + size[None, :] - shared)
+    label = np.arange(len(sets))
+    while True:
+        low = np.array([label[row].min() for row in linked])
+        if (low == label).all():
+            return dict(enumerate(label.tolist()))
+        label = low
+
+
+def test_repeated_rows_leave_one_whatever_the_layout(spark):
+    text = text_of(3, 80)
+    rows = [(1, text, "en", s) for s in "cab"] + [(2, text_of(4, 80), "en", "z"), (None, None, "en", "q"), (None, None, "de", "q")]
+    frame = docs_frame(spark, rows)
+    found = {tuple(sorted(map(str, near.deduplicated(frame.repartition(n, "source")).collect()))) for n in (1, 5)}
+    assert len(found) == 1 and len(next(iter(found))) == 3
+
+
 def test_filter_keeps_one_of_each(spark, rows):
     kept = {r["doc_id"] for r in near.deduplicated(docs_frame(spark, rows), Near(shingle=5)).collect()}
     assert kept == {root for _, root in brute(rows, 5).values()}
