@@ -8,11 +8,13 @@ on their full sets; only those links count. Components of links give the groups.
 
 Buckets up to ``small`` classes are compared pair by pair. A larger one is compared with its hub first, the member
 with the most company over all bands, which joins most of a group of copies with one comparison each. Where members
-still lie in different components, the bucket goes through blocks of ``block`` members: ``long_hashes`` more hash values, a byte each, are
-made for them, and compared across components inside the task in the same sequential way; only survivors leave it.
-So no link is lost and no large group is written out in pairs; what stays quadratic is the comparison of signatures
-between members that are not linked. Two values of one byte agree a little more often than the sets are similar,
-which makes pruning more careful, not less.
+still lie in different components, the bucket goes through blocks of at most ``block`` members and ``block_bytes`` of sets: ``long_hashes``
+more hash values, a byte each, are made for them and compared across components inside the task in the same
+sequential way; survivors are compared there on their full sets, and members found linked are one component from
+then on. What leaves the task is a spanning forest: at most one link per member, however many pairs are similar.
+So no component is lost and no large group is written out in pairs; what stays quadratic is the comparison of
+signatures between members that are not linked. Two values of one byte agree a little more often than the sets are
+similar, which makes pruning more careful, not less.
 
 Scale: texts are read once for signatures and once more for classes that survive pruning. Stored stages are narrow.
 Band buckets are counted with map-side sums before rows are joined to the counts, so adaptive joins can split a hot
@@ -30,7 +32,7 @@ from math import exp, lgamma, log
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.llm.native import same
@@ -54,6 +56,7 @@ class Near:
     miss: float = 1e-6
     small: int = 16
     block: int = 2048
+    block_bytes: int = 1 << 25
     long_hashes: int = 640
 
     @property
@@ -164,7 +167,7 @@ def band_codes(sign: np.ndarray, near: Near) -> np.ndarray:
 
 
 def long_signer(near: Near):
-    """A map of (doc_id, text) to (node, codes of its bands, the long signature)."""
+    """A map of (doc_id, text) to (node, codes of its bands, the long signature, the set's hashes)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Words()
@@ -173,7 +176,8 @@ def long_signer(near: Near):
                 sets = [s for t in batch.slice(at, SLICE).column(1).to_pylist() if len(s := shingle_set(t, near.shingle, memo))]
                 codes = [band_codes(signature(s, near.hashes), near).tobytes() for s in sets]
                 signs = [(signature(s, near.long_hashes) & np.uint32(255)).astype(np.uint8).tobytes() for s in sets]
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in ([node_of(s) for s in sets], codes, signs)], ["node", "codes", "signature"])
+                columns = ([node_of(s) for s in sets], codes, signs, [s.tobytes() for s in sets])
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in columns], ["node", "codes", "signature", "hashes"])
 
     return run
 
@@ -191,31 +195,60 @@ def pruner(near: Near):
     return run
 
 
+class Overlaps:
+    """Intersection sizes between sets held together: every distinct hash is a column."""
+
+    def __init__(self, sets: list[np.ndarray]) -> None:
+        self.end = np.cumsum([len(s) for s in sets])
+        self.start = self.end - [len(s) for s in sets]
+        found, columns = np.unique(np.concatenate(sets), return_inverse=True)
+        self.columns = columns.astype(np.int32)
+        self.mark = np.zeros(len(found), bool)
+
+    def of(self, x: int, others: np.ndarray) -> np.ndarray:
+        own = self.columns[self.start[x] : self.end[x]]
+        self.mark[own] = True
+        if len(others) < 64:
+            shared = np.array([np.count_nonzero(self.mark[self.columns[self.start[y] : self.end[y]]]) for y in others], np.int64)
+        else:
+            upto = np.concatenate(([0], np.cumsum(self.mark[self.columns])))
+            shared = upto[self.end[others]] - upto[self.start[others]]
+        self.mark[own] = False
+        return shared
+
+
 def across(near: Near) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """Plausible pairs of different components inside a block pair of a bucket, each in its first common band only."""
+    """A spanning forest of the links between components inside a block pair of a bucket.
+
+    A pair is looked at in its first common band only, and only while its members lie in different components.
+    """
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         steps = least_matches(near, near.long_hashes, 64)
         sign, codes = _matrix(rows["signature"], np.uint8), _matrix(rows["codes"], np.uint64)
         band, i, j = int(rows["band"].iloc[0]), int(rows["i"].iloc[0]), int(rows["j"].iloc[0])
         size, own, nodes = rows["n_shingles"].to_numpy(), rows["own"].to_numpy(), rows["node"].to_numpy()
-        roots = pd.factorize(rows["root"])[0]
-        main = np.bincount(roots).argmax()
-        outside = np.flatnonzero(roots != main)
+        overlaps = Overlaps([np.frombuffer(h, np.uint64) for h in rows["hashes"]])
+        label = pd.factorize(rows["root"])[0]
+        outside = np.flatnonzero(label != np.bincount(label).argmax())
         rank = np.full(len(rows), -1)
         rank[outside] = np.arange(len(outside))
-        left, right = [], []
+        links = []
         for x in outside:
             # Rows of the main component, and of the others those that come later; across the two blocks if they differ.
-            y = np.flatnonzero((roots != roots[x]) & ((rank < 0) | (rank > rank[x])) & ((own != own[x]) | (i == j)))
+            y = np.flatnonzero((label != label[x]) & ((rank < 0) | (rank > rank[x])) & ((own != own[x]) | (i == j)))
             y = y[100 * np.minimum(size[y], size[x]) >= near.percent * np.maximum(size[y], size[x])]
             if len(y):
                 y = y[plausible(np.broadcast_to(sign[x], (len(y), sign.shape[1])), sign[y], steps)]
             if len(y):
                 y = y[(codes[y] == codes[x]).argmax(axis=1) == band]
-            left += [nodes[x]] * len(y)
-            right += list(nodes[y])
-        return pd.DataFrame({"a": np.array([min(p) for p in zip(left, right, strict=True)], object), "b": np.array([max(p) for p in zip(left, right, strict=True)], object)})
+            if len(y):
+                shared = overlaps.of(x, y)
+                y = y[100 * shared >= near.percent * (size[x] + size[y] - shared)]
+            for first in np.unique(label[y], return_index=True)[1]:
+                links.append(sorted((nodes[x], nodes[y[first]])))
+                label[label == label[y[first]]] = label[x]
+        return pd.DataFrame(links, columns=["a", "b"], dtype=object)
 
     return run
 
@@ -263,7 +296,11 @@ def prune(pairs: DataFrame, classes: DataFrame, near: Near) -> DataFrame:
 
 
 def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, near: Near) -> DataFrame:
-    """The pairs whose full sets are similar enough, stored. Only the classes in pairs are read again."""
+    """The pairs whose full sets are similar enough, stored. Only the classes in pairs are read again.
+
+    The sets of a pair differ by a fifth at most in size, so a hub's set beside each of its spokes adds no more than
+    the spokes' own.
+    """
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     sets = texts_of(wanted, classes, docs).mapInArrow(set_map(near), "node binary, hashes binary")
     sets = stable(sets.join(wanted, "node", "left_semi"))
@@ -272,15 +309,18 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, near: Near) ->
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, root) of every linked node: least node of its component, by large-star and small-star rounds."""
+    """(node, root) of every linked node: least node of its component, by large-star and small-star rounds.
+
+    Minima are sums of the map tasks joined back, so the star of a hub that holds a third of all rows is split.
+    """
     edges = stable(links.select("a", "b").distinct())
     was = None
     while True:
         both = edges.union(edges.select("b", "a")).toDF("u", "v")
-        least = F.least("u", F.min("v").over(Window.partitionBy("u")))
-        large = both.withColumn("m", least).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
-        down = F.min("v").over(Window.partitionBy("u"))
-        rows = large.withColumn("m", down)
+        least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+        large = stable(large)
+        rows = large.join(large.groupBy("u").agg(F.min("v").alias("m")), "u")
         small = rows.select("u", "m").union(rows.where("v != m").select("v", "m")).toDF("a", "b").distinct()
         edges = stable(small)
         now = edges.agg(F.count(F.lit(1)), F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0))).first()
@@ -321,21 +361,22 @@ def texts_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
     return docs.select("doc_id", "text").join(ids, same(F.col("doc_id"), F.col("id")), "left_semi")
 
 
-def split_pairs(held: DataFrame, groups: DataFrame, classes: DataFrame, docs: DataFrame, near: Near) -> DataFrame:
-    """Plausible pairs across components of large buckets, block by block, stored."""
+def split_links(held: DataFrame, groups: DataFrame, classes: DataFrame, docs: DataFrame, near: Near) -> DataFrame:
+    """Links across components of large buckets, a spanning forest of each block, stored."""
     many = held.where(F.col("members") > near.small).join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
     many = stable(many)
     split = many.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("key")
     rows = stable(many.join(split, "key"))
     nodes = stable(rows.select("node").distinct())
-    signed = texts_of(nodes, classes, docs).mapInArrow(long_signer(near), "node binary, codes binary, signature binary")
+    signed = texts_of(nodes, classes, docs).mapInArrow(long_signer(near), "node binary, codes binary, signature binary, hashes binary")
     signed = signed.join(nodes, "node", "left_semi").dropDuplicates(["node"])
     signed = stable(signed.join(classes.select("node", "n_shingles"), "node"))
-    rows = rows.join(signed, "node")
-    blocks = F.ceil(F.col("members") / near.block)
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    room = rows.join(classes.select("node", "n_shingles"), "node").groupBy("key")
+    room = room.agg(F.ceil(F.greatest(F.count(F.lit(1)) / near.block, 8 * F.sum("n_shingles") / near.block_bytes)).alias("blocks"))
+    rows = rows.join(signed, "node").join(room, "key")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), "blocks")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     rows = rows.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
-    fields = ["key", "band", "i", "j", "own", "node", "root", "n_shingles", "codes", "signature"]
+    fields = ["key", "band", "i", "j", "own", "node", "root", "n_shingles", "codes", "signature", "hashes"]
     return stable(rows.select(*fields).groupBy("key", "i", "j").applyInPandas(across(near), PAIR).distinct())
 
 
@@ -362,10 +403,9 @@ def near_report(docs: DataFrame, near: Near = Near()) -> DataFrame:  # noqa: B00
     held = buckets(classes, near)
     links = verify(prune(near_pairs(held, near), classes, near), classes, docs, near)
     groups = components(links)
-    more = split_pairs(held, groups, classes, docs, near)
+    more = split_links(held, groups, classes, docs, near)
     if not more.isEmpty():
-        found = verify(more, classes, docs, near)
-        groups = components(found.union(groups.where("node != root").toDF("a", "b")))
+        groups = components(more.union(groups.where("node != root").toDF("a", "b")))
     rooted = classes.select("node", "first_id").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = rooted.join(least, "root").select(F.col("node").alias("known"), "component_id")
@@ -376,13 +416,20 @@ def near_report(docs: DataFrame, near: Near = Near()) -> DataFrame:  # noqa: B00
 
 
 def deduplicated(docs: DataFrame, near: Near = Near()) -> DataFrame:  # noqa: B008
-    """One document of each group, all columns; rows that repeat an id and text are one document."""
+    """One document of each group, all columns; rows that repeat an id and text are one document.
+
+    Of such rows the one with the least hash over all columns stays, so reruns agree. Texts without words (NULL,
+    empty) stay, each alone; NULL ids are never the ones kept where a group has others. An empty table gives no rows.
+    """
     report = stable(near_report(docs, near))
     gone = report.where("not kept").select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key")).distinct()
-    repeated = report.groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    repeated = report.groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").toDF("again_id", "again_key", "n")
     row = F.struct(*docs.columns).alias("whole_row")
     rows = docs.select(row, "doc_id", F.xxhash64("text").alias("text_key"))
     kept = rows.join(gone, same(F.col("doc_id"), F.col("gone_id")) & (F.col("text_key") == F.col("gone_key")), "left_anti")
     if not repeated.isEmpty():
-        kept = kept.dropDuplicates(["doc_id", "text_key"])
+        met = same(F.col("doc_id"), F.col("again_id")) & (F.col("text_key") == F.col("again_key"))
+        several = kept.join(repeated, met, "left_semi").groupBy("doc_id", "text_key")
+        one = several.agg(F.min_by("whole_row", F.md5(F.to_json("whole_row"))).alias("whole_row"))
+        kept = kept.join(repeated, met, "left_anti").select("whole_row").union(one.select("whole_row"))
     return kept.select(*[F.col("whole_row")[c].alias(c) for c in docs.columns])
