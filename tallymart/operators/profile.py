@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -155,17 +153,6 @@ def flag_rates(df: DataFrame, by: str, flags: list[str]) -> DataFrame:
     )
 
 
-def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pearson correlation of each pair of columns, all in one pass."""
-    pairs = list(combinations(columns, 2))
-    row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}~{b}") for a, b in pairs])
-    cells = [
-        F.struct(F.lit(a).alias("left"), F.lit(b).alias("right"), F.col(f"`{a}~{b}`").alias("correlation"))
-        for a, b in pairs
-    ]
-    return row.select(F.inline(F.array(*cells)))
-
-
 def column_profile(df: DataFrame, columns: list[str]) -> DataFrame:
     """Per numeric column: count, distinct values, minimum, maximum, mean, deviation and exact quartiles."""
     stats = describe_columns(df, columns)

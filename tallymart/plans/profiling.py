@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallymart.operators import profile
+from tallymart.operators import moments, profile
 from tallymart.plans import sql_parts as q
 from tallymart.plans.cleaning import clean_tx
 from tallymart.plans.registry import query, rounded
@@ -182,7 +182,7 @@ _CHANNEL_SQL = ", ".join(f"(acquisition_channel = '{n}')::INT AS channel_{n}" fo
 )
 def correlations(t):
     rows = feeds.channel_indicators(feeds.demo_transactions(t, "acquisition_channel", *_FLAT))
-    return rounded(profile.correlations(rows, _CORRELATED), 9, "correlation")
+    return rounded(moments.correlations(rows, _CORRELATED), 9, "correlation")
 
 
 _PROFILED = ["amount", "quantity", "customer_age"]
