@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallymart.functions.defaults import RECENT_DAYS
 from tallymart.functions.money import money_avg, money_sum
 from tallymart.functions.rules import as_of_day, existing, flag
+from tallymart.operators import sketches
 from tallymart.operators.ranks import quantile_row
 from tallymart.session import stable
 
@@ -46,26 +47,24 @@ def customer_base(transactions: DataFrame, as_of: Day = None, recent_days: int =
     )
 
 
-def median_thresholds(base: DataFrame) -> DataFrame:
-    """One row with the exact medians of recency, spending and recent activity."""
-    return quantile_row(
-        base,
-        {
-            "days_median": ("days_since_last_transaction", 0.5),
-            "spent_median": ("total_spent", 0.5),
-            "activity_median": ("transactions_last_90d", 0.5),
-        },
-    )
+def median_thresholds(base: DataFrame, exact: bool = True) -> DataFrame:
+    """One row with the medians of recency, spending and recent activity; ``exact=False`` takes them from sketches."""
+    wanted = {
+        "days_median": ("days_since_last_transaction", 0.5),
+        "spent_median": ("total_spent", 0.5),
+        "activity_median": ("transactions_last_90d", 0.5),
+    }
+    return quantile_row(base, wanted) if exact else sketches.quantile_row(base, wanted)
 
 
-def composite_risk(base: DataFrame) -> DataFrame:
+def composite_risk(base: DataFrame, exact: bool = True) -> DataFrame:
     """Three 0/1 risks against the medians and ``composite_risk``: at least two of them.
 
     A missing measure gives risk 0. When the median of recent activity is 0, no customer lies below it.
     The base is stored once: the medians take passes of their own, which must not rescan transactions.
     """
     base = stable(base)
-    row = median_thresholds(base)
+    row = median_thresholds(base, exact)
     medians = row.select(F.struct(*row.columns)).scalar()
     risks = base.withColumns(
         {

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from tallymart.operators import moments, profile
+from pyspark.sql import functions as F
+
+from tallymart.operators import moments, profile, sketches
+from tallymart.operators.counts import value_counts
 from tallymart.plans import sql_parts as q
 from tallymart.plans.cleaning import clean_tx
 from tallymart.plans.registry import query, rounded
 from tallymart.plans.sales import features
-from tallymart.session import stable
 from tallymart.sources import feeds
 
 _DESCRIBED = ["avg_tx_amount", "days_since_last_tx", "total_tx_count", "tx_frequency"]
@@ -199,11 +201,52 @@ _PROFILED = ["amount", "quantity", "customer_age"]
     )
 )
 def column_profile(t):
-    rows = stable(feeds.demo_transactions(t, *_PROFILED))
-    profiled = profile.column_profile(rows, _PROFILED)
+    profiled = profile.column_profile(feeds.demo_transactions(t, *_PROFILED), _PROFILED)
     return rounded(profiled, 6, "mean", "stddev", "q1", "median", "q3")
 
 
+_SHARES = [0.01, 0.25, 0.5, 0.75, 0.99]
+
+
+@query(
+    f"WITH {q.DEMO} "
+    + "\nUNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", {p}::DOUBLE AS probability, count({c}) AS n, true AS within FROM demo"
+        for c in _PROFILED
+        for p in _SHARES
+    )
+)
+def sketched_quantiles(t):
+    """Sketches of the regions' rows, merged: are their quantiles within three times the stated error of the exact ranks?"""
+    rows = feeds.demo_transactions(t, "region", *_PROFILED)
+    found = sketches.quantiles(sketches.merged(sketches.sketches(rows, _PROFILED, ["region"])), _SHARES)
+    # Ranks of a value that occurs many times are a range, from the rows below it to those up to it.
+    value, n = F.col("value"), F.col("n")
+    counts = value_counts(rows, _PROFILED).withColumnsRenamed({"value": "held", "n": "held_n"})
+    ranked = found.join(counts, "column").groupBy("column", "probability", "n").agg(
+        F.sum(F.when(F.col("held") < value, F.col("held_n")).otherwise(0)).alias("below"),
+        F.sum(F.when(F.col("held") <= value, F.col("held_n")).otherwise(0)).alias("upto"),
+    )
+    slack, wanted = 3 * sketches.rank_error() * n + 1, F.col("probability") * n
+    within = (F.col("below") <= wanted + slack) & (F.col("upto") >= wanted - slack)
+    return ranked.select("column", "probability", "n", within.alias("within"))
+
+
+@query(
+    f"WITH {q.DEMO} "
+    + "\nUNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count({c}) AS "count", min({c})::DOUBLE AS "min", max({c})::DOUBLE AS "max",
+  round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS stddev, true AS ordered FROM demo"""
+        for c in _PROFILED
+    )
+)
+def sketched_profile(t):
+    """The profile from sketches, in one pass; its quartiles are values in order."""
+    rows = profile.column_profile(feeds.demo_transactions(t, *_PROFILED), _PROFILED, exact=False)
+    ordered = (F.col("min") <= F.col("q1")) & (F.col("q1") <= F.col("median")) & (F.col("median") <= F.col("q3")) & (F.col("q3") <= F.col("max"))
+    return rounded(rows, 6, "mean", "stddev").select("column", "count", "min", "max", "mean", "stddev", ordered.alias("ordered"))
+
+
 @query(
     f"""WITH {q.DEMO} SELECT floor(lat / 10)::INT AS lat_cell, floor(lon / 10)::INT AS lon_cell, count(*) AS orders,
   count(DISTINCT customer_id) AS customers FROM demo GROUP BY 1, 2"""
