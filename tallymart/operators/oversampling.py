@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from tallymart.functions.defaults import NEIGHBOURS, SEED
 from tallymart.functions.hashing import key_hash, unit_interval
 from tallymart.operators.neighbours import nearest_neighbours
-from tallymart.operators.ranks import hash_cutoffs
-from tallymart.operators.splits import check_rows
+from tallymart.operators.ranks import hash_cutoffs, row_numbers
 from tallymart.session import stable
 
 CHUNK = 10_000
@@ -21,7 +20,7 @@ def synthetic_rows(
     """``needed`` rows ``x + u * (neighbour - x)`` over the ``size`` minority rows x.
 
     Every row gives the same number of synthetic rows; the remainder goes to the rows with the
-    smallest key hash. Equal rows are worked on as one point with a count, and a point with many
+    smallest key hash, of rows that share a key to the smallest points. Equal rows are worked on as one point with a count, and a point with many
     synthetic rows hands them out in chunks, so no copy group is made in one task.
     """
     each, rest = divmod(needed, size)
@@ -29,11 +28,16 @@ def synthetic_rows(
     point = F.array(*[F.col(f).cast("double") for f in features])
     rows = stable(minority.select(F.lit(0).alias("_all"), key_hash(key, seed).alias("_hash"), point.alias("point")))
     quota = spark.createDataFrame([(0, "rest", rest)], "_all int, part string, quota bigint")
-    border = hash_cutoffs(rows, "_all", "_hash", quota).agg(F.max("cutoff")).scalar()
-    extra = F.coalesce((F.col("_hash") <= border).cast("bigint"), F.lit(0))
+    border = hash_cutoffs(rows, "_all", "_hash", quota).first()
+    rows = rows.withColumn("_extra", F.lit(0) if border is None else (F.col("_hash") <= border["cutoff"]).cast("int"))
+    if border is not None and border["allowed"] < border["copies"]:
+        at = F.col("_hash") == border["cutoff"]
+        tied = row_numbers(rows.where(at).drop("_extra"), ["_all"], ["point"], "_copy")
+        tied = tied.withColumn("_extra", (F.col("_copy") <= border["allowed"]).cast("int")).drop("_copy")
+        rows = rows.where(~at).unionByName(tied)
     points = stable(
         rows.groupBy("point").agg(
-            F.count(F.lit(1)).alias("weight"), (F.count(F.lit(1)) * each + F.sum(extra)).alias("wanted")
+            F.count(F.lit(1)).alias("weight"), (F.count(F.lit(1)) * each + F.sum("_extra")).alias("wanted")
         )
     )
     near = nearest_neighbours(points, len(features), k, seed).where("wanted > 0")
@@ -67,13 +71,14 @@ def oversample_minority(
 ) -> DataFrame:
     """Raise every class to the size of the largest with synthetic rows: rows (features, label, is_synthetic).
 
-    Keys must be unique and labels present; more than ``most_classes`` label values are refused, since the work
+    Keys may repeat; labels must be present. More than ``most_classes`` label values are refused, since the work
     is done class by class. The input comes back with its features as doubles. A class of no more than ``k`` rows
     has too few neighbours and stays as it is; the others are raised.
     """
-    check_rows(df, key, label)
     original = df.select(*[F.col(f).cast("double").alias(f) for f in features], label, F.lit(0).alias("is_synthetic"))
     sizes = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).limit(most_classes + 1).collect()}
+    if None in sizes:
+        raise ValueError(f"{sizes[None]} rows have no {label}; drop them or label them")
     if len(sizes) > most_classes:
         raise ValueError(f"{label} has more than {most_classes} values")
     if len(sizes) < 2:

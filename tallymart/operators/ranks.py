@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tallymart.session import stable
+
 HASH_DIGITS = 4
 
 
@@ -214,12 +216,12 @@ def quantile_row(df: DataFrame, wanted: dict[str, tuple[str, float]]) -> DataFra
 
 
 def hash_cutoffs(df: DataFrame, group: str, hashed: str, quotas: DataFrame) -> DataFrame:
-    """The hash of the ``quota``-th row of each group in hash order: rows (group, part, cutoff).
+    """The hash of the ``quota``-th row of each group in hash order: rows (group, part, cutoff, copies, allowed).
 
     ``quotas`` has (group, part, quota), a few rows per group. The first hash digits cut each group
     into equal buckets; only the bucket that holds the wanted rank is sorted, so a group with most of
-    the rows costs one aggregation. Rows with the same hash are counted, not sorted one by one. A
-    quota of zero gives no row.
+    the rows costs one aggregation. Rows with the same hash are counted, not sorted one by one: ``copies`` rows
+    have the cutoff's hash, and the quota has room for ``allowed`` of them. A quota of zero gives no row.
     """
     prefix = F.substring(F.col(hashed), 1, HASH_DIGITS)
     rows = df.select(F.col(group), F.col(hashed), prefix.alias("_prefix"))
@@ -230,12 +232,31 @@ def hash_cutoffs(df: DataFrame, group: str, hashed: str, quotas: DataFrame) -> D
         .where((F.col("quota") <= F.col("_end")) & (F.col("quota") > F.col("_end") - F.col("_rows")))
         .select(group, "_prefix", "part", (F.col("quota") - F.col("_end") + F.col("_rows")).alias("_nth"))
     )
-    upto = F.sum("_copies").over(W.partitionBy(group, "part").orderBy(hashed))
+    upto = F.sum("copies").over(W.partitionBy(group, "part").orderBy(hashed))
     return (
         rows.join(targets, [group, "_prefix"])
         .groupBy(group, "part", "_nth", hashed)
-        .agg(F.count(F.lit(1)).alias("_copies"))
+        .agg(F.count(F.lit(1)).alias("copies"))
         .withColumn("_upto", upto)
-        .where(F.col("_nth").between(F.col("_upto") - F.col("_copies") + 1, F.col("_upto")))
-        .select(group, "part", F.col(hashed).alias("cutoff"))
+        .where(F.col("_nth").between(F.col("_upto") - F.col("copies") + 1, F.col("_upto")))
+        .select(
+            group, "part", F.col(hashed).alias("cutoff"), "copies", (F.col("_nth") - F.col("_upto") + F.col("copies")).alias("allowed")
+        )
     )
+
+
+def row_numbers(df: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
+    """Add the number of each row within its keys, from 1 on in the given order, without a sort of a key in one task.
+
+    A range partitioning cuts the rows into stretches; the rows of a stretch are numbered after those of the
+    stretches before it. The rows are stored first with a number of their own, by which equal ones are cut apart.
+    Keys hold no NULL.
+    """
+    own = stable(df.withColumn("_own", F.monotonically_increasing_id()))
+    cut = stable(own.repartitionByRange(*keys, *order, "_own").withColumn("_stretch", F.spark_partition_id()))
+    sizes = cut.groupBy(*keys, "_stretch").agg(F.count(F.lit(1)).alias("_held"))
+    before = F.sum("_held").over(W.partitionBy(*keys).orderBy("_stretch")) - F.col("_held")
+    sizes = sizes.select(*keys, "_stretch", before.alias("_before"))
+    inside = F.row_number().over(W.partitionBy(*keys, "_stretch").orderBy(*order, "_own"))
+    numbered = cut.withColumn("_inside", inside).join(sizes, [*keys, "_stretch"])
+    return numbered.select(*df.columns, (F.col("_inside") + F.col("_before")).alias(name))

@@ -8,6 +8,7 @@ from tallymart.operators import evaluation, splits
 from tallymart.plans import sql_parts as q
 from tallymart.plans.registry import query, rounded
 from tallymart.plans.risk import risks
+from tallymart.session import stable
 from tallymart.sources import feeds
 
 
@@ -53,6 +54,40 @@ def stratified_folds(t):
     return splits.stratified_folds(rows, "customer_id", "composite_risk")
 
 
+def _orders_by_customer(t):
+    """Orders under the key of their customer, which repeats; large amounts are the class of interest."""
+    rows = feeds.transactions(t)
+    return rows.select("transaction_id", "customer_id", "tx_amount", (F.col("tx_amount") > 200_000).cast("int").alias("large"))
+
+
+_LARGE = f"{q.TX}, large AS (SELECT customer_id, (tx_amount > 200000)::INT AS large FROM tx), sizes AS (SELECT large, count(*) AS n FROM large GROUP BY large)"
+
+
+@query(
+    f"""WITH {_LARGE}, cut AS (SELECT large, n, round(0.3::DOUBLE * n)::BIGINT AS test FROM sizes)
+SELECT large, 'test' AS split, test AS "rows", true AS one_key_cut FROM cut
+UNION ALL SELECT large, 'train', n - test, true FROM cut"""
+)
+def repeated_key_split(t):
+    """Exact class counts although keys repeat; at most one key of a class is on both sides."""
+    rows = stable(splits.stratified_split(_orders_by_customer(t), "customer_id", "large"))
+    sides = rows.groupBy("large", "customer_id").agg(F.count_distinct("split").alias("sides"))
+    cut = sides.groupBy("large").agg((F.count_if(F.col("sides") > 1) <= 1).alias("one_key_cut"))
+    return rows.groupBy("large", "split").agg(F.count(F.lit(1)).alias("rows")).join(cut, "large")
+
+
+@query(
+    f"""WITH {_LARGE} SELECT large, i::INT AS fold, (n * (i + 1) // 5 - n * i // 5)::BIGINT AS "rows", true AS few_keys_cut
+FROM sizes, range(5) r(i)"""
+)
+def repeated_key_folds(t):
+    """Folds of a class differ by at most one row although keys repeat; at most four keys of a class are cut."""
+    rows = stable(splits.stratified_folds(_orders_by_customer(t), "customer_id", "large"))
+    spread = rows.groupBy("large", "customer_id").agg((F.count_distinct("fold") - 1).alias("cuts"))
+    cut = spread.groupBy("large").agg((F.sum("cuts") <= 4).alias("few_keys_cut"))
+    return rows.groupBy("large", "fold").agg(F.count(F.lit(1)).alias("rows")).join(cut, "large")
+
+
 @query(f'WITH {q.SCORED} SELECT label, prediction, count(*) AS "count" FROM scored GROUP BY label, prediction')
 def confusion(t):
     return evaluation.confusion(scored(t))

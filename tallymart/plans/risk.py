@@ -192,3 +192,17 @@ UNION ALL SELECT composite_risk, 1, (SELECT max(n) FROM sizes) - n FROM sizes WH
 def smote_counts(t):
     made = oversampling.oversample_minority(risks(t), risk.RISK_FEATURES, "composite_risk", "customer_id")
     return made.groupBy("composite_risk", "is_synthetic").agg(F.count(F.lit(1)).alias("count"))
+
+
+@query(
+    f"""WITH {q.BASE}, keyed AS (SELECT (customer_id::BIGINT % 10)::VARCHAR AS k, (customer_id::BIGINT % 4 = 0)::INT AS y FROM base),
+sizes AS (SELECT y, count(*) AS n FROM keyed GROUP BY y)
+SELECT y, 0 AS is_synthetic, n AS "count" FROM sizes
+UNION ALL SELECT y, 1, (SELECT max(n) FROM sizes) - n FROM sizes WHERE n < (SELECT max(n) FROM sizes)"""
+)
+def smote_repeated_keys(t):
+    """Classes are raised to one size although ten keys stand for all rows."""
+    number = F.col("customer_id").cast("bigint")
+    rows = base(t).withColumns({"k": (number % 10).cast("string"), "y": (number % 4 == 0).cast("int")})
+    made = oversampling.oversample_minority(rows, ["total_spent", "total_transactions"], "y", "k")
+    return made.groupBy("y", "is_synthetic").agg(F.count(F.lit(1)).alias("count"))

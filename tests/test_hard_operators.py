@@ -102,9 +102,17 @@ def test_a_tiny_class_does_not_stop_the_others(unbalanced, spark):
     assert {r["label"]: r["count"] for r in made.groupBy("label").count().collect()} == {1: 210}
 
 
-def test_oversampling_refuses_repeated_keys(unbalanced):
-    with pytest.raises(ValueError, match="repeat"):
-        oversampling.oversample_minority(unbalanced.unionByName(unbalanced.limit(1)), ["x", "y"], "label", "k")
+@pytest.mark.parametrize("keys", [1, 3, 10])
+def test_oversampling_under_repeated_keys(unbalanced, keys):
+    rows = unbalanced.withColumn("k", (F.xxhash64("k") % keys).cast("string"))
+    made = oversampling.oversample_minority(rows, ["x", "y"], "label", "k")
+    counts = {r["label"]: r["count"] for r in made.groupBy("label").count().collect()}
+    assert len(set(counts.values())) == 1
+
+
+def test_oversampling_refuses_missing_labels(unbalanced):
+    with pytest.raises(ValueError, match="no label"):
+        oversampling.oversample_minority(unbalanced.withColumn("label", F.lit(None).cast("int")), ["x", "y"], "label", "k")
 
 
 @pytest.fixture(scope="module")
