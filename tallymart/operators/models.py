@@ -7,6 +7,7 @@ stored vectors instead of carrying the lineage of the marts with every task.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
@@ -96,7 +97,16 @@ def train_churn_model(
 
 
 # Parameter names of the classifier configuration.
-LOGISTIC_PARAMS = {"C", "max_iter", "tol", "fit_intercept", "penalty", "l1_ratio"}
+LOGISTIC_PARAMS = {"C", "max_iter", "tol", "fit_intercept", "penalty", "l1_ratio", "solver"}
+# Solver names of the classifier configuration and the penalties each of them takes. All solve the
+# same problem, which Spark solves by L-BFGS, or by OWL-QN where the penalty has a corner.
+SOLVERS = {
+    "lbfgs": {None, "none", "l2"},
+    "newton-cg": {None, "none", "l2"},
+    "newton-cholesky": {None, "none", "l2"},
+    "sag": {None, "none", "l2"},
+    "saga": {None, "none", "l2", "l1", "elasticnet"},
+}
 FOREST_PARAMS = {
     "n_estimators": "numTrees",
     "max_depth": "maxDepth",
@@ -123,7 +133,8 @@ def make_classifier(kind: str, rows: int, label: str, params: dict | None = None
     """``LogisticRegression`` or ``RandomForestClassifier`` from the parameters of a configuration.
 
     The strength C weighs the summed loss against half the squared weights; Spark averages the loss,
-    hence ``regParam = 1 / (C * rows)`` on unscaled features. What Spark cannot express is refused.
+    hence ``regParam = 1 / (C * rows)`` on unscaled features. A solver is accepted if it minimises the same
+    function; the one that does not (liblinear penalises the intercept) is refused, as is what Spark cannot express.
     """
     params = dict(params or {})
     if kind == "LogisticRegression":
@@ -133,6 +144,11 @@ def make_classifier(kind: str, rows: int, label: str, params: dict | None = None
         mixes = {None: 0.0, "none": 0.0, "l2": 0.0, "l1": 1.0, "elasticnet": known.get("l1_ratio")}
         if mixes.get(penalty, -1) is None or penalty not in mixes:
             raise ValueError(f"penalty {penalty} needs a known name, and elasticnet an l1_ratio")
+        solver = known.get("solver", "lbfgs" if penalty in SOLVERS["lbfgs"] else "saga")
+        if solver not in SOLVERS:
+            raise ValueError(f"solver {solver} solves another problem: it penalises the intercept or is unknown")
+        if penalty not in SOLVERS[solver]:
+            raise ValueError(f"solver {solver} does not take the penalty {penalty}")
         return LogisticRegression(
             labelCol=label,
             featuresCol="features",
@@ -166,10 +182,13 @@ def train_risk_model(
     balance: bool = True,
     exclude_leaky: bool = False,
 ) -> Trained:
-    """Stratified split, oversampling of the train rows only, fit, and metrics on untouched test rows."""
+    """Stratified split, oversampling of the train rows only, fit, and metrics on untouched test rows.
+
+    The split is stored once; training and scoring read it from there.
+    """
     names = feature_names(risks, features, exclude_leaky)
     rows = stable(select_features(risks, label, names).fillna(0, subset=names))
-    rows = stratified_split(rows, "customer_id", label, test_share, seed)
+    rows = stable(stratified_split(rows, "customer_id", label, test_share, seed))
     train = rows.where("split = 'train'").drop("split")
     if balance:
         train = oversample_minority(train, names, label, "customer_id", seed=seed)
@@ -181,7 +200,7 @@ def train_risk_model(
     return Trained(model, names, scored, evaluate(scored, label))
 
 
-def cross_validated_f1(
+def cross_validated_predictions(
     rows: DataFrame,
     features: list[str],
     label: str,
@@ -191,19 +210,36 @@ def cross_validated_f1(
     kind: str = "LogisticRegression",
     params: dict | None = None,
 ) -> DataFrame:
-    """F1 of class 1 per fold, each scored by a model that never saw the fold. Run it on train rows."""
-    assembler = VectorAssembler(inputCols=features, outputCol="features")
-    vectors = stable(assembler.transform(rows).select(key, "features", label))
-    folded = stable(stratified_folds(vectors, key, label, folds, seed))
-
-    def score(fold: int) -> tuple[int, float]:
-        train = folded.where(F.col("fold") != fold)
-        model = make_classifier(kind, train.count(), label, params).fit(train)
-        held = scored_rows(model.transform(folded.where(F.col("fold") == fold)), label, key)
-        return fold, float(classification_metrics(held).first()["f1_binary"])
-
-    scores = in_parallel(rows.sparkSession, score, folds)
-    return rows.sparkSession.createDataFrame(scores, "fold int, f1 double")
+    """(fold, key, label, score, prediction) of every row, scored by a model that never saw its fold. Run it on train rows.
+
+    Folded vectors are stored once and the sizes of all folds counted together.
+    """
+    folded = stratified_folds(rows.select(key, *features, label), key, label, folds, seed)
+    vectors = stable(VectorAssembler(inputCols=features, outputCol="features").transform(folded).select(key, "features", label, "fold"))
+    sizes = {r["fold"]: r["n"] for r in vectors.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}
+    total = sum(sizes.values())
+
+    def score(fold: int) -> DataFrame:
+        train = vectors.where(F.col("fold") != fold)
+        model = make_classifier(kind, total - sizes.get(fold, 0), label, params).fit(train)
+        held = scored_rows(model.transform(vectors.where(F.col("fold") == fold)), label, key)
+        return held.select(F.lit(fold).alias("fold"), *held.columns)
+
+    return stable(reduce(DataFrame.unionByName, in_parallel(rows.sparkSession, score, folds)))
+
+
+def fold_scores(predictions: DataFrame, folds: int = FOLDS) -> DataFrame:
+    """(fold, f1): F1 of class 1 per fold, 0.0 for a fold without a hit, all from one aggregation."""
+    hit = (F.col("prediction") == 1) & (F.col("label") == 1)
+    both = F.count_if(F.col("prediction") == 1) + F.count_if(F.col("label") == 1)
+    found = predictions.groupBy("fold").agg((2 * F.count_if(hit) / F.when(both > 0, both)).alias("f1"))
+    every = predictions.sparkSession.range(folds).select(F.col("id").cast("int").alias("fold"))
+    return every.join(found, "fold", "left").select("fold", F.coalesce("f1", F.lit(0.0)).alias("f1"))
+
+
+def cross_validated_f1(rows: DataFrame, features: list[str], label: str, folds: int = FOLDS, **params) -> DataFrame:
+    """F1 of class 1 per fold; parameters as ``cross_validated_predictions``."""
+    return fold_scores(cross_validated_predictions(rows, features, label, folds=folds, **params), folds)
 
 
 def cross_validation_summary(scores: DataFrame) -> DataFrame:

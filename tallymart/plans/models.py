@@ -13,6 +13,7 @@ from tallymart.plans.sales import features
 from tallymart.session import stable
 
 # The parameters of the logistic classifier configuration.
+CONFIGURED = {"random_state": 42, "max_iter": 1000, "C": 1.0, "solver": "lbfgs"}
 LOGISTIC = {"C": 1.0, "max_iter": 1000}
 
 
@@ -53,7 +54,7 @@ def churn_predictions_sample(t):
 
 @query()
 def risk_model_metrics(t):
-    trained = models.train_risk_model(risks(t), params=LOGISTIC)
+    trained = models.train_risk_model(risks(t), params=CONFIGURED)
     names = ["accuracy", "f1_binary", "auc"]
     return t.spark.createDataFrame([(n, float(trained.metrics[n])) for n in names], "metric string, value double")
 

@@ -6,20 +6,23 @@ Weights, trees and centres depend on the solver, so SQL cannot state them; it st
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.operators import anomalies, churn, models, oversampling, reports, risk, segments
+from tallymart.operators.evaluation import classification_metrics
 from tallymart.operators.scaling import churn_stages
 from tallymart.plans import sql_parts as q
-from tallymart.plans.models import LOGISTIC
+from tallymart.plans.models import CONFIGURED, LOGISTIC
 from tallymart.plans.registry import query
 from tallymart.plans.risk import base, risks
 from tallymart.plans.sales import features
-from tallymart.session import stable
+from tallymart.session import scratch_path, stable
 from tallymart.sources import feeds
 
 #: Test rows of the churn split: a hash of the key at or above the train share.
@@ -81,6 +84,110 @@ def risk_gradient(t):
     return violations(slopes, not_flat=F.abs("slope") < 1e-3)
 
 
+@query('SELECT 6 AS "rows", 0 AS not_flat')
+def configured_gradient(t):
+    """The whole parameter set of the classifier configuration trains, and its weights minimise the same function."""
+    rows = risk.select_features(risks(t)).fillna(0, subset=risk.RISK_FEATURES)
+    scaled = rows.select("composite_risk", *[(F.col(c) / F.lit(1000.0)).alias(c) for c in risk.RISK_FEATURES])
+    vectors = stable(VectorAssembler(inputCols=risk.RISK_FEATURES, outputCol="features").transform(scaled).select("features", "composite_risk"))
+    n = vectors.count()
+    model = models.make_classifier("LogisticRegression", n, "composite_risk", CONFIGURED).fit(vectors)
+    slopes = gradient(vectors, "composite_risk", model, [1 / (CONFIGURED["C"] * n)] * len(risk.RISK_FEATURES))
+    return violations(slopes, not_flat=F.abs("slope") < 1e-3)
+
+
+def walked(vectors: DataFrame, nodes: DataFrame, trees: int, depth: int, key: str = "customer_id") -> DataFrame:
+    """(key, votes) from the node table of a saved forest: each row walks down each tree, leaves add class shares."""
+    own = nodes.select(
+        F.col("treeID").alias("tree"),
+        F.col("nodeData.id").alias("node"),
+        F.col("nodeData.leftChild").alias("left"),
+        F.col("nodeData.rightChild").alias("right"),
+        F.col("nodeData.split.featureIndex").alias("entry"),
+        F.get("nodeData.split.leftCategoriesOrThreshold", F.lit(0)).alias("limit"),
+        F.col("nodeData.impurityStats").alias("counts"),
+    )
+    every = F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree")
+    at = vectors.select(key, vector_to_array("features").alias("x"), F.lit(0).alias("node"), every)
+    for _ in range(depth):
+        here = at.join(own.select("tree", "node", "left", "right", "entry", "limit"), ["tree", "node"])
+        goes = F.when(F.col("left") < 0, F.col("node")).when(F.get("x", F.col("entry")) <= F.col("limit"), F.col("left")).otherwise(F.col("right"))
+        at = here.select(key, "x", "tree", goes.alias("node"))
+    leaves = at.join(own.select("tree", "node", "counts"), ["tree", "node"])
+    share = F.get("counts", F.lit(1)) / F.aggregate("counts", F.lit(0.0), lambda a, c: a + c)
+    return leaves.groupBy(key).agg(F.avg(share).alias("votes"))
+
+
+@query(
+    f"""WITH {q.RISK}, sizes AS (SELECT composite_risk, count(*) AS n FROM risk GROUP BY composite_risk)
+SELECT sum(round(0.3::DOUBLE * n))::BIGINT AS "rows", 0 AS wrong_score, 0 AS wrong_class FROM sizes"""
+)
+def forest_votes(t):
+    """The forest's scores and classes are what its saved trees vote on the test rows."""
+    params = {"n_estimators": 7, "max_depth": 4, "random_state": 42}
+    trained = models.train_risk_model(risks(t), "RandomForestClassifier", params)
+    path = scratch_path(t.spark, "forest")
+    trained.model.stages[-1].write().overwrite().save(path)
+    votes = walked(trained.predictions, t.spark.read.parquet(f"{path}/data"), params["n_estimators"], params["max_depth"])
+    both = models.scored_rows(trained.predictions, "composite_risk").join(votes, "customer_id")
+    return violations(
+        both,
+        wrong_score=F.abs(F.col("score") - F.col("votes")) < 1e-9,
+        wrong_class=(F.col("prediction") == (F.col("votes") > 0.5).cast("int")) | (F.abs(F.col("votes") - 0.5) < 1e-9),
+    )
+
+
+@query(
+    f"""WITH {q.FEATURES} SELECT 'logistic_regression' AS model, 8 AS features_count,
+  strftime(max(analysis_reference_date), '%Y-%m-%d') AS "day", 0 AS wrong_auc, 0 AS wrong_f1 FROM features"""
+)
+def metrics_row_agrees(t):
+    """The row of the metrics history holds what Spark's own evaluators say of the same test rows."""
+    trained = models.train_churn_model(features(t))
+    stamp = dt.datetime.combine(t.orders.agg(F.max(F.col("o_orderdate").cast("date"))).first()[0], dt.time())
+    row = reports.metrics_row(t.spark, "logistic_regression", trained.metrics, len(trained.features), stamp)
+    rows = trained.predictions.withColumns({"is_churned": F.col("is_churned").cast("double"), "one": vector_to_array("probability")[1]})
+    area = BinaryClassificationEvaluator(labelCol="is_churned", rawPredictionCol="one").setParams(numBins=0).evaluate(rows)
+    f1 = MulticlassClassificationEvaluator(labelCol="is_churned", metricName="f1").evaluate(rows)
+    return row.select(
+        "model",
+        "features_count",
+        F.date_format("timestamp", "yyyy-MM-dd").alias("day"),
+        (F.abs(F.col("auc") - area) > 1e-6).cast("int").alias("wrong_auc"),
+        (F.abs(F.col("f1") - f1) > 1e-9).cast("int").alias("wrong_f1"),
+    )
+
+
+@query(
+    f"""WITH {q.FEATURES}, held AS (SELECT customer_id, is_churned FROM features WHERE {_HELD} ORDER BY customer_id LIMIT 50)
+SELECT customer_id, is_churned AS actual, true AS as_weighed FROM held"""
+)
+def prediction_sample_classes(t):
+    """The predicted column of the sample is the side of zero on which weights and features put the customer."""
+    trained = models.train_churn_model(features(t))
+    model = trained.model.stages[-1]
+    x, linear = vector_to_array("features"), F.lit(float(model.intercept))
+    for i, w in enumerate(model.coefficients):
+        linear = linear + x[i] * float(w)
+    sides = trained.predictions.select("customer_id", (linear > 0).cast("int").alias("side"))
+    sample = models.predictions_sample(trained.predictions, "is_churned", 50).join(sides, "customer_id")
+    return sample.select("customer_id", "actual", (F.col("predicted") == F.col("side")).alias("as_weighed"))
+
+
+@query(
+    f"""WITH {q.RISK}, sizes AS (SELECT composite_risk, count(*) AS n FROM risk GROUP BY composite_risk)
+SELECT i::INT AS fold, sum(n * (i + 1) // 4 - n * i // 4)::BIGINT AS "rows", 0 AS wrong_f1 FROM sizes, range(4) r(i) GROUP BY i"""
+)
+def fold_scores_agree(t):
+    """Every row is scored in its fold; a fold's F1 is the one that the classification metrics give on its predictions."""
+    rows = risk.select_features(risks(t)).fillna(0, subset=risk.RISK_FEATURES)
+    scored = models.cross_validated_predictions(rows, risk.RISK_FEATURES, "composite_risk", folds=4, params=LOGISTIC)
+    sizes = scored.groupBy("fold").agg(F.count(F.lit(1)).alias("rows"))
+    parts = [classification_metrics(scored.where(F.col("fold") == k)).select(F.lit(k).alias("fold"), "f1_binary") for k in range(4)]
+    both = models.fold_scores(scored, 4).join(sizes, "fold").join(reduce(DataFrame.unionByName, parts), "fold")
+    return both.select("fold", "rows", (F.abs(F.col("f1") - F.col("f1_binary")) > 1e-12).cast("int").alias("wrong_f1"))
+
+
 @query(f'WITH {q.BASE} SELECT count(*) AS "rows", 0 AS not_nearest, 0 AS unnumbered FROM base')
 def segment_centres(t):
     """Every customer, also one without measures, is in the segment of the nearest centre."""

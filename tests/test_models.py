@@ -48,6 +48,13 @@ def test_logistic_strength_matches_a_newton_solve(spark):
         assert [*model.coefficients, model.intercept] == pytest.approx(list(expected), abs=2e-3)
 
 
+@pytest.mark.parametrize("solver", ["lbfgs", "newton-cg", "saga"])
+def test_solvers_of_the_same_problem_are_accepted(spark, solver):
+    params = {"random_state": 42, "max_iter": 1000, "C": 1.0, "solver": solver}
+    classifier = models.make_classifier("LogisticRegression", 400, "y", params)
+    assert classifier.getMaxIter() == 1000 and classifier.getRegParam() == pytest.approx(1 / 400)
+
+
 def test_churn_model(trained):
     assert trained.metrics["auc"] > 0.9
     assert trained.features[-1] == "region_index"
@@ -164,6 +171,8 @@ def test_each_parameter_has_its_counterpart(spark, kind, params, name, value):
         ("LogisticRegression", {"class_weight": "balanced"}),
         ("LogisticRegression", {"penalty": "l3"}),
         ("LogisticRegression", {"penalty": "elasticnet"}),
+        ("LogisticRegression", {"solver": "liblinear"}),
+        ("LogisticRegression", {"solver": "lbfgs", "penalty": "l1"}),
         ("RandomForestClassifier", {"class_weight": "balanced"}),
         ("RandomForestClassifier", {"max_leaf_nodes": 4}),
     ],
