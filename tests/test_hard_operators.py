@@ -20,8 +20,10 @@ def brute_force(points, weights, k):
     return out
 
 
-@pytest.mark.parametrize("box_rows", [8, 64, 10_000])
-def test_neighbours_equal_brute_force(spark, box_rows):
+@pytest.mark.parametrize(("box_rows", "top_boxes"), [(8, 4096), (64, 4096), (10_000, 4096), (8, 5), (4, 2)])
+def test_neighbours_equal_brute_force(spark, box_rows, top_boxes, monkeypatch):
+    monkeypatch.setattr(neighbours, "ASKED", 16)
+    monkeypatch.setattr(neighbours, "ASSIGNED", 32)
     draw = np.random.default_rng(3)
     points = np.unique(
         np.vstack([draw.normal(0, 1, (180, 3)), draw.normal(8, 0.1, (60, 3)), [[100.0, 0, 0]], draw.integers(0, 3, (40, 3))]),
@@ -34,7 +36,7 @@ def test_neighbours_equal_brute_force(spark, box_rows):
             [(p.tolist(), int(w)) for p, w in zip(points, weights, strict=True)], "point array<double>, weight bigint"
         )
     )
-    found = neighbours.nearest_neighbours(df, 3, 5, box_rows=box_rows).collect()
+    found = neighbours.nearest_neighbours(df, 3, 5, box_rows=box_rows, top_boxes=top_boxes).collect()
     assert len(found) == len(points)
     expected = dict(zip(map(tuple, points.tolist()), brute_force(points, weights, 5), strict=True))
     for row in found:
@@ -48,11 +50,40 @@ def test_neighbours_do_not_depend_on_partitioning(spark):
     rows = [([float(a), float(b)], 1) for a, b in draw.integers(0, 1000, (300, 2))]
     df = spark.createDataFrame(list({tuple(p): (p, w) for p, w in rows}.values()), "point array<double>, weight bigint")
 
-    def run(partitions):
-        found = neighbours.nearest_neighbours(df.repartition(partitions), 2, 4, box_rows=16).collect()
+    def run(partitions, top_boxes=4096):
+        found = neighbours.nearest_neighbours(df.repartition(partitions), 2, 4, box_rows=16, top_boxes=top_boxes).collect()
         return sorted((tuple(r["point"]), str(r["neighbours"])) for r in found)
 
-    assert run(1) == run(7)
+    assert run(1) == run(7) == run(3, top_boxes=6)
+
+
+def test_reached_boxes_equal_a_scan_of_all():
+    draw = np.random.default_rng(6)
+    sample = draw.normal(size=(900, 3))
+    tree = neighbours.grow(sample, 100)
+    leaves = np.flatnonzero(tree.box >= 0)
+    data, limits = draw.normal(size=(200, 3)), draw.random(200) * 0.5
+    limits[:3] = [0.0, np.inf, 1e-30]
+    rows, boxes = tree.reached(data, limits, block=17)
+    gap = np.maximum(np.maximum(tree.low[leaves] - data[:, None], data[:, None] - tree.high[leaves]), 0)
+    want = np.argwhere((gap**2).sum(axis=2) <= limits[:, None] * (1 + 1e-9))
+    assert sorted(zip(rows.tolist(), boxes.tolist(), strict=True)) == sorted((int(i), int(tree.box[leaves[j]])) for i, j in want)
+    assert (tree.locate(sample) >= 0).all() and len(leaves) == 100
+
+
+def compared_per_point(spark, n, **how):
+    """How many points each point is compared with after its own box."""
+    points = spark.range(n).select(F.array(*[F.rand(k) for k in (1, 2, 3)]).alias("point"), F.lit(1).cast("bigint").alias("weight"))
+    boxes = neighbours.boxed(stable(points), 3, **how)
+    sizes = boxes.points.groupBy("top", "sub").agg(F.count(F.lit(1)).alias("n"))
+    asked = boxes.reach(neighbours.balls(boxes, 3, 5))
+    return asked.join(sizes, ["top", "sub"]).agg(F.sum("n")).first()[0] / n
+
+
+def test_comparisons_per_point_stay_flat(spark):
+    few = compared_per_point(spark, 10_000, box_rows=256)
+    assert compared_per_point(spark, 80_000, box_rows=256) < 1.6 * few
+    assert compared_per_point(spark, 80_000, box_rows=256, top_boxes=64) < 1.8 * few
 
 
 @pytest.fixture(scope="module")
