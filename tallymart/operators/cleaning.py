@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallymart.functions.defaults import MAX_AMOUNT, PROFILE_MAX_AGE_DAYS, TOP_DAYS, TRANSACTION_MAX_AGE_DAYS
@@ -101,13 +101,57 @@ def cleaning_statistics(df: DataFrame, rules: dict[str, Column], keys: list[str]
     )
 
 
+def clean_and_count(
+    df: DataFrame, rules: dict[str, Column], keys: list[str], order: list[str], path: str, profile: dict[str, Column] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Write the cleaned rows to ``path``; they are returned with their statistics, from one scan of ``df``.
+
+    The statistics are those of ``cleaning_statistics``, and the aggregates ``profile`` of the cleaned rows. They are
+    observed while the rows are written. Tasks of a map stage that run again after a lost executor would be observed
+    twice; that shows, because the reducers count the copies that they collapse. Then the statistics are taken by a pass
+    of their own.
+    """
+    seen, kept = Observation(), Observation()
+    broken = F.coalesce(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in rules.items()], F.lit(""))
+    marked = df.withColumn("_broken", broken)
+    counts = [F.count_if(F.col("_broken") == name).alias(f"removed_{name}") for name in rules]
+    valid = marked.observe(seen, F.count(F.lit(1)).alias("original_count"), *counts, F.count_if(F.col("_broken") == "").alias("_valid"))
+    valid = valid.where("_broken = ''").drop("_broken")
+    others = [c for c in df.columns if c not in keys and c not in order]
+    smallest = F.min(F.struct(*order, *others)).alias("_kept") if order or others else F.lit(None).alias("_kept")
+    grouped = valid.groupBy(*keys).agg(smallest, F.count(F.lit(1)).alias("_copies"))
+    rows = grouped.select(*keys, *[F.col(f"_kept.`{c}`").alias(c) for c in [*order, *others]], "_copies")
+    extra = [value.alias(f"_p_{name}") for name, value in (profile or {}).items()]
+    rows = rows.observe(kept, F.count(F.lit(1)).alias("cleaned_count"), F.coalesce(F.sum("_copies"), F.lit(0)).alias("_met"), *extra)
+    rows.select(*df.columns).write.mode("overwrite").parquet(path)
+    cleaned = df.sparkSession.read.schema(df.schema).parquet(path)
+    before, after = seen.get, kept.get
+    if before["_valid"] != after["_met"] or after["cleaned_count"] != cleaned.count():
+        aside = {n: cleaned.agg(v).scalar() for n, v in (profile or {}).items()}
+        return cleaned, cleaning_statistics(df, rules, keys).withColumns(aside)
+    removed = before["original_count"] - after["cleaned_count"]
+    values = [
+        F.lit(before["original_count"]).cast("bigint").alias("original_count"),
+        *[F.lit(before[f"removed_{name}"]).cast("bigint").alias(f"removed_{name}") for name in rules],
+        F.lit(before["_valid"] - after["cleaned_count"]).cast("bigint").alias("removed_duplicate"),
+        F.lit(after["cleaned_count"]).cast("bigint").alias("cleaned_count"),
+        F.lit(removed).cast("bigint").alias("removed_count"),
+    ]
+    row = df.sparkSession.range(1).select(*values, *[F.lit(after[f"_p_{name}"]).alias(name) for name in profile or {}])
+    return cleaned, row.withColumn("removed_percent", percent(F.col("removed_count"), F.col("original_count")))
+
+
+def amount_aggregates() -> dict[str, Column]:
+    return {
+        "avg_amount": money_avg("tx_amount"),
+        "std_amount": F.stddev_samp("tx_amount"),
+        "min_amount": F.min("tx_amount"),
+        "max_amount": F.max("tx_amount"),
+    }
+
+
 def amount_profile(transactions: DataFrame) -> DataFrame:
-    return transactions.agg(
-        money_avg("tx_amount").alias("avg_amount"),
-        F.stddev_samp("tx_amount").alias("std_amount"),
-        F.min("tx_amount").alias("min_amount"),
-        F.max("tx_amount").alias("max_amount"),
-    )
+    return transactions.agg(*[value.alias(name) for name, value in amount_aggregates().items()])
 
 
 def frequency(df: DataFrame, column: str, limit: int | None = None) -> DataFrame:

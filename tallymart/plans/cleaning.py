@@ -5,7 +5,7 @@ from __future__ import annotations
 from tallymart.operators import cleaning, joins
 from tallymart.plans import sql_parts as q
 from tallymart.plans.registry import query, rounded
-from tallymart.session import stable
+from tallymart.session import scratch_path, stable
 from tallymart.sources import feeds
 
 
@@ -49,36 +49,38 @@ SELECT count(*) AS original_count, {removed},
 FROM verdicts"""
 
 
-@query(
-    _statistics(
-        "raw_tx",
-        "clean_tx",
-        [
-            ("missing_value", "customer_id IS NOT NULL AND tx_amount IS NOT NULL AND tx_date IS NOT NULL"),
-            ("blank_customer", "length(trim(customer_id)) > 0"),
-            ("amount_not_positive", "tx_amount > 0"),
-            ("amount_over_cap", "tx_amount <= 1000000"),
-            ("date_out_of_window", "tx_date BETWEEN (SELECT d FROM as_of) - 1825 AND (SELECT d FROM as_of)"),
-        ],
-    )
+_TX_STATISTICS = _statistics(
+    "raw_tx",
+    "clean_tx",
+    [
+        ("missing_value", "customer_id IS NOT NULL AND tx_amount IS NOT NULL AND tx_date IS NOT NULL"),
+        ("blank_customer", "length(trim(customer_id)) > 0"),
+        ("amount_not_positive", "tx_amount > 0"),
+        ("amount_over_cap", "tx_amount <= 1000000"),
+        ("date_out_of_window", "tx_date BETWEEN (SELECT d FROM as_of) - 1825 AND (SELECT d FROM as_of)"),
+    ],
 )
+
+
+@query(_TX_STATISTICS)
 def transaction_cleaning_stats(t):
     rules = cleaning.transaction_rules(feeds.last_order_day(t))
     return cleaning.cleaning_statistics(feeds.raw_transactions(t), rules, cleaning.TRANSACTION_KEYS)
 
 
-@query(
-    _statistics(
-        "raw_customers",
-        "clean_customers",
-        [
-            ("missing_value", "customer_id IS NOT NULL AND registration_date IS NOT NULL AND region IS NOT NULL"),
-            ("blank_customer", "length(trim(customer_id)) > 0"),
-            ("blank_region", "length(trim(region)) > 0"),
-            ("date_out_of_window", "registration_date BETWEEN (SELECT d FROM as_of) - 3650 AND (SELECT d FROM as_of)"),
-        ],
-    )
+_CUSTOMER_STATISTICS = _statistics(
+    "raw_customers",
+    "clean_customers",
+    [
+        ("missing_value", "customer_id IS NOT NULL AND registration_date IS NOT NULL AND region IS NOT NULL"),
+        ("blank_customer", "length(trim(customer_id)) > 0"),
+        ("blank_region", "length(trim(region)) > 0"),
+        ("date_out_of_window", "registration_date BETWEEN (SELECT d FROM as_of) - 3650 AND (SELECT d FROM as_of)"),
+    ],
 )
+
+
+@query(_CUSTOMER_STATISTICS)
 def customer_cleaning_stats(t):
     rules = cleaning.customer_rules(feeds.last_order_day(t))
     return cleaning.cleaning_statistics(feeds.raw_customers(t), rules, cleaning.CUSTOMER_KEYS)
@@ -92,6 +94,38 @@ def amount_profile(t):
     return rounded(cleaning.amount_profile(clean_tx(t)), 4, "std_amount")
 
 
+def _written_tx(t):
+    rules = cleaning.transaction_rules(feeds.last_order_day(t))
+    path = scratch_path(t.spark, "clean-transactions")
+    return cleaning.clean_and_count(
+        feeds.raw_transactions(t), rules, cleaning.TRANSACTION_KEYS, ["transaction_id"], path, cleaning.amount_aggregates()
+    )
+
+
+_AMOUNTS = """SELECT sum(tx_amount::DECIMAL(18,2))::DOUBLE / count(tx_amount) AS avg_amount,
+  round(stddev_samp(tx_amount), 4) AS std_amount, min(tx_amount) AS min_amount, max(tx_amount) AS max_amount FROM clean_tx"""
+
+
+@query(_TX_STATISTICS.replace("FROM verdicts", f", a.* FROM verdicts, ({_AMOUNTS}) a GROUP BY ALL"))
+def written_transaction_statistics(t):
+    """Statistics and amounts that were observed while the cleaned transactions were written."""
+    return rounded(_written_tx(t)[1], 4, "std_amount")
+
+
+@query(f"WITH {q.CLEAN} SELECT * FROM clean_tx")
+def written_transactions(t):
+    """The rows of the same write."""
+    return _written_tx(t)[0]
+
+
+@query(_CUSTOMER_STATISTICS)
+def written_customer_statistics(t):
+    rules = cleaning.customer_rules(feeds.last_order_day(t))
+    order = ["registration_date", "region"]
+    path = scratch_path(t.spark, "clean-customers")
+    return cleaning.clean_and_count(feeds.raw_customers(t), rules, cleaning.CUSTOMER_KEYS, order, path)[1]
+
+
 @query(f'WITH {q.CLEAN} SELECT region, count(*) AS "count" FROM clean_customers GROUP BY region')
 def region_frequency(t):
     return cleaning.frequency(clean_profiles(t), "region")

@@ -79,6 +79,77 @@ def json_round_trip(t):
     return readers.read_json(t.spark, path, schemas.CUSTOMERS)
 
 
+_C = "c_custkey"
+_GOOD_LINE = f"""'{{"customer_id":' || {_C} || ',"registration_date":"2001-02-03","place":{{"region":"' || r_name || '","visits":[' || {_C} % 5 || ',2]}}}}'"""
+#: SQL of a line by the customer's number: cut off, a text for a date, a text in a nested list, no object, two objects,
+#: and lines that only look odd.
+_LINE = f"""CASE {_C} % 11 WHEN 0 THEN '{{"customer_id":' || {_C} || ',"place":{{"region":'
+  WHEN 1 THEN '{{"customer_id":' || {_C} || ',"registration_date":"never"}}'
+  WHEN 2 THEN '{{"customer_id":' || {_C} || ',"place":{{"region":"x","visits":["two"]}}}}'
+  WHEN 3 THEN '[{{"customer_id":' || {_C} || '}}]'
+  WHEN 4 THEN {_GOOD_LINE} || {_GOOD_LINE}
+  WHEN 5 THEN '  {{"customer_id":' || {_C} || ',"more":"}} {{","place":null}} '
+  ELSE {_GOOD_LINE} END"""
+_LINE_SCHEMA = "customer_id bigint, registration_date date, place struct<region: string, visits: array<int>>"
+
+
+def _json_lines(t):
+    """Customers as JSON lines, every eleventh damaged in one of five ways, and blank lines between them."""
+    path = scratch_path(t.spark, "lines")
+    places = feeds.customer_places(t)
+    lines = places.select(F.expr(_LINE).alias("value")).unionByName(places.select(F.lit(" ").alias("value")))
+    lines.write.text(path)
+    return readers.read_json_lines(t.spark, path, _LINE_SCHEMA)
+
+
+@query(
+    f"""WITH {q.PLACES} SELECT c_custkey AS customer_id, CASE WHEN c_custkey % 11 <> 5 THEN DATE '2001-02-03' END AS registration_date,
+  CASE WHEN c_custkey % 11 <> 5 THEN r_name END AS region, CASE WHEN c_custkey % 11 <> 5 THEN (c_custkey % 5)::INT END AS visits
+FROM places WHERE c_custkey % 11 >= 5"""
+)
+def json_accepted_lines(t):
+    rows = readers.accepted(_json_lines(t))
+    return rows.select("customer_id", "registration_date", "place.region", F.get("place.visits", F.lit(0)).alias("visits"))
+
+
+@query(f"WITH {q.PLACES} SELECT {_LINE} AS line FROM places WHERE c_custkey % 11 < 5")
+def json_rejected_lines(t):
+    """Lines that are no object of the declared types come back as they stand in the file."""
+    return readers.rejected(_json_lines(t)).select(F.col("_corrupt_record").alias("line"))
+
+
+@query(
+    f"""WITH {q.FEATURES} SELECT customer_id, CASE WHEN region IN ('ASIA', 'EUROPE') THEN -total_tx_count ELSE total_tx_count END AS total_tx_count,
+  region FROM features WHERE region IS NULL OR region <> 'EUROPE' OR customer_id::BIGINT % 2 = 0"""
+)
+def region_rerun(t):
+    """Two regions are written again, one of them with half of its rows; the others, NULL among them, keep theirs."""
+    path = scratch_path(t.spark, "regions")
+    table = features(t).select("customer_id", "total_tx_count", "region")
+    writers.write_partitioned(table, path, "region")
+    again = table.where("region = 'ASIA' OR region = 'EUROPE' AND cast(customer_id AS bigint) % 2 = 0")
+    again = again.withColumn("total_tx_count", -F.col("total_tx_count"))
+    writers.write_partitioned(again, path, "region", only_present=True)
+    return readers.read_parquet(t.spark, path)
+
+
+@query(
+    f"""WITH {q.FEATURES}, counts AS (SELECT region, is_churned, count(*) AS "count" FROM features GROUP BY region, is_churned)
+SELECT 'day/1' AS run, *, (SELECT count(*) FROM counts)::BIGINT AS run_rows FROM counts
+UNION ALL SELECT 'day 2', *, (SELECT count(*) FROM counts WHERE is_churned = 1) FROM counts WHERE is_churned = 1"""
+)
+def json_history_runs(t):
+    """A run that is repeated adds nothing, whatever it brings; each row has the rows that its run's manifest states."""
+    path = scratch_path(t.spark, "run-history")
+    counts = churn.region_churn_counts(features(t))
+    writers.append_run(counts, path, "day/1")
+    writers.append_run(counts.where("is_churned = 1"), path, "day 2")
+    writers.append_run(counts.limit(1), path, "day/1")
+    history = readers.read_history(t.spark, path, "region string, is_churned int, count bigint")
+    runs = readers.history_runs(t.spark, path).select("run", F.col("rows").alias("run_rows"))
+    return history.join(runs, "run")
+
+
 @query(
     f"""WITH {q.FEATURES} SELECT region, is_churned, count(*) AS "count", 2::BIGINT AS runs FROM features
 GROUP BY region, is_churned"""

@@ -26,7 +26,7 @@ def last_order_day(t: Tables) -> Column:
     return t.orders.agg(F.max(F.col("o_orderdate").cast("date"))).scalar()
 
 
-def _customer_places(t: Tables) -> DataFrame:
+def customer_places(t: Tables) -> DataFrame:
     """Customers with the names of their nation and region (two small tables Spark broadcasts by size)."""
     nations = t.nation.select("n_nationkey", "n_name", "n_regionkey")
     regions = t.region.select("r_regionkey", "r_name")
@@ -40,7 +40,7 @@ def _registered() -> Column:
 
 
 def clients(t: Tables) -> DataFrame:
-    return _customer_places(t).select(
+    return customer_places(t).select(
         F.col("c_custkey").cast("string").alias("client_id"),
         F.col("c_name").alias("name"),
         F.col("n_name").alias("city"),
@@ -65,7 +65,7 @@ def odd_clients(t: Tables) -> DataFrame:
 
 def shop_orders(t: Tables) -> DataFrame:
     """Orders with the city and tier of the order itself."""
-    places = _customer_places(t).select("c_custkey", "n_name", "c_mktsegment")
+    places = customer_places(t).select("c_custkey", "n_name", "c_mktsegment")
     return t.orders.join(places, F.col("o_custkey") == F.col("c_custkey")).select(
         F.col("o_orderkey").cast("string").alias("order_id"),
         F.col("o_custkey").cast("string").alias("client_id"),
@@ -102,7 +102,7 @@ def transactions(t: Tables) -> DataFrame:
 
 def customers(t: Tables) -> DataFrame:
     """All profiles, one row per customer."""
-    return _customer_places(t).select(
+    return customer_places(t).select(
         F.col("c_custkey").cast("string").alias("customer_id"),
         _registered().alias("registration_date"),
         F.col("r_name").alias("region"),
@@ -226,7 +226,7 @@ def demo_transactions(t: Tables, *wanted: str) -> DataFrame:
     orders = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
     # Orders take on their customer first, so the larger line table is shuffled once, by order.
     if {"region", "city"} & set(names):
-        places = _customer_places(t).select("c_custkey", "c_mktsegment", "n_name", "r_name")
+        places = customer_places(t).select("c_custkey", "c_mktsegment", "n_name", "r_name")
         orders = orders.join(places, F.col("o_custkey") == F.col("c_custkey"))
     elif "segment" in names:
         people = t.customer.select("c_custkey", "c_mktsegment")

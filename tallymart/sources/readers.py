@@ -73,5 +73,42 @@ def read_parquet(spark: SparkSession, path: str, schema: str | None = None) -> D
 
 
 def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """JSON lines with a declared schema."""
+    """JSON lines with a declared schema; what does not fit reads as NULL. ``read_json_lines`` tells such lines apart."""
     return spark.read.schema(_struct(schema)).json(path)
+
+
+#: Two objects on one line. Between objects that are no text, valid JSON has a comma.
+_GLUED = r"\}\s*+\{"
+_TEXTS = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+
+
+def read_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """JSON lines with a declared schema; ``_corrupt_record`` holds a line that does not fit.
+
+    A line fits if it is one JSON object, and whatever declared field it has, at any depth, is of the declared type.
+    Missing fields and explicit nulls read as NULL, further fields are ignored, numbers are texts where a text is
+    declared. Lines are read as texts and parsed in full, so the verdict hangs on all columns, whichever are asked
+    for. What could be read of a bad line stands in its columns. Blank lines are no records. ``accepted`` and
+    ``rejected`` tell the rows apart.
+    """
+    fields = _struct(schema).fields
+    with_line = T.StructType([*fields, T.StructField("_line", T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_line"}  # options also keep the parser from skipping columns
+    lines = spark.read.text(path).select(F.col("value").alias("_text"), F.trim(F.translate("value", "\t\r", "  ")).alias("_bare"))
+    parsed = lines.where("_bare <> ''").withColumn("_record", F.from_json("_text", with_line, options))
+    whole = F.col("_bare").startswith("{") & F.col("_bare").endswith("}")
+    glued = F.col("_bare").rlike(_GLUED) & F.regexp_replace("_bare", _TEXTS, "").rlike(_GLUED)
+    bad = ~whole | glued | F.col("_record._line").isNotNull()
+    values = [F.col(f"_record.`{f.name}`").alias(f.name) for f in fields]
+    return parsed.select(*values, F.when(bad, F.col("_text")).alias("_corrupt_record"))
+
+
+def read_history(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The rows of all finished runs of a history written by ``append_run``, with ``run``."""
+    fields = T.StructType([*_struct(schema).fields, T.StructField("run", T.StringType())])
+    return spark.read.schema(fields).json(path)
+
+
+def history_runs(spark: SparkSession, path: str) -> DataFrame:
+    """The manifests of a history: run, rows, columns."""
+    return spark.read.schema("run string, rows bigint, columns array<string>").option("pathGlobFilter", "manifest.json").json(f"{path}/run=*/_manifest")

@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tallymart.operators import cleaning
+from tallymart.session import stable
 from tallymart.sources import feeds
 
 END = dt.date(2001, 8, 1)
@@ -91,3 +92,30 @@ def test_a_future_date_does_not_become_today(spark):
         cleaning.clean_transactions(raw)
     people = spark.createDataFrame([("a", END, "X"), ("b", dt.date(2099, 1, 1), "X")], "customer_id string, registration_date date, region string")
     assert [r["customer_id"] for r in cleaning.clean_customers(people, END).collect()] == ["a"]
+
+
+@pytest.mark.parametrize("again", [False, True])
+def test_statistics_of_one_write(spark, tables, tmp_path, monkeypatch, again):
+    """As by separate passes; also if tasks that ran twice were observed twice."""
+    raw, end = stable(feeds.raw_transactions(tables)), feeds.last_order_day(tables)
+    rules = cleaning.transaction_rules(end)
+    if again:
+        observed = cleaning.Observation.get.fget
+        twice = lambda self: {k: v + 1 if k == "_valid" else v for k, v in observed(self).items()}
+        monkeypatch.setattr(cleaning.Observation, "get", property(twice))
+    rows, found = cleaning.clean_and_count(
+        raw, rules, cleaning.TRANSACTION_KEYS, ["transaction_id"], str(tmp_path / "rows"), cleaning.amount_aggregates()
+    )
+    wanted = cleaning.clean_transactions(raw, end)
+    assert rows.exceptAll(wanted).isEmpty() and wanted.exceptAll(rows).isEmpty()
+    apart = {**cleaning.cleaning_statistics(raw, rules, cleaning.TRANSACTION_KEYS).first().asDict(), **cleaning.amount_profile(wanted).first().asDict()}
+    assert found.first().asDict() == pytest.approx(apart)
+
+
+def test_one_write_of_nothing(spark, tables, tmp_path):
+    rules = cleaning.customer_rules(feeds.last_order_day(tables))
+    rows, found = cleaning.clean_and_count(
+        feeds.raw_customers(tables).limit(0), rules, cleaning.CUSTOMER_KEYS, ["registration_date", "region"], str(tmp_path / "rows")
+    )
+    assert rows.count() == 0
+    assert found.first()["original_count"] == 0 and found.first()["removed_percent"] is None

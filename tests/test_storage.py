@@ -2,6 +2,7 @@ import datetime as dt
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from tallymart.operators import churn, marts
 from tallymart.session import scratch_path, shared_dir, stable
@@ -59,6 +60,89 @@ def test_json_round_trip(spark, tmp_path):
     assert sorted(tuple(r) for r in readers.read_json(spark, path, schemas.CUSTOMERS).collect()) == rows
 
 
+NESTED = "a bigint, b string, d date, n struct<k: int, t: array<string>>"
+
+
+def json_file(tmp_path, *lines):
+    path = tmp_path / "lines.json"
+    path.write_text("\n".join(lines))
+    return str(path)
+
+
+def test_json_lines_that_fit(spark, tmp_path):
+    good = [
+        '{"a":1,"b":"x","d":"2024-01-02","n":{"k":1,"t":["p"]}}',
+        '{"a":5,"b":7,"extra":{"a":"no"}}',
+        "  {}\t",
+        '{"a":null,"n":null}',
+        '{"b":"}  {","a":3}',
+        '{"b":"\\" } {"}',
+        '{"x":[{},{"y":{}}]}',
+        "",
+        "   ",
+    ]
+    rows = readers.read_json_lines(spark, json_file(tmp_path, *good), NESTED)
+    assert readers.rejected(rows).count() == 0
+    assert [r["a"] for r in readers.accepted(rows).collect()] == [1, 5, None, None, 3, None, None]
+
+
+@pytest.mark.parametrize(
+    "line",
+    [
+        '{"a":"no","b":"x"}', '{"a":1.5}', '{"a":99999999999999999999}', '{"d":"2024-13-45"}', '{"n":{"k":"bad","t":["p"]}}', '{"n":7}',
+        '{"n":{"t":"p"}}', '{"a":4', "[1,2]", '"text"', "null", "7", '[{"a":8}]', '{"a":9} trailing', '{"a":9}{"a":8}', '{"a":9} {"b":"}"}', "text",
+    ],
+)
+def test_json_lines_that_do_not_fit(spark, tmp_path, line):
+    rows = readers.read_json_lines(spark, json_file(tmp_path, '{"a":1}', line, '{"a":2}'), NESTED)
+    assert [r["_corrupt_record"] for r in readers.rejected(rows).collect()] == [line]
+    # the verdict does not hang on the columns asked for
+    assert [r["b"] for r in readers.accepted(rows).select("b").collect()] == [None, None]
+    assert readers.accepted(rows).count() == 2 and readers.rejected(rows).select("n").count() == 1
+
+
+def test_long_texts_in_json_lines(spark, tmp_path):
+    path = json_file(tmp_path, '{"b":"' + '\\\\ } {' * 100_000 + '"}', '{"b":"' + "x" * 1_000_000 + '"}{}')
+    rows = readers.read_json_lines(spark, path, NESTED)
+    assert (readers.accepted(rows).count(), readers.rejected(rows).count()) == (1, 1)
+
+
+def test_rerun_of_the_null_region(spark, tmp_path):
+    path = str(tmp_path / "regions")
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "v int, region string")
+    writers.write_partitioned(rows, path)
+    writers.write_partitioned(rows.where("region IS NULL").withColumn("v", -F.col("v")), path, only_present=True)
+    assert sorted(map(tuple, readers.read_parquet(spark, path).collect()), key=str) == [(-3, None), (1, "a"), (2, "b")]
+    writers.write_partitioned(rows.where("v = 1"), path)
+    assert readers.read_parquet(spark, path).count() == 1
+
+
+def test_history_takes_a_run_once(spark, tmp_path):
+    path = str(tmp_path / "history")
+    rows = spark.createDataFrame([(1, "a"), (2, None)], "v int, w string")
+    assert writers.append_run(rows, path, "2024-01-01/x y%")
+    assert not writers.append_run(rows, path, "2024-01-01/x y%")
+    assert writers.append_run(rows.limit(0), path, "empty")
+    broken = rows.withColumn("w", F.raise_error(F.lit("lost")))
+    with pytest.raises(Exception, match="lost"):
+        writers.append_run(broken, path, "late")
+    assert writers.append_run(rows.limit(1), path, "late")
+    found = readers.read_history(spark, path, "v int, w string")
+    assert sorted(map(tuple, found.select("v", "w", "run").collect())) == [(1, "a", "2024-01-01/x y%"), (1, "a", "late"), (2, None, "2024-01-01/x y%")]
+    assert {r["run"]: r["rows"] for r in readers.history_runs(spark, path).collect()} == {"2024-01-01/x y%": 2, "empty": 0, "late": 1}
+
+
+def test_two_jobs_of_one_run(spark, tmp_path):
+    """The second finds the folder taken when it is ready, and leaves nothing."""
+    path, paths = str(tmp_path / "history"), spark._jvm.org.apache.hadoop.fs
+    rows = spark.createDataFrame([(1,)], "v int")
+    assert writers.append_run(rows, path, "r")
+    rows.write.json(f"{path}/_attempts/other")
+    assert not writers._moved(spark, paths.Path(f"{path}/_attempts/other"), paths.Path(f"{path}/run=r"))
+    assert readers.read_history(spark, path, "v int").count() == 1
+    assert not (tmp_path / "history" / "_attempts" / "other").exists()
+
+
 def test_document_is_one_file(spark, tmp_path):
     path = tmp_path / "doc"
     writers.write_document(spark.createDataFrame([("text",)], "content string").repartition(4), str(path))
