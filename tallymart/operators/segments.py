@@ -3,20 +3,26 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from math import ceil
+from functools import reduce
+from operator import add
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymart.functions.defaults import CLUSTERS, RESTARTS, SEED
+from tallymart.functions.hashing import key_hash
 from tallymart.functions.rules import existing
 from tallymart.operators.risk import SEGMENT_FEATURES
-from tallymart.session import in_parallel, stable
+from tallymart.session import stable
 
-ROWS_PER_TASK = 250_000
+#: Rows from which the starts are made; the driver holds no more.
+SAMPLE = 20_000
 
 
 @dataclass
@@ -62,22 +68,77 @@ def _filled(df: DataFrame, names: list[str]) -> DataFrame:
     return df.withColumns({f"_{n}": F.coalesce(F.col(n).cast("double"), F.lit(0.0)) for n in names})
 
 
+def _spread(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distance of every point to every centre."""
+    return ((points[:, None, :] - centres[None, :, :]) ** 2).sum(axis=2)
+
+
+def start_of(points: np.ndarray, clusters: int, draw: np.random.Generator, steps: int = 100) -> tuple[float, np.ndarray]:
+    """Cost and centres of one run on a sample: k-means++ draws centres far apart, a few steps settle them."""
+    centres = points[[draw.integers(len(points))]]
+    while len(centres) < clusters:
+        away = _spread(points, centres).min(axis=1)
+        if not away.any():
+            break  # fewer different points than clusters
+        centres = np.vstack([centres, points[draw.choice(len(points), p=away / away.sum())]])
+    for _ in range(steps):
+        nearest = _spread(points, centres).argmin(axis=1)
+        held = np.bincount(nearest, minlength=len(centres))
+        sums = np.column_stack([np.bincount(nearest, points[:, c], len(centres)) for c in range(points.shape[1])])
+        moved = np.where(held[:, None] > 0, sums / np.maximum(held, 1)[:, None], centres)
+        if np.array_equal(moved, centres):
+            break
+        centres = moved
+    return float(_spread(points, centres).min(axis=1).sum()), centres
+
+
+def settled(points: DataFrame, centres: np.ndarray, max_iter: int = 300, tolerance: float = 1e-4) -> np.ndarray:
+    """The centres of all points (an array column ``point``) after as many steps as they move; one aggregation a step.
+
+    Centres are rounded to twelve digits, so that the order in which tasks add up does not show.
+    """
+    axes = range(centres.shape[1])
+    for _ in range(max_iter):
+        away = [reduce(add, [(F.get("point", F.lit(i)) - float(c[i])) ** 2 for i in axes]) for c in centres]
+        nearest = F.array_position(F.array(*away), F.array_min(F.array(*away))).cast("int") - 1
+        means = [F.avg(F.get("point", F.lit(i))).alias(f"m{i}") for i in axes]
+        found = points.select("point", nearest.alias("nearest")).groupBy("nearest").agg(*means).collect()
+        moved = centres.copy()
+        for row in found:
+            moved[row["nearest"]] = [round(row[f"m{i}"], 12) for i in axes]
+        far = ((moved - centres) ** 2).sum(axis=1).max()
+        centres = moved
+        if far <= tolerance**2:
+            break
+    return centres
+
+
+def model_of(centres: np.ndarray, spark: SparkSession) -> KMeansModel:
+    """A k-means model with these centres: fitted on nothing but them, each is a cluster of its own."""
+    rows = spark.createDataFrame([(Vectors.dense(c),) for c in centres.tolist()], ["_scaled"]).coalesce(1)
+    return KMeans(featuresCol="_scaled", predictionCol="_found", k=len(centres), initMode="random", maxIter=1, seed=1).fit(rows)
+
+
 def fit_segments(
     base: DataFrame,
     clusters: int = CLUSTERS,
     features: list[str] | None = None,
     restarts: int = RESTARTS,
     seed: int = SEED,
-    threads: int = 4,
+    sample: int = SAMPLE,
 ) -> SegmentModel:
-    """K-means on the standardised features, the best of ``restarts`` runs, ``threads`` at a time.
+    """K-means on the standardised features; the best of ``restarts`` starts is settled on all rows.
 
-    Segments are numbered by the centre's spending, so the numbers do not depend on the run. Rescaling all
-    features by one factor leaves the clusters as they are, so the sample deviation serves as well as the
-    population deviation.
+    Starts are made by k-means++ on a bounded sample, the ``sample`` rows whose keys have the smallest hashes, so
+    they follow from the rows and the seed, whatever the layout. With no more rows than that the sample is all of
+    them, and the result is the best of ``restarts`` whole runs. Segments are numbered by the centre's spending, so
+    the numbers do not depend on the run. Rescaling all features by one factor leaves the clusters as they are, so
+    the sample deviation serves as well as the population deviation.
     """
-    names = existing(base, features or SEGMENT_FEATURES)
+    spark, names = base.sparkSession, existing(base, features or SEGMENT_FEATURES)
     rows = stable(base.select("customer_id", *names))
+    if rows.isEmpty():
+        raise ValueError("there are no rows to fit segments on")
     filled = _filled(rows, names)
     scaling = Pipeline(
         stages=[
@@ -85,21 +146,17 @@ def fit_segments(
             StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True, withStd=True),
         ]
     ).fit(filled)
-    # K-means draws its first centres per partition, in row order: the layout must follow from the rows alone.
-    parts = max(1, ceil(rows.count() / ROWS_PER_TASK))
-    laid_out = scaling.transform(filled).select("customer_id", "_scaled").repartition(parts, "customer_id")
-    points = stable(laid_out.sortWithinPartitions("customer_id").select("_scaled")).persist()
-
-    def fit(run: int):
-        means = KMeans(featuresCol="_scaled", predictionCol="_found", k=clusters, maxIter=300, seed=seed + run)
-        return means.fit(points)
-
+    scaled = scaling.transform(filled).select(key_hash("customer_id", seed).alias("hash"), vector_to_array("_scaled").alias("point"))
+    points = stable(scaled)
+    first = np.array([r["point"] for r in points.orderBy("hash", "point").limit(sample).collect()])
+    starts = [start_of(first, clusters, np.random.default_rng([seed, run])) for run in range(restarts)]
+    best = min(starts, key=lambda start: start[0])[1]
+    held = points.select("point").persist()
     try:
-        runs = in_parallel(base.sparkSession, fit, restarts, threads)
+        centres = settled(held, np.round(best, 12))
     finally:
-        points.unpersist()
-    best = min(runs, key=lambda run: run.summary.trainingCost)
-    return SegmentModel(PipelineModel([*scaling.stages, best]), names)
+        held.unpersist()
+    return SegmentModel(PipelineModel([*scaling.stages, model_of(centres, spark)]), names)
 
 
 def customer_segments(base: DataFrame, *args, **params) -> DataFrame:

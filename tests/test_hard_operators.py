@@ -205,6 +205,42 @@ def test_segments_do_not_depend_on_partitioning(base):
     assert run(1) == run(4) == run(16)
 
 
+def blobs(spark, rows, parts):
+    """Three clouds of customers, the third of them hot."""
+    centre = F.expr("case when id % 5 = 0 then 1000 when id % 5 = 1 then 200 else 10 end")
+    noise = lambda k: (F.pmod(F.xxhash64("id", F.lit(k)), F.lit(1000)) - 500) / 500
+    cells = [(centre * (k + 1) + noise(k) * 40).alias(c) for k, c in enumerate(risk.SEGMENT_FEATURES)]
+    return spark.range(rows).repartition(parts).select(F.col("id").cast("string").alias("customer_id"), *cells)
+
+
+def test_segments_around_a_quarter_million_rows(spark):
+    """Neither the layout nor a few rows more or less change the start."""
+    runs = []
+    for rows, parts in ((249_990, 1), (250_010, 4), (250_010, 16)):
+        found = segments.customer_segments(blobs(spark, rows, parts), restarts=3)
+        runs.append(found.where("cast(customer_id AS bigint) < 249990").agg(F.bit_xor(F.xxhash64("customer_id", "cluster")), F.count_distinct("cluster")).first())
+    assert runs[0] == runs[1] == runs[2] and runs[0][1] == 3
+
+
+def test_settled_centres_equal_a_run_in_memory(spark):
+    draw = np.random.default_rng(8)
+    points = np.vstack([draw.normal(c, 1, (200, 2)) for c in (0, 6, 13)])
+    cost, centres = segments.start_of(points, 3, np.random.default_rng(1))
+    rows = spark.createDataFrame([(p.tolist(),) for p in points], "point array<double>")
+    again = segments.settled(rows, points[:3].copy())
+    assert cost == pytest.approx(sum(((points[k * 200 : k * 200 + 200] - points[k * 200 : k * 200 + 200].mean(axis=0)) ** 2).sum() for k in range(3)), rel=0.05)
+    assert np.sort(again, axis=0) == pytest.approx(np.sort(centres, axis=0), abs=0.2)
+    model = segments.model_of(centres, spark)
+    assert sorted(map(tuple, model.clusterCenters())) == sorted(map(tuple, centres))
+
+
+def test_fewer_customers_than_segments(spark):
+    rows = blobs(spark, 2, 1)
+    assert segments.customer_segments(rows, restarts=2).select("cluster").distinct().count() == 2
+    with pytest.raises(ValueError, match="no rows"):
+        segments.fit_segments(rows.limit(0))
+
+
 def test_segment_model_scores_new_rows(base, spark, tmp_path):
     model = segments.fit_segments(base, restarts=2)
     model.save(str(tmp_path / "segments"))
