@@ -5,13 +5,14 @@ them. A sequence of tokens is the encoding of its bytes exactly if all its neigh
 of a prefix is the one vocabulary token that ends the prefix and stays apart from the last token of what comes
 before it, and a whole encoding is read off last tokens from right to left.
 
-Distinct words are inserted into a trie in byte order, which is depth-first order. A new node gets its last token
-from the nodes above it; a node that is there already, for a prefix shared with another word, is never worked out
-again. Tokens come from the vocabulary, the ranks of merges and this recurrence alone; the tokenizer library only
-splits texts that hold rarely used scripts into words.
-
-Scale: a map over the scan, nothing is shuffled. A worker keeps one trie and one memo of words from task to task,
-both bounded; when they are full they start anew, which costs time and changes nothing. Long texts are cut where a
+Distinct words are inserted into a trie in byte order, which is the order of a depth-first traversal, so of the trie
+no more is held than the path to the current word. A node gets its last token from the nodes above it; the nodes of
+a prefix shared with the word before are still on the path and are never worked out again. Tokens come from the
+vocabulary, the ranks of merges and this recurrence alone; the tokenizer library only splits texts that hold rarely
+used scripts into words.
+
+Scale: a map over the scan, nothing is shuffled. A worker keeps a bounded memo of words from task to task; when it is
+full it starts anew, which costs time and changes nothing. Long texts are cut where a
 single space stands between two characters that are no white space, where a word always begins.
 """
 
@@ -30,13 +31,11 @@ from pyspark.sql import DataFrame
 
 from tallymart.llm.units import tokenizer
 
-#: Words and trie nodes a worker remembers, and pairs of tokens.
-WORDS, NODES, PAIRS = 400_000, 1_000_000, 1_000_000
-#: Words of more bytes than this share no nodes.
-SHARED = 512
+#: Words a worker remembers per generation, and pairs of tokens.
+WORDS, PAIRS = 600_000, 1_000_000
 #: Characters of text whose words are looked up together, and at which a long text is cut.
-GROUP, PART = 2_000_000, 65_536
-SLICE = 1024
+GROUP, PART = 4_000_000, 65_536
+SLICE = 2048
 BOUNDARY = re.compile(r"(?<=\S) (?=\S)")
 #: Fixed value: how a byte-level tokenizer cuts a text into words.
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -84,7 +83,11 @@ class Vocabulary:
             self.merge[ids[a] << 32 | ids[b]] = rank
         self.known: dict[int, bool] = {}
         self.ids = {self.bytes[n]: n for n in self.genuine(ids.values())}
-        self.longest = max(map(len, self.ids))
+        # Of the tokens of four bytes or more that end in the same four bytes, the longest.
+        self.longest: dict[bytes, int] = {}
+        for token in sorted(self.ids, key=len):
+            if len(token) > 3:
+                self.longest[token[-4:]] = len(token)
 
     def uncrossed(self, a: int, b: int, limit: int) -> bool:
         """Whether no merge of rank below ``limit`` crosses the border of a and b while they are still being merged.
@@ -129,51 +132,54 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 class Trie:
-    """Nodes are prefixes of words; each holds the last token of its encoding."""
+    """Nodes are prefixes of words; each has the last token of its encoding. Held is the path to the current word."""
 
     def __init__(self, tokens: Vocabulary) -> None:
         self.tokens = tokens
-        self.child: dict[int, int] = {}
-        self.last = array("i", [-1])
-
-    def final(self, word: bytes, end: int, before: list[int] | array) -> int:
-        """The last token of ``word[:end]``, where ``before[d]`` is that of ``word[:d]``."""
-        ids, apart = self.tokens.ids, self.tokens.apart
-        for start in range(max(0, end - self.tokens.longest), end):
-            t = ids.get(word[start:end])
-            if t is not None and (not start or apart(before[start], t)):
-                return t
-        raise ValueError("the vocabulary lacks a byte")
-
-    def chain(self, word: bytes) -> list[int]:
-        """Last tokens of all prefixes of a word, along its path in the trie; new nodes are worked out."""
-        if len(word) > SHARED:
-            found = array("i", [-1])
-            for end in range(1, len(word) + 1):
-                found.append(self.final(word, end, found))
-            return found
-        child, last, node, found = self.child, self.last, 0, [-1]
-        for end, byte in enumerate(word, 1):
-            key = node << 8 | byte
-            node = child.get(key, 0)
-            if not node:
-                t = self.final(word, end, found)
-                node = child[key] = len(last)
-                last.append(t)
-            found.append(last[node])
-        return found
+        self.word, self.path = b"", [-1]
+
+    def extend(self, word: bytes, shared: int) -> None:
+        """Add the nodes of ``word`` below its first ``shared`` bytes, whose nodes are on the path."""
+        path, ids, longest, known = self.path, self.tokens.ids, self.tokens.longest, self.tokens.known
+        for end in range(shared + 1, len(word) + 1):
+            span = longest.get(word[end - 4 : end], 3) if end > 3 else end
+            for start in range(end - span if span < end else 0, end):
+                t = ids.get(word[start:end])
+                if t is None:
+                    continue
+                if not start:
+                    break
+                apart = known.get(path[start] << 32 | t)
+                if apart or apart is None and self.tokens.apart(path[start], t):
+                    break
+            else:
+                raise ValueError("the vocabulary lacks a byte")
+            path.append(t)
+
+    def descend(self, word: bytes) -> list[int]:
+        """The path to a word that is not before the current one: shared nodes stay, new ones are worked out."""
+        shared = 0
+        for x, y in zip(self.word, word, strict=False):
+            if x != y:
+                break
+            shared += 1
+        del self.path[shared + 1 :]
+        self.extend(word, shared)
+        self.word = word
+        return self.path
 
     def insert(self, words: Iterable[bytes]) -> Iterator[tuple[bytes, list[int]]]:
         """Encodings of words, in byte order."""
         size = self.tokens.size
+        self.word, self.path = b"", [-1]
         for word in sorted(words):
-            if len(self.last) > NODES:
-                self.child, self.last = {}, array("i", [-1])
-            found, ids, end = self.chain(word), [], len(word)
+            path, ids, end = self.descend(word), [], len(word)
             while end:
-                ids.append(found[end])
-                end -= size[found[end]]
+                t = path[end]
+                ids.append(t)
+                end -= size[t]
             yield word, ids[::-1]
+        self.word, self.path = b"", [-1]
 
 
 class Encoder:

@@ -70,9 +70,8 @@ def test_neighbours_stay_apart_as_the_library_says():
 
 def test_shared_prefixes_are_worked_out_once():
     trie = prefix_bpe.Trie(prefix_bpe.vocabulary(PATH))
-    asked = []
-    final = trie.final
-    trie.final = lambda word, end, before: asked.append(word[:end]) or final(word, end, before)
+    asked, extend = [], trie.extend
+    trie.extend = lambda word, shared: asked.extend(word[:k] for k in range(shared + 1, len(word) + 1)) or extend(word, shared)
     words = [w.encode() for w in ("inter", "internal", "internet", "interne", "in", "external", "internet")]
     assert {w: ids for w, ids in trie.insert(words)} == {w: library(w.decode()) for w in words}
     assert len(asked) == len(set(asked)) == len({w[:k] for w in words for k in range(1, len(w) + 1)})
@@ -80,7 +79,6 @@ def test_shared_prefixes_are_worked_out_once():
 
 def test_full_memories_change_nothing(monkeypatch):
     texts = [text_of(k, 300, 3000) for k in range(40)]
-    monkeypatch.setattr(prefix_bpe, "NODES", 50)
     monkeypatch.setattr(prefix_bpe, "WORDS", 20)
     monkeypatch.setattr(prefix_bpe, "GROUP", 100)
     monkeypatch.setattr(prefix_bpe, "PART", 64)
