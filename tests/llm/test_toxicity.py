@@ -11,7 +11,7 @@ from tallymart.llm.toxicity import Toxicity
 
 @pytest.fixture(scope="module")
 def scored(spark):
-    folder = "/root/testdata/sf0.01"
+    folder = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
     return toxicity.toxic_report(docs, labels).toPandas(), labels.toPandas()
 
@@ -22,8 +22,8 @@ def test_held_out_accuracy(scored):
     rows = rows[rows.held_out]
     clean, bad = rows[rows.toxic == 0], rows[rows.toxic == 1]
     assert clean.predicted.mean() <= 0.02
-    assert bad.predicted.mean() >= 0.4  # many toxic labels stand on texts without any telling word
-    assert bad.score.mean() > clean.score.mean() + 0.3
+    assert bad.predicted.mean() >= 0.6  # some toxic labels stand on texts whose words were replaced
+    assert bad.score.mean() > clean.score.mean() + 0.5
 
 
 def test_fold_and_threshold(scored):
@@ -52,6 +52,37 @@ def test_planted_words_raise_the_score(spark):
     assert score[1002] < 0.7
 
 
+def test_stems_and_rare_insults_are_telling():
+    r = random.Random(3)
+    plain = lambda n: ["".join(r.choice(["er", "on", "th", "in", "ble"]) for _ in range(r.randint(1, 4))) for _ in range(n)]
+    toxic, ordinary = [plain(60) for _ in range(400)], [plain(60) for _ in range(1200)]
+    for k, words in enumerate(toxic):
+        if k < 200:
+            words[r.randrange(60)] = "vilesome"
+        if k % 13 == 0:
+            words[r.randrange(60)] = "grubface"  # rare beside the other
+        if k >= 200:  # never the same form
+            words[r.randrange(60)] = "muckish" + "".join(r.choice("abcdefgh") for _ in range(6))
+    found = toxicity.telling(toxic, ordinary, 0.01)
+    assert {"vilesome", "grubface", "muckish"} <= found
+    assert all(p[:4] in ("vile", "grub", "muck") for p in found)
+    # Copies of one text are one context.
+    copies = [*toxic, *[["lonely", *toxic[0]]] * 300]
+    assert "lonely" not in toxicity.telling(copies, ordinary, 0.01)
+
+
+def test_features_of_windows():
+    """Lengths are the library's own, window by window."""
+    front, plain = b" vilesome grubface ", b" the thing on the other "
+    ordinary, toxic = (toxicity.compressor(f + plain, 12) for f in (bytes(len(front)), front))
+    words = ("the thing vilesome on the other " * 3 + "thing on the other the the " * 5).split()
+    saved = [len(ordinary(w)) - len(toxic(w)) for w in toxicity.windows(words, 6)]
+    found = toxicity.gains(words, ordinary, toxic, 6)
+    assert sum(x >= 3 for x in saved) == 3
+    assert found[1] == 3 / (len(saved) + 3) and found[4:] == [float(min(x, 5)) for x in sorted(saved)[:-4:-1]]
+    assert toxicity.gains([], ordinary, toxic, 6)[:3] == [0.0, 0.0, 0.0]
+
+
 def test_one_class_only_scores_nothing(spark):
     frame = docs_frame(spark, [(i, "some text", "en", "a") for i in range(9)])
     label = spark.createDataFrame([(i, 1, 0) for i in range(9)], "doc_id bigint, quality int, toxic int")
