@@ -32,14 +32,14 @@ from math import exp, lgamma, log
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.llm.native import same
 from tallymart.session import stable
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
-MEMO = 500_000
+MEMO = 200_000
 SLICE = 256
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -55,8 +55,8 @@ class Near:
     batch: int = 30
     miss: float = 1e-6
     small: int = 16
-    block: int = 2048
-    block_bytes: int = 1 << 25
+    block: int = 1024
+    block_bytes: int = 1 << 23
     long_hashes: int = 640
 
     @property
@@ -211,7 +211,7 @@ class Overlaps:
         if len(others) < 64:
             shared = np.array([np.count_nonzero(self.mark[self.columns[self.start[y] : self.end[y]]]) for y in others], np.int64)
         else:
-            upto = np.concatenate(([0], np.cumsum(self.mark[self.columns])))
+            upto = np.concatenate(([0], np.cumsum(self.mark[self.columns], dtype=np.int32)))
             shared = upto[self.end[others]] - upto[self.start[others]]
         self.mark[own] = False
         return shared
@@ -319,7 +319,6 @@ def components(links: DataFrame) -> DataFrame:
         both = edges.union(edges.select("b", "a")).toDF("u", "v")
         least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
-        large = stable(large)
         rows = large.join(large.groupBy("u").agg(F.min("v").alias("m")), "u")
         small = rows.select("u", "m").union(rows.where("v != m").select("v", "m")).toDF("a", "b").distinct()
         edges = stable(small)
@@ -362,19 +361,31 @@ def texts_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
 
 
 def split_links(held: DataFrame, groups: DataFrame, classes: DataFrame, docs: DataFrame, near: Near) -> DataFrame:
-    """Links across components of large buckets, a spanning forest of each block, stored."""
+    """Links across components of large buckets, a spanning forest of each pair of blocks, stored.
+
+    Members of a bucket's main component need not be compared with each other. So blocks of the others meet all
+    blocks, and the main component is copied once per block of the others, not once per block of its own.
+    """
     many = held.where(F.col("members") > near.small).join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
     many = stable(many)
-    split = many.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("key")
-    rows = stable(many.join(split, "key"))
+    sizes = many.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    split = sizes.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count(F.lit(1)).alias("roots"))
+    rows = stable(many.join(split.where("roots > 1").drop("roots"), "key").withColumn("outside", F.col("root") != F.col("main")))
     nodes = stable(rows.select("node").distinct())
     signed = texts_of(nodes, classes, docs).mapInArrow(long_signer(near), "node binary, codes binary, signature binary, hashes binary")
     signed = signed.join(nodes, "node", "left_semi").dropDuplicates(["node"])
     signed = stable(signed.join(classes.select("node", "n_shingles"), "node"))
-    room = rows.join(classes.select("node", "n_shingles"), "node").groupBy("key")
-    room = room.agg(F.ceil(F.greatest(F.count(F.lit(1)) / near.block, 8 * F.sum("n_shingles") / near.block_bytes)).alias("blocks"))
+
+    def blocks(held: Column) -> Column:
+        return F.ceil(F.greatest(F.count_if(held) / near.block, 8 * F.sum(F.when(held, F.col("n_shingles"))) / near.block_bytes))
+
+    outside = F.col("outside")
+    room = rows.join(classes.select("node", "n_shingles"), "node").groupBy("key").agg(blocks(outside).alias("others"), blocks(~outside).alias("mains"))
     rows = rows.join(signed, "node").join(room, "key")
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), "blocks")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    spread = F.xxhash64("node")
+    own = F.when(outside, F.pmod(spread, "others")).otherwise(F.col("others") + F.pmod(spread, "mains"))
+    upto = F.when(outside, F.col("others") + F.col("mains")).otherwise(F.col("others"))
+    rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), upto - 1)))
     rows = rows.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
     fields = ["key", "band", "i", "j", "own", "node", "root", "n_shingles", "codes", "signature", "hashes"]
     return stable(rows.select(*fields).groupBy("key", "i", "j").applyInPandas(across(near), PAIR).distinct())
