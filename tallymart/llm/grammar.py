@@ -3,10 +3,14 @@
 Documents are encoded by a public tokenizer, each followed by an end id, and written in ascending id order as blocks
 of about a million ids. A block's grammar comes from Re-Pair in rounds: all pairs of neighbours are counted, the
 frequent ones become nonterminals, and every occurrence that no more frequent pair overlaps is replaced; rounds
-repeat until little is gained. A block stores the shortened sequence, the rules (two symbols each) and every rule's
-expansion length, so that any stretch of ids is decoded from the few symbols that cover it.
+repeat until one shortens the sequence by less than three percent, so a symbol may stand for as long a passage as
+repeats. A pair is frequent if it occurs four times and in 1/65,536 of all places. A block stores the shortened
+sequence, the rules (two symbols each) and every rule's expansion length, so that any stretch of ids is decoded from
+the few symbols that cover it.
 
-The files are Parquet: a row per block, written by Spark's committer, so a lost executor costs a task and no more.
+The files are Parquet: a row and a row group per block, written by Spark's committer, so a lost executor costs a task
+and no more. ``read_documents`` looks ids up in the narrow columns, reads the blocks that hold them and decodes
+nothing but the symbols that cover them.
 
 Scale: encoding is a map; the encoded rows are stored once, because a range partitioning reads them twice, and
 shuffled once by (id, hash), so that a repeated id is spread as well. A task holds one block at a time.
@@ -16,7 +20,9 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 from itertools import chain
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -32,16 +38,18 @@ from tallymart.session import scratch_path, stable
 BLOCK = 1 << 20
 SLICE = 256
 TABLE = 18
+#: Bytes of a row group: no more than one block, so that blocks are skipped by their numbers.
+ROW_GROUP = 1 << 20
+#: Blocks that are asked for by number; more are joined.
+NAMED = 2000
 NEVER = np.int32(2**31 - 1)
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def repair(ids: np.ndarray, first: int, rounds: int = 10, least: int = 4, enough: float = 0.97) -> tuple[np.ndarray, np.ndarray]:
+def repair(ids: np.ndarray, first: int, least: int = 4, enough: float = 0.97) -> tuple[np.ndarray, np.ndarray]:
     """The shortened sequence and the rules (n x 2); nonterminals count up from ``first``, above every id."""
     s, rules, number = ids.astype(np.int64), [], first
-    for _ in range(rounds):
-        if len(s) < 2 * least:
-            break
+    while len(s) >= 2 * least:
         pair = (s[:-1] << 32) | s[1:]
         cell = ((pair.view(np.uint64) * SPREAD) >> np.uint64(64 - TABLE)).astype(np.int64)
         # One pair stands for each cell of the table, so counts are exact; others of the cell wait for a later round.
@@ -195,7 +203,7 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int = 1) -> No
     ordered = keyed.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "ids").select("doc_id", "ids")
     fields = f"doc_ids array<{kind.simpleString()}>, lengths array<int>, n_ids bigint, first_rule int, width string"
     blocks = ordered.mapInArrow(packed(first_rule, to_arrow_type(kind), width), f"part int, block int, {fields}, rules binary, rule_lengths binary, sequence binary")
-    blocks.write.parquet(path)
+    blocks.write.option("parquet.block.size", ROW_GROUP).parquet(path)
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,7 +221,10 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, start (ids of all documents before it), n_tokens, ids_crc32, decoded from the files."""
+    """doc_id, start (ids of all documents before it), n_tokens, ids_crc32, decoded from the files.
+
+    Positions come from a running sum over the parts, a row each, and one inside each part, a row per block.
+    """
     blocks = spark.read.parquet(path)
     kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
     sizes = blocks.select("part", "block", "n_ids")
@@ -227,6 +238,45 @@ def read_report(spark: SparkSession, path: str) -> DataFrame:
     return rows.mapInArrow(_read, f"doc_id {kind}, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
+def _covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for k in range(batch.num_rows):
+            first, width, rules, lengths, s, asked = (batch.column(i)[k].as_py() for i in range(6))
+            rules, s = (np.frombuffer(x, width).astype(np.int64) for x in (rules, s))
+            rules, size = rules.reshape(-1, 2), np.frombuffer(lengths, "<u4").astype(np.int64)
+            found = [between(s, rules, size, first, a["low"], a["high"]).astype("<u4").tobytes() for a in asked]
+            kind = batch.schema.field(5).type.value_type.field("doc").type
+            yield pa.RecordBatch.from_arrays([pa.array([a["doc"] for a in asked], kind), pa.array(found, pa.binary())], ["doc_id", "ids"])
+
+
+def read_documents(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
+    """(doc_id, ids as little-endian numbers of four bytes, the end id last) of the documents in ``wanted`` (doc_id).
+
+    Documents that are not in the files have no row, repeated ids in the files a row each; a NULL id asks for
+    documents without one. Where the documents lie in no more than ``NAMED`` blocks, only these are read.
+    """
+    blocks = spark.read.parquet(path)
+    kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
+    ids = wanted.select(F.col("doc_id").cast(kind).alias("asked_id")).distinct()
+    each = blocks.select("part", "block", F.posexplode(F.arrays_zip("doc_ids", "lengths")).alias("at", "held"))
+    each = each.select("part", "block", "at", F.col("held.doc_ids").alias("doc"), F.col("held.lengths").cast("bigint").alias("n"))
+    high = F.sum("n").over(Window.partitionBy("part", "block").orderBy("at"))
+    placed = each.select("part", "block", "doc", "n", high.alias("high"))
+    placed = placed.join(ids, same(F.col("doc"), F.col("asked_id")), "left_semi")
+    asked = F.collect_list(F.struct("doc", (F.col("high") - F.col("n")).alias("low"), "high")).alias("asked")
+    places = stable(placed.groupBy("part", "block").agg(asked))
+    named = places.select("part", "block").limit(NAMED + 1).collect()
+    if len(named) <= NAMED:
+        numbers: dict[int, list[int]] = {}
+        for row in named:
+            numbers.setdefault(row["part"], []).append(row["block"])
+        some = [(F.col("part") == p) & F.col("block").isin(b) for p, b in numbers.items()]
+        blocks = blocks.where(reduce(or_, some, F.lit(False)))
+    rows = blocks.join(places.withColumnsRenamed({"part": "p", "block": "b"}), (F.col("part") == F.col("p")) & (F.col("block") == F.col("b")))
+    rows = rows.select("first_rule", "width", "rules", "rule_lengths", "sequence", "asked")
+    return rows.mapInArrow(_covered, f"doc_id {kind}, ids binary")
+
+
 def grammar_report(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
     """Write the files below the shared folder and read every document back from them."""
     path = scratch_path(docs.sparkSession, "token-ids")

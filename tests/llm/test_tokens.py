@@ -64,3 +64,39 @@ def test_grammar_shortens_repetition():
     whole = np.tile(np.arange(50), 400)
     s, _ = grammar.repair(whole, 1 << 24)
     assert len(s) < len(whole) / 8
+
+
+def test_long_passages_become_one_symbol():
+    passage = np.random.default_rng(1).integers(0, 40_000, 5000)
+    whole = np.concatenate([np.concatenate((passage, [50_000 + k])) for k in range(60)])
+    s, rules = grammar.repair(whole, 1 << 17)
+    assert (grammar.expand(s, rules, 1 << 17) == whole).all()
+    assert grammar.expansion_lengths(rules, 1 << 17).max() > 1024
+
+
+@pytest.mark.parametrize("named", [2000, 0])
+def test_documents_are_decoded_alone(spark, tmp_path, monkeypatch, named):
+    monkeypatch.setattr(grammar, "NAMED", named)
+    monkeypatch.setattr(grammar, "BLOCK", 3000)
+    texts = ODD + [text_of(k % 7, 200, 300) for k in range(120)]
+    rows = [(5 * k, t, "en", "a") for k, t in enumerate(texts)] + [(35, text_of(8, 90), "en", "a"), (None, "no id", "en", "a")]
+    path = str(tmp_path / "ids")
+    grammar.write_ids(docs_frame(spark, rows), WORDS, path, 1)
+    assert spark.read.parquet(path).count() > 5
+    wanted = [None, 0, 5, 35, 40, 300, 301, 615]
+    asked = spark.createDataFrame([(i,) for i in [*wanted, 0]], "doc_id bigint")
+    found = sorted(((r["doc_id"], np.frombuffer(r["ids"], "<u4").tolist()) for r in grammar.read_documents(spark, path, asked).collect()), key=repr)
+    want = [(i, [*tokenizer(WORDS).encode(t or "", add_special_tokens=False).ids, 1]) for i, t, *_ in rows if i in wanted]
+    assert found == sorted(want, key=repr)
+    plan = grammar.read_documents(spark, path, asked)._jdf.queryExecution().toString()
+    assert ("In(block" in plan or "EqualTo(block" in plan) == bool(named)
+    assert grammar.read_documents(spark, path, asked.limit(0)).collect() == []
+
+
+def test_few_symbols_are_expanded_for_a_stretch(monkeypatch):
+    whole = np.tile(np.arange(50), 400)
+    s, rules = grammar.repair(whole, 1 << 17)
+    size, seen, expand = grammar.expansion_lengths(rules, 1 << 17), [], grammar.expand
+    monkeypatch.setattr(grammar, "expand", lambda s, *rest: seen.append(len(s)) or expand(s, *rest))
+    assert grammar.between(s, rules, size, 1 << 17, 7777, 7999).tolist() == whole[7777:7999].tolist()
+    assert seen[0] <= 2 + len(s) * 222 // len(whole) + 1
