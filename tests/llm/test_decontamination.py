@@ -36,9 +36,44 @@ def test_matches_brute_force(spark):
     assert left == {d for d, *_ in docs} - {d for d, _ in want}
 
 
-def test_index_is_partitioned_by_size(spark):
-    items = spark.createDataFrame([(i, text_of(i, 6 + 11 * i)) for i in range(12)], "item_id bigint, text string")
-    rows = decontamination.index(items, Leaks(sketch=4)).collect()
-    assert all(r["part"] == r["item_shingles"].bit_length() - 1 for r in rows)
-    assert all(r["sketched"] == min(4, r["item_shingles"]) for r in rows)
-    assert all(r["hash"] <= r["bound"] for r in rows)
+def test_sketches_hold_what_a_match_may_lack_and_more(spark):
+    items = spark.createDataFrame([(i, text_of(i, 5 + 11 * i, 10**6)) for i in range(12)], "item_id bigint, text string")
+    rows = decontamination.index(items, Leaks()).collect()
+    for i in range(12):
+        own = [r for r in rows if r["item_id"] == i]
+        n = own[0]["item_shingles"]
+        need = -(-n * 4 // 5)
+        assert (own[0]["part"], own[0]["wanted"]) == (n.bit_length() - 1, min(2, need))
+        assert len({r["hash"] for r in own}) == len(own) == n - need + min(2, need)
+
+
+def test_documents_ask_only_partitions_they_can_contain(spark):
+    """Fails if partitions are ignored: a small document would ask with the bound of the large items."""
+    items = [(i, text_of(i, 14, 10**6)) for i in range(3)] + [(50 + i, text_of(50 + i, 12, 10**6)) for i in range(40)]
+    items += [(100 + i, text_of(900 + i, 400, 10**6)) for i in range(6)]
+    index = decontamination.index(spark.createDataFrame(items, "item_id bigint, text string"), Leaks())
+    parts = decontamination.partitions(index)
+    bound = {p: b for p, _, b in parts}
+    assert sorted(bound) == [3, 8]
+    low, high = sorted(bound.values())
+    docs = docs_frame(spark, [(i, text_of(3000 + i, 100 if i % 2 else 1000, 10**6), "en", "a") for i in range(60)] + [(99, "a b c", "en", "a")])
+    asked = decontamination.probes(docs, parts, Leaks()).collect()
+    small, large = ([r["hash"] for r in asked if (r["doc_shingles"] > 200) == big] for big in (False, True))
+    assert max(small) <= bound[3] and max(large) <= max(bound.values())
+    assert not any(r["doc_id"] == 99 for r in asked)
+    every = 30 * 96 + 30 * 996
+    assert len(asked) < 0.8 * every
+    only_large = [p for p in parts if p[0] == 8]
+    assert {r["doc_shingles"] > 200 for r in decontamination.probes(docs, only_large, Leaks()).collect()} == {True}
+
+
+def test_a_match_at_the_threshold_is_never_lost(spark):
+    """Whichever fifth of an item's shingles is missing."""
+    items = [(i, text_of(i, 4 + s, 10**6)) for i, s in enumerate([1, 2, 3, 4, 5, 6, 9, 10, 11, 15, 20, 25, 30, 55] * 6)]
+    docs = []
+    for i, text in items:
+        w, lost = text.split(), (len(text.split()) - 4) // 5
+        # Words left out at one end remove one shingle each.
+        docs.append((i, " ".join([*text_of(5000 + i, 30, 10**6).split(), *w[lost:]]) if i % 2 else " ".join(w[: len(w) - lost]), "en", "a"))
+    found = decontamination.leak_report(docs_frame(spark, docs), spark.createDataFrame(items, "item_id bigint, text string"))
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} >= {(i, i) for i, _ in items}
