@@ -2,13 +2,15 @@
 
 Texts and templates are sequences of lower-case words of letters and digits. Hashed runs of ``gram`` words are
 winnowed: of every ``window`` neighbouring runs the least is kept, so a stretch of gram + window - 1 words that a
-template and a document share has a fingerprint in common. The inverted index maps a fingerprint to its templates
+template and a document share has a fingerprint in common. The window is as wide as it may be without losing a match:
+where a fifth of the words is changed, four in a row may be all that is left, so at a coverage of 0.8 runs of three
+have a window of two; at 0.9 it is seven. The inverted index maps a fingerprint to its templates
 and positions. Hits of a template that lie near one diagonal are a candidate stretch; local alignment within a band
 around the diagonal gives the matched words of the template, its coverage, and the span in the source text. A match
 is masked and the rest of the stretch aligned again until no hit is left.
 
 A template's runs are as short as it takes that one survives wherever words are changed or left out and the coverage
-is still reached. Words put in between cost no coverage; such a match is met if enough runs survive them.
+is still reached; short templates keep every run. A match inside the span of a longer one is not reported. Words put in between cost no coverage; such a match is met if enough runs survive them.
 
 Scale: a map over the scan; the index grows with the templates only and its size is checked before it is sent out.
 Words that no template has share one number, which changes no fingerprint inside a shared stretch.
@@ -25,7 +27,8 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 WORD = re.compile(r"[^\W_]+")
 SLICE = 128
@@ -66,10 +69,11 @@ TEMPLATES = {
 
 @dataclass(frozen=True)
 class Scan:
-    """``most_words`` bounds all templates together, since their index is sent to every worker."""
+    """Runs have ``gram`` words and windows ``window`` runs, fewer where a match could be lost. ``most_words`` bounds all
+    templates together, since their index is sent to every worker."""
 
     gram: int = 3
-    window: int = 1
+    window: int = 8
     coverage: float = 0.8
     hits: float = 0.2
     band: int = 8
@@ -97,6 +101,22 @@ def number(word: str) -> int:
     return int.from_bytes(blake2b(word.encode(), digest_size=8).digest(), "little") | 1
 
 
+def winnowing(words: int, scan: Scan) -> tuple[int, int, int]:
+    """(words of a run, runs of a window, fingerprints that any match has in common) for a template of ``words``.
+
+    Of the stretches between ``lost`` changed words some are left whole; one of n words has at least
+    (n - gram + 1) // window fingerprints.
+    """
+    lost = words - int(np.ceil(scan.coverage * words - 1e-9))
+    longest = -(-(words - lost) // (lost + 1))  # of the stretches left, one is as long as this
+    gram = min(scan.gram, longest) or 1
+    for window in range(min(scan.window, longest - gram + 1), 1, -1):
+        sure = -(-(words - lost - (gram + window - 2) * (lost + 1)) // window)
+        if sure >= 1:
+            return gram, window, sure
+    return gram, 1, max(1, words - gram + 1 - gram * lost)
+
+
 class Index:
     """The inverted index over the templates; a template shorter than a run is found by its whole sequence only."""
 
@@ -107,31 +127,29 @@ class Index:
             raise ValueError(f"templates have over {scan.most_words} words; split them into several scans")
         self.vocabulary = {w: number(w) for words in found for w in words}
         self.templates = [[self.vocabulary[w] for w in words] for words in found]
-        self.parts: dict[int, dict[int, list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
+        self.parts: dict[tuple[int, int], dict[int, list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
         self.need = [0] * len(found)
         for t, numbers in enumerate(self.templates):
             if not numbers:
                 continue
-            lost = len(numbers) - int(np.ceil(scan.coverage * len(numbers) - 1e-9))
-            gram = min(scan.gram, -(-(len(numbers) - lost) // (lost + 1))) or 1
-            h, place = fingerprints(np.array(numbers, np.uint64), replace(scan, gram=gram))
-            sure = len(numbers) - gram + 1 - gram * lost
+            gram, window, sure = winnowing(len(numbers), scan)
+            h, place = fingerprints(np.array(numbers, np.uint64), replace(scan, gram=gram, window=window))
             self.need[t] = max(1, min(sure, int(np.ceil(scan.hits * len(h)))))
             for x, p in zip(h.tolist(), place.tolist(), strict=True):
-                self.parts[gram][x].append((t, p))
-        self.hashes = {gram: np.array(sorted(places), np.uint64) for gram, places in self.parts.items()}
+                self.parts[gram, window][x].append((t, p))
+        self.hashes = {kind: np.array(sorted(places), np.uint64) for kind, places in self.parts.items()}
 
     def candidates(self, numbers: np.ndarray) -> Iterator[tuple[int, list[tuple[int, int]]]]:
         """(template, hits) of stretches with enough hits, each the diagonal and the place in the text."""
         by: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for gram, hashes in self.hashes.items():
-            h, place = fingerprints(numbers, replace(self.scan, gram=gram))
+        for (gram, window), hashes in self.hashes.items():
+            h, place = fingerprints(numbers, replace(self.scan, gram=gram, window=window))
             if not len(h):
                 continue
             at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
             hit = hashes[at] == h
             for x, p in zip(h[hit].tolist(), place[hit].tolist(), strict=True):
-                for t, q in self.parts[gram][x]:
+                for t, q in self.parts[gram, window][x]:
                     by[t].append((p - q, p))
         for t, hits in by.items():
             hits.sort()
@@ -195,7 +213,18 @@ def scan_text(text: str, index: Index) -> list[tuple[str, int, int, int, float]]
             if spans is None:
                 spans = [m.span() for m in WORD.finditer(text)]
             found.add((index.names[t], spans[a][0], spans[z][1], matched, matched / size))
-    return sorted(found)
+    return outermost(found)
+
+
+def outermost(found: set[tuple[str, int, int, int, float]]) -> list[tuple[str, int, int, int, float]]:
+    """The matches that lie in no longer one; of several with one span those that cover most of their template."""
+    kept, reached, last = [], -1, None
+    for match in sorted(found, key=lambda m: (m[1], -m[2], -m[4], m[0])):
+        span = match[1:3]
+        if span == last and match[4] == kept[-1][4] or match[2] > reached:
+            kept.append(match)
+            reached, last = max(reached, match[2]), span
+    return sorted(kept)
 
 
 def matches(template: list[int], numbers: np.ndarray, hits: list[tuple[int, int]], need: int, scan: Scan) -> Iterator[tuple[int, int, int]]:
@@ -240,12 +269,32 @@ def scanner(templates: dict[str, str], scan: Scan):
     return run
 
 
-def license_report(docs: DataFrame, templates: dict[str, str] | None = None, scan: Scan = Scan()) -> DataFrame:  # noqa: B008
+def read_templates(spark: SparkSession, path: str) -> DataFrame:
+    """(license, text) of whole license texts, one per file below ``path``; the license is the file's name without ending."""
+    name = F.regexp_replace(F.element_at(F.split(F.input_file_name(), "/"), -1), r"\.[^.]*$", "")
+    return spark.read.text(path, wholetext=True).select(F.url_decode(name).alias("license"), F.col("value").alias("text"))
+
+
+def template_texts(templates: dict[str, str] | DataFrame | None, scan: Scan) -> dict[str, str]:
+    """The templates as a map; those of a table (license, text) are brought to the driver if they are few enough."""
+    if not isinstance(templates, DataFrame):
+        return TEMPLATES if templates is None else templates
+    rows = templates.select("license", F.coalesce("text", F.lit("")).alias("text")).where("license IS NOT NULL")
+    # A word has a letter at least, so texts within the bound on words are few characters, but for odd ones.
+    size = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    if size > 64 * scan.most_words:
+        raise ValueError(f"templates have {size} characters; split them into several scans")
+    return {f"{r['license']}": r["text"] for r in rows.dropDuplicates(["license", "text"]).orderBy("license", "text").collect()}
+
+
+def license_report(docs: DataFrame, templates: dict[str, str] | DataFrame | None = None, scan: Scan = Scan()) -> DataFrame:  # noqa: B008
     """doc_id, license, start, end, matched_words, coverage: a row per match in ``docs`` (doc_id, text).
 
-    NULL and empty texts match nothing. A text with several notices has several rows, repeated rows of the table
-    are looked at one by one. NULL ids stay; other columns are ignored. Templates without words match nothing.
+    ``templates``: names and texts, or a table (license, text) such as ``read_templates`` gives; notices by default.
+    NULL and empty texts match nothing, an empty table gives no rows, very long texts are scanned whole. A text with
+    several notices has several rows, repeated rows of the table are looked at one by one. NULL ids stay; other
+    columns are ignored. Templates without words match nothing; of several texts under one name the last by text counts.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     fields = f"doc_id {kind}, license string, start bigint, end bigint, matched_words bigint, coverage double"
-    return docs.select("doc_id", "text").mapInArrow(scanner(TEMPLATES if templates is None else templates, scan), fields)
+    return docs.select("doc_id", "text").mapInArrow(scanner(template_texts(templates, scan), scan), fields)

@@ -158,7 +158,7 @@ def test_notices_close_together_are_rows_of_their_own(name, between, times):
     assert [(a, b) for _, a, b, _, _ in found] == [(k * (len(notice) + len(filler) + 2), k * (len(notice) + len(filler) + 2) + size) for k in range(times)]
 
 
-@pytest.mark.parametrize("size", [1, 2, 3, 4, 5, 6, 7, 8, 10, 15, 20, 25])
+@pytest.mark.parametrize("size", [1, 2, 3, 4, 5, 6, 7, 8, 10, 15, 20, 25, 26, 29, 40, 64, 120])
 def test_changed_words_within_the_coverage_lose_no_match(size):
     words = [f"t{k}" for k in range(size)]
     index = Index({"it": " ".join(words)}, Scan())
@@ -181,6 +181,90 @@ def test_every_shared_stretch_has_a_fingerprint():
         assert whole & set(licenses.fingerprints(part, scan)[0].tolist())
 
 
+@pytest.mark.parametrize(("coverage", "window"), [(0.8, 2), (0.9, 7), (0.95, 8)])
+def test_long_templates_are_winnowed(coverage, window):
+    """Fewer fingerprints than runs, in templates and in texts; short templates keep every run."""
+    import numpy as np
+
+    scan = Scan(coverage=coverage)
+    assert licenses.winnowing(400, scan)[:2] == (3, window)
+    assert licenses.winnowing(5, Scan())[1] == 1
+    numbers = np.random.default_rng(1).integers(1, 2**62, 4000).astype(np.uint64)
+    kept = len(licenses.fingerprints(numbers, licenses.replace(scan, window=window))[0])
+    assert kept / 3998 == pytest.approx(2 / (window + 1), rel=0.1)
+    index = Index({"long": text_of(1, 400, 10**6)}, scan)
+    assert sum(map(len, index.parts[3, window].values())) < 0.75 * 398
+
+
+@pytest.mark.parametrize("coverage", [0.8, 0.9])
+@pytest.mark.parametrize("size", [22, 64, 150, 400])
+def test_even_changes_within_the_coverage_are_met(size, coverage):
+    words = [f"t{k}" for k in range(size)]
+    index, step = Index({"it": " ".join(words)}, Scan(coverage=coverage)), round(1 / (1 - coverage))
+    for first in range(step):
+        changed = set(range(first, size, step)) if len(range(first, size, step)) <= size * (1 - coverage) + 1e-9 else set(range(first + step, size, step))
+        (match,) = licenses.scan_text(" ".join("other" if k in changed else w for k, w in enumerate(words)), index)
+        assert match[3] == size - len(changed)
+
+
+def test_matches_equal_a_full_alignment():
+    """Against an alignment of every template with the whole text, without fingerprints or bands."""
+    import random
+
+    r = random.Random(6)
+    templates = {f"t{k}": text_of(k, n, 60) for k, n in enumerate([4, 7, 12, 25, 40, 70])}
+    index, scan = Index(templates, Scan()), Scan()
+    met = 0
+    for k in range(120):
+        name = f"t{k % 6}"
+        words = templates[name].split()
+        for _ in range(r.randint(0, len(words) // 4)):
+            at = r.randrange(len(words))
+            words[at : at + 1] = r.choice([[], ["other"], [words[at], "more"]])
+        before, after = text_of(500 + k, r.randint(0, 60), 60).split(), text_of(900 + k, r.randint(0, 60), 60).split()
+        text = " ".join([*before, *words, *after])
+        numbers = [index.vocabulary.get(w, 0) for w in text.split()]
+        found = {m[0]: m for m in licenses.scan_text(text, index)}
+        for t, template in enumerate(templates.values()):
+            own = [index.vocabulary[w] for w in template.split()]
+            matched, a, z = licenses.align(own, numbers, 0, len(numbers) + len(own))
+            full = matched >= scan.coverage * len(own) - 1e-9
+            if f"t{t}" in found:
+                assert full and found[f"t{t}"][3] == matched
+                assert text[found[f"t{t}"][1] : found[f"t{t}"][2]] == " ".join(text.split()[a : z + 1])
+                met += 1
+            elif full and f"t{t}" == name:  # only words put in may hide a match
+                assert "more" in words
+    assert met > 60
+
+
+def test_a_notice_inside_a_header_is_no_match_of_its_own():
+    index = Index(TEMPLATES, Scan())
+    header = TEMPLATES["Apache-2.0 header"]
+    found = licenses.scan_text(f"x {header} y {TEMPLATES['Apache-2.0 notice']}", index)
+    assert [m[0] for m in found] == ["Apache-2.0 header", "Apache-2.0 notice"]
+    assert found[0][2] < found[1][1]
+    both = {("a", 0, 9, 3, 1.0), ("b", 0, 9, 3, 1.0), ("c", 0, 9, 3, 0.9), ("d", 2, 5, 1, 1.0), ("e", 5, 12, 2, 1.0)}
+    assert [m[0] for m in licenses.outermost(both)] == ["a", "b", "e"]
+
+
+def test_whole_licenses_from_files(spark, tmp_path):
+    long = {f"L{k}-1.0": "\n".join(text_of(10 * k + j, 300, 5000) for j in range(4)) for k in range(3)}
+    (tmp_path / "licenses").mkdir()
+    for name, text in long.items():
+        (tmp_path / "licenses" / f"{name}.txt").write_text(text)
+    (tmp_path / "licenses" / "empty.txt").write_text("")
+    templates = licenses.read_templates(spark, str(tmp_path / "licenses"))
+    changed = long["L1-1.0"].split()
+    changed[100:110] = ["edited"] * 10
+    rows = [(1, f"{text_of(77, 50)} {long['L0-1.0']}", "en", "a"), (2, " ".join(changed), "en", "a"), (3, long["L2-1.0"][:2000], "en", "a")]
+    found = {r["doc_id"]: r for r in licenses.license_report(docs_frame(spark, rows), templates).collect()}
+    assert {i: r["license"] for i, r in found.items()} == {1: "L0-1.0", 2: "L1-1.0"}
+    assert found[1]["coverage"] == 1.0 and found[2]["matched_words"] == 1190
+    with pytest.raises(ValueError, match="templates"):
+        licenses.license_report(docs_frame(spark, rows), templates, Scan(most_words=100))
+
+
 def test_too_many_templates_are_refused():
     with pytest.raises(ValueError, match="templates"):
         Index({"a": "b " * 20}, Scan(most_words=10))
