@@ -69,6 +69,14 @@ def main() -> None:
             QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - start
 
+    def calibration() -> float:
+        """Seconds of a job that no round changes, so that figures of different machines can be compared."""
+        start = time.perf_counter()
+        spark.range(300_000_000).selectExpr("sum(pmod(xxhash64(id), 1000)) AS s").write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - start
+
+    calibration()
+    fixed = round(min(calibration() for _ in range(3)), 3)
     seconds = {}
     for name in chosen:
         once(name)
@@ -82,6 +90,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
+                "calibration": fixed,
                 "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
             }
         )

@@ -77,7 +77,8 @@ def scratch() -> Iterator[None]:
             action()
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system; nothing happens if there is none."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
@@ -85,7 +86,7 @@ def _delete(spark: SparkSession, path: str) -> None:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder; two callers never get the same one."""
     path = f"{shared_dir(spark)}/tallymart/{name}-{uuid.uuid4().hex}"
-    on_release(lambda: _delete(spark, path))
+    on_release(lambda: delete_path(spark, path))
     return path
 
 
