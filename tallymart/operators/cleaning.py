@@ -5,8 +5,9 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallymart.functions.defaults import MAX_AMOUNT, PROFILE_MAX_AGE_DAYS, TOP_DAYS, TRANSACTION_MAX_AGE_DAYS
 from tallymart.functions.money import money_avg, percent
@@ -101,44 +102,44 @@ def cleaning_statistics(df: DataFrame, rules: dict[str, Column], keys: list[str]
     )
 
 
+#: Columns that the written table has besides those of the rows: the rule that removed a row, and how many it stands for.
+RULE, COPIES, KEPT = "cleaning_rule", "cleaning_copies", "kept"
+
+
 def clean_and_count(
     df: DataFrame, rules: dict[str, Column], keys: list[str], order: list[str], path: str, profile: dict[str, Column] | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Write the cleaned rows to ``path``; they are returned with their statistics, from one scan of ``df``.
+    """Write the cleaned rows below ``path``; they are returned with their statistics, from one scan of ``df``.
 
-    The statistics are those of ``cleaning_statistics``, and the aggregates ``profile`` of the cleaned rows. They are
-    observed while the rows are written. Tasks of a map stage that run again after a lost executor would be observed
-    twice; that shows, because the reducers count the copies that they collapse. Then the statistics are taken by a pass
-    of their own.
+    What is written is partitioned by rule: cleaned rows, each with the number of copies it stands for, and one row per
+    rule with the number of rows it removed, collapsed in the map tasks. So the statistics, those of
+    ``cleaning_statistics``, are sums over one narrow column of the written table, exact also if tasks ran twice. The
+    aggregates ``profile`` are taken of the cleaned rows.
     """
-    seen, kept = Observation(), Observation()
-    broken = F.coalesce(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in rules.items()], F.lit(""))
-    marked = df.withColumn("_broken", broken)
-    counts = [F.count_if(F.col("_broken") == name).alias(f"removed_{name}") for name in rules]
-    valid = marked.observe(seen, F.count(F.lit(1)).alias("original_count"), *counts, F.count_if(F.col("_broken") == "").alias("_valid"))
-    valid = valid.where("_broken = ''").drop("_broken")
+    spark = df.sparkSession
+    broken = F.coalesce(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in rules.items()], F.lit(KEPT))
+    marked, kept = df.withColumn(RULE, broken), F.col(RULE) == KEPT
     others = [c for c in df.columns if c not in keys and c not in order]
-    smallest = F.min(F.struct(*order, *others)).alias("_kept") if order or others else F.lit(None).alias("_kept")
-    grouped = valid.groupBy(*keys).agg(smallest, F.count(F.lit(1)).alias("_copies"))
-    rows = grouped.select(*keys, *[F.col(f"_kept.`{c}`").alias(c) for c in [*order, *others]], "_copies")
-    extra = [value.alias(f"_p_{name}") for name, value in (profile or {}).items()]
-    rows = rows.observe(kept, F.count(F.lit(1)).alias("cleaned_count"), F.coalesce(F.sum("_copies"), F.lit(0)).alias("_met"), *extra)
-    rows.select(*df.columns).write.mode("overwrite").parquet(path)
-    cleaned = df.sparkSession.read.schema(df.schema).parquet(path)
-    before, after = seen.get, kept.get
-    if before["_valid"] != after["_met"] or after["cleaned_count"] != cleaned.count():
-        aside = {n: cleaned.agg(v).scalar() for n, v in (profile or {}).items()}
-        return cleaned, cleaning_statistics(df, rules, keys).withColumns(aside)
-    removed = before["original_count"] - after["cleaned_count"]
-    values = [
-        F.lit(before["original_count"]).cast("bigint").alias("original_count"),
-        *[F.lit(before[f"removed_{name}"]).cast("bigint").alias(f"removed_{name}") for name in rules],
-        F.lit(before["_valid"] - after["cleaned_count"]).cast("bigint").alias("removed_duplicate"),
-        F.lit(after["cleaned_count"]).cast("bigint").alias("cleaned_count"),
-        F.lit(removed).cast("bigint").alias("removed_count"),
-    ]
-    row = df.sparkSession.range(1).select(*values, *[F.lit(after[f"_p_{name}"]).alias(name) for name in profile or {}])
-    return cleaned, row.withColumn("removed_percent", percent(F.col("removed_count"), F.col("original_count")))
+    smallest = F.min(F.when(kept, F.struct(*order, *others, F.lit(0).alias("_one")))).alias("_kept")
+    grouped = marked.groupBy(RULE, *[F.when(kept, F.col(k)).alias(k) for k in keys]).agg(smallest, F.count(F.lit(1)).alias(COPIES))
+    rows = grouped.select(*[F.col(c) if c in keys else F.col(f"_kept.`{c}`").alias(c) for c in df.columns], COPIES, RULE)
+    rows.write.mode("overwrite").partitionBy(RULE).parquet(path)
+    extra = [T.StructField(COPIES, T.LongType()), T.StructField(RULE, T.StringType())]
+    back = spark.read.schema(T.StructType([*df.schema.fields, *extra])).parquet(path)
+    cleaned = back.where(kept).select(*df.columns)
+
+    def total(condition: Column, value: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, value)), F.lit(0)).cast("bigint")
+
+    counts = back.agg(
+        total(F.lit(True), F.col(COPIES)).alias("original_count"),
+        *[total(F.col(RULE) == name, F.col(COPIES)).alias(f"removed_{name}") for name in rules],
+        total(kept, F.col(COPIES) - 1).alias("removed_duplicate"),
+        F.count_if(kept).alias("cleaned_count"),
+    )
+    removed = F.col("original_count") - F.col("cleaned_count")
+    counts = counts.withColumn("removed_count", removed).withColumn("removed_percent", percent(F.col("removed_count"), F.col("original_count")))
+    return cleaned, counts.withColumns({n: cleaned.agg(v).scalar() for n, v in profile.items()}) if profile else counts
 
 
 def amount_aggregates() -> dict[str, Column]:

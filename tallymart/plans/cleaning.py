@@ -108,7 +108,7 @@ _AMOUNTS = """SELECT sum(tx_amount::DECIMAL(18,2))::DOUBLE / count(tx_amount) AS
 
 @query(_TX_STATISTICS.replace("FROM verdicts", f", a.* FROM verdicts, ({_AMOUNTS}) a GROUP BY ALL"))
 def written_transaction_statistics(t):
-    """Statistics and amounts that were observed while the cleaned transactions were written."""
+    """Statistics and amounts from the one table that cleaning wrote."""
     return rounded(_written_tx(t)[1], 4, "std_amount")
 
 
