@@ -32,10 +32,10 @@ from pyspark.sql import DataFrame
 from tallymart.llm.units import tokenizer
 
 #: Words a worker remembers per generation, and pairs of tokens.
-WORDS, PAIRS = 600_000, 1_000_000
+WORDS, PAIRS = 300_000, 400_000
 #: Characters of text whose words are looked up together, and at which a long text is cut.
-GROUP, PART = 4_000_000, 65_536
-SLICE = 2048
+GROUP, PART = 2_000_000, 65_536
+SLICE = 1024
 BOUNDARY = re.compile(r"(?<=\S) (?=\S)")
 #: Fixed value: how a byte-level tokenizer cuts a text into words.
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
