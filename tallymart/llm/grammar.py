@@ -12,6 +12,10 @@ The files are Parquet: a row and a row group per block, written by Spark's commi
 and no more. ``read_documents`` looks ids up in the narrow columns, reads the blocks that hold them and decodes
 nothing but the symbols that cover them.
 
+Encoding looks at the distinct pieces between spaces of a portion of texts: words of Latin letters, with or without a
+full stop or comma, share the ids of their small letters, the others come from the memo of pieces. The ids of a text
+are gathered by piece numbers, so an occurrence costs no Python call.
+
 Scale: encoding is a map; the encoded rows are stored once, because a range partitioning reads them twice, and
 shuffled once by (id, hash), so that a repeated id is spread as well. A task holds one block at a time.
 """
@@ -21,23 +25,27 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from functools import reduce
-from itertools import chain
 from operator import or_
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallymart.llm.native import same
-from tallymart.llm.units import memo
+from tallymart.llm.units import memo, word_ids
 from tallymart.llm.units import tokenizer as load
 from tallymart.session import scratch_path, stable
 
 BLOCK = 1 << 20
 SLICE = 256
 TABLE = 18
+#: Bytes of text whose distinct pieces are encoded together; a longer text is taken alone.
+PORTION = 1 << 25
+#: A word of letters that fold one by one and stand in no composition, with a full stop or comma or without.
+PLAIN = "^[A-Za-zÀ-ÖØ-öø-ÿ]+[.,]?$"
 #: Bytes of a row group: no more than one block, so that blocks are skipped by their numbers.
 ROW_GROUP = 1 << 20
 #: Blocks that are asked for by number; more are joined.
@@ -130,19 +138,77 @@ def width_of(symbols: int) -> str:
     return "<u2" if symbols <= 1 << 16 else "<u4"
 
 
+def portions(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch (doc_id, text) of ``PORTION`` bytes of text, or of one row."""
+    ends, at = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False), dtype=np.int64), 0
+    while at < batch.num_rows:
+        limit = (ends[at - 1] if at else 0) + PORTION
+        upto = max(at + 1, int(np.searchsorted(ends, limit, side="right")))
+        yield batch.slice(at, upto - at)
+        at = upto
+
+
+def spliced(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Stretches of ``flat`` end to end."""
+    ends = np.cumsum(sizes)
+    at = np.repeat(starts - (ends - sizes), sizes)
+    return flat[at + np.arange(len(at))]
+
+
+def piece_ids(pieces: pa.Array, path: str, width: str) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of distinct pieces end to end, and how many each has."""
+    known, kind = memo(path, "H" if width == "<u2" else "I", fold=True), np.dtype(width)
+    plain = pc.match_substring_regex(pieces, PLAIN)
+    written = pieces.filter(plain)
+    words = pc.utf8_lower(pc.utf8_rtrim(written, ".,")).dictionary_encode()
+    ids, sizes = word_ids(path, words.dictionary)
+    odd = pieces.filter(pc.invert(plain)).to_pylist()
+    others = [*map(known.learn(odd), odd), known.tails["."], known.tails[","], b""]
+    flat = np.concatenate((ids.astype(kind), np.frombuffer(b"".join(others), kind)))
+    sizes = np.concatenate((sizes, [len(x) // kind.itemsize for x in others])).astype(np.int64)
+    # A piece is a word and what follows it, or an odd piece and nothing.
+    stop, comma, nothing = len(sizes) - 3, len(sizes) - 2, len(sizes) - 1
+    is_plain, parts = plain.to_numpy(zero_copy_only=False), np.full((len(pieces), 2), nothing)
+    ends = (pc.ends_with(written, c).to_numpy(zero_copy_only=False) for c in ".,")
+    parts[is_plain, 0] = words.indices.to_numpy(zero_copy_only=False)
+    parts[is_plain, 1] = np.select([*ends], [stop, comma], nothing)
+    parts[~is_plain, 0] = len(words.dictionary) + np.arange(len(odd))
+    of = sizes[parts]
+    return spliced(flat, (np.cumsum(sizes) - sizes)[parts.ravel()], of.ravel()), of.sum(axis=1)
+
+
 def encoder(path: str, end_id: int, width: str):
     """A map of Arrow batches (doc_id, text) to (doc_id, ids)."""
+    size = np.dtype(width).itemsize
+
+    def portion(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        texts = pc.fill_null(part.column(1), "")
+        # White space never enters a token of this tokenizer, so it is a boundary wherever it stands.
+        for c in "\n\t\r":
+            texts = pc.replace_substring(texts, c, " ")
+        split = pc.split_pattern(texts, " ")
+        begin = np.concatenate(([0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False), dtype=np.int64)))
+        found = split.flatten().dictionary_encode()
+        del texts, split
+        numbers, end = found.indices.to_numpy(zero_copy_only=False), len(found.dictionary)
+        flat, sizes = piece_ids(found.dictionary, path, width)
+        flat, sizes = np.append(flat, np.array([end_id], flat.dtype)), np.append(sizes, 1)
+        starts = np.cumsum(sizes) - sizes
+        for at in range(0, part.num_rows, SLICE):
+            some = part.slice(at, SLICE)
+            stops = begin[at + 1 : at + 1 + some.num_rows] - begin[at]
+            each = np.insert(numbers[begin[at] : begin[at] + stops[-1]], stops, end)
+            ids = spliced(flat, starts[each], sizes[each])
+            bounds = np.concatenate(([0], np.cumsum(sizes[each])[stops + np.arange(len(stops))])) * size
+            if bounds[-1] >= 1 << 31:
+                raise ValueError("the ids of a slice of texts take more than 2 GB")
+            data = [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(ids)]
+            yield pa.RecordBatch.from_arrays([some.column(0), pa.Array.from_buffers(pa.binary(), some.num_rows, data)], ["doc_id", "ids"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, end = memo(path, "H" if width == "<u2" else "I", fold=True), np.array([end_id], width).tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE):
-                part = batch.slice(at, SLICE)
-                # White space never enters a token of this tokenizer, so every space is a boundary.
-                pieces = [(t or "").split(" ") for t in part.column(1).to_pylist()]
-                of = known.learn(chain.from_iterable(pieces))
-                ids = [b"".join(map(of, p)) + end for p in pieces]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+            for part in portions(batch):
+                yield from portion(part)
 
     return run
 

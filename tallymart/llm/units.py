@@ -14,6 +14,8 @@ from collections.abc import Callable, Iterable
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Pieces per generation.
 MEMO = 1_000_000
@@ -30,6 +32,39 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+@lru_cache(maxsize=4)
+def word_tokenizer(path: str):
+    """The tokenizer of a file for words of small letters with spaces between: without the steps that leave such words
+    as they are. Its tokens, and which of them end a word."""
+    from tokenizers import pre_tokenizers
+
+    whole = tokenizer(path)
+    lean = type(whole).from_str(whole.to_str())
+    lean.normalizer = None
+    lean.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    last = np.zeros(whole.get_vocab_size(), bool)
+    suffix = whole.model.end_of_word_suffix
+    last[[i for token, i in whole.get_vocab().items() if suffix and token.endswith(suffix)]] = True
+    return lean, last
+
+
+def word_ids(path: str, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of words end to end, and how many each has.
+
+    The tokenizer works on bytes, folds case, keeps letters together and marks the end of a word; the words are of
+    small letters that no normal form changes.
+    """
+    lean, last = word_tokenizer(path)
+    cuts = pa.array([*range(0, len(words), JOINED), len(words)], pa.int32())
+    texts = pc.binary_join(pa.ListArray.from_arrays(cuts, words), " ").to_pylist()
+    ids = [np.zeros(0, np.int64), *(np.array(lean.encode(t, add_special_tokens=False).ids, np.int64) for t in texts)]
+    flat = np.concatenate(ids)
+    ends = np.flatnonzero(last[flat])
+    if len(ends) != len(words):
+        raise ValueError("the tokenizer does not mark the end of every word")
+    return flat, np.diff(ends, prepend=-1)
+
+
 @lru_cache(maxsize=4)
 def memo(path: str, kind: str, prefix: str = "", fold: bool = False) -> Memo:
     """The memo of a worker process, kept from task to task: numbers of tokens for the kind "count", else ids as an

@@ -1,8 +1,10 @@
 import random
+import sys
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from corpus_cases import docs_frame, text_of
 from hypothesis import given, settings
@@ -47,6 +49,36 @@ def test_files_return_every_document(spark):
         at += len(ids)
 
 
+def encoded(texts):
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], ["doc_id", "text"])
+    return [x for b in grammar.encoder(WORDS, 1, "<u2")(iter([batch])) for x in b.column(1).to_pylist()]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.none() | st.text(alphabet="abSTÀÿßéµŁ.,'1 \n\t\r\x1c\u0301中<|>", max_size=60), max_size=8), st.sampled_from([1, 40, 1 << 25]))
+def test_pieces_are_encoded_as_their_texts(texts, portion):
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(grammar, "PORTION", portion)
+        found = encoded(texts)
+    assert [np.frombuffer(x, "<u2").tolist() for x in found] == [[*tokenizer(WORDS).encode(t or "", add_special_tokens=False).ids, 1] for t in texts]
+
+
+def test_more_texts_of_the_same_words_cost_no_calls():
+    texts = [f"The {w}, of {w.title()}. and {w}" for w in ("heron", "élan", "straße", "x1", "'ll")]
+    encoded(texts)  # loads the tokenizer
+
+    def calls(times):
+        seen = []
+        sys.setprofile(lambda frame, event, arg: seen.append(1) if event in ("call", "c_call") else None)
+        try:
+            encoded(texts * times)
+        finally:
+            sys.setprofile(None)
+        return len(seen)
+
+    assert calls(2000) < calls(50) + 5000  # 10,000 texts; an occurrence or a text costs none, a slice some
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(0, 5), max_size=600), st.data())
 def test_grammar_round_trip(ids, data):
