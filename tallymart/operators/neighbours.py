@@ -34,6 +34,8 @@ TOP_BOXES = 4096
 SAMPLE_PER_BOX = 32
 #: Rows of one box that a task looks at, in assigning boxes and in comparing.
 ASSIGNED, ASKED = 200_000, 8192
+#: Pairs of points that a worker compares at a time: half a dozen arrays of that many numbers.
+PAIRS = 1 << 18
 
 
 @dataclass
@@ -214,7 +216,7 @@ def balls(boxes: Boxes, axes: int, k: int) -> DataFrame:
 
 def compared(queries: np.ndarray, data: np.ndarray, weights: np.ndarray):
     """Per block of queries: its start, squared distances to the points, and the points' weights without the query."""
-    block = max(1, 4_000_000 // max(1, len(data)))
+    block = max(1, PAIRS // max(1, len(data)))
     for start in range(0, len(queries), block):
         part = queries[start : start + block]
         squared = np.zeros((len(part), len(data)))
@@ -265,7 +267,8 @@ def nearest_neighbours(
         return pd.concat(found, ignore_index=True) if found else pd.DataFrame({c: [] for c in columns})
 
     boxes = boxed(points, axes, seed, box_rows, top_boxes)
-    asked = stable(boxes.reach(balls(boxes, axes, k)))
+    # The balls are stored between, or every task would hold a Python worker for them and one for the tree.
+    asked = stable(boxes.reach(stable(balls(boxes, axes, k))))
     dealt, copied = in_blocks(asked, boxes.points, ["top", "sub"], ASKED)
     keys = ["top", "sub", "_block"]
     found = dealt.groupBy(*keys).cogroup(copied.groupBy(*keys)).applyInPandas(match, "point array<double>, near array<double>, distance double, copies bigint")
